@@ -23,3 +23,24 @@ def cleaned(spark: SparkSession, sf_dir: str, params: Params = DEFAULTS) -> tupl
 def features(spark: SparkSession, sf_dir: str, params: Params = DEFAULTS) -> DataFrame:
     c, _ = cleaned(spark, sf_dir, params)
     return engineer_features(c, params.features)
+
+
+def split_table(spark: SparkSession, sf_dir: str, params: Params = DEFAULTS, materialize: bool = True) -> DataFrame:
+    """Features + ``split``. Downstream queries read it several times (reference, test,
+    samples), so it is checkpointed once into the shared checkpoint folder: lineage is
+    cut and every reader sees the same rows even after executor loss."""
+    from ..operators.split import stratified_split
+
+    s = stratified_split(features(spark, sf_dir, params), params.split)
+    return s.checkpoint(eager=True) if materialize else s
+
+
+def drift_inputs(spark: SparkSession, sf_dir: str, params: Params = DEFAULTS):
+    """(reference rows, test rows, clean batch, drifted batch) of the credit features."""
+    from ..operators.split import drift_samples
+
+    s = split_table(spark, sf_dir, params)
+    reference = s.filter(s.split == "train")
+    test = s.filter(s.split == "test")
+    clean, drifted = drift_samples(test, params.drift)
+    return reference, test, clean, drifted

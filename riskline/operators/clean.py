@@ -32,11 +32,13 @@ def clean_with_order(df: DataFrame, params: CleaningParams = CleaningParams()) -
         if c == params.id_column:
             continue
         name = params.target_column if c == params.target_column_raw else c
-        e = col(c)
+        e = f"`{c}`"
         if c in merges:
             frm, to = merges[c]
-            e = F.when(e.isin(list(frm)), F.lit(to)).otherwise(e)
-        out_cols.append(F.coalesce(e.cast("long"), F.raise_error(F.lit(f"cannot convert null in column {name} to integer"))).alias(name))
+            e = f"CASE WHEN {e} IN ({', '.join(str(v) for v in frm)}) THEN {to} ELSE {e} END"
+        # astype(int): truncate, and fail loudly on null instead of passing it on
+        out_cols.append(F.expr(f"coalesce(CAST({e} AS BIGINT), "
+                               f"raise_error('cannot convert null in column {name} to integer'))").alias(name))
     names = [params.target_column if c == params.target_column_raw else c for c in df.columns if c != params.id_column]
     merged = df.select(col(params.id_column).alias("_raw_id"), *out_cols)
     grouped = merged.groupBy(*[col(c) for c in names]).agg(

@@ -9,13 +9,12 @@ the pooled distinct values; PCA reconstruction error from per-batch moments only
 """
 from __future__ import annotations
 
-import math
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..params import FEATURE_COLS, DriftParams
+from ..functions.sqlexpr import bin_index_sql, kolmogorov_sql
 from .ordering import running_sums
 
 
@@ -28,14 +27,11 @@ def value_counts_long(df: DataFrame, features: list[str], batch_col: str | None
     return long.groupBy(*keep, "feature", "value").agg(F.count(F.lit(1)).alias("c"))
 
 
-def bin_index(value: Column, lo: Column, step: Column, buckets: int = 10) -> Column:
+def bin_index(value: str, lo: str, step: str, buckets: int = 10) -> Column:
     """Bin of ``value`` against edges ``lo + i*step``: half-open bins, last bin closed.
     Counting the inner edges at or below the value reproduces searchsorted semantics,
     including ``value == hi`` (last bin) and ``lo == hi`` (everything in the last bin)."""
-    out = F.lit(0)
-    for i in range(1, buckets):
-        out = out + (value >= lo + F.lit(float(i)) * step).cast("int")
-    return out
+    return F.expr(bin_index_sql(value, lo, step, buckets))
 
 
 def shared_edges(ref_vc: DataFrame, cur_vc: DataFrame, buckets: int = 10) -> DataFrame:
@@ -56,10 +52,10 @@ def psi_bins(ref_vc: DataFrame, cur_vc: DataFrame, params: DriftParams = DriftPa
     nb = params.buckets
     edges = F.broadcast(shared_edges(ref_vc, cur_vc, nb))
     r = (ref_vc.join(edges, "feature")
-         .select("batch", "feature", bin_index(F.col("value"), F.col("lo"), F.col("step"), nb).alias("bin"), "c")
+         .select("batch", "feature", bin_index("value", "lo", "step", nb).alias("bin"), "c")
          .groupBy("batch", "feature", "bin").agg(F.sum("c").alias("ref_count")))
     c = (cur_vc.join(edges, ["batch", "feature"])
-         .select("batch", "feature", bin_index(F.col("value"), F.col("lo"), F.col("step"), nb).alias("bin"), "c")
+         .select("batch", "feature", bin_index("value", "lo", "step", nb).alias("bin"), "c")
          .groupBy("batch", "feature", "bin").agg(F.sum("c").alias("cur_count")))
     grid = edges.select("batch", "feature", "n_ref", "n_cur", "lo", "step",
                         F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("bin"))
@@ -92,23 +88,12 @@ def psi_js(bins: DataFrame) -> DataFrame:
              F.sqrt(F.greatest(F.lit(0.0), F.lit(0.5) * F.col("kl_e") + F.lit(0.5) * F.col("kl_a"))).alias("js"))
 
 
-def kolmogorov_pvalue(d: Column, n1: Column, n2: Column, terms: int = 12) -> Column:
+def kolmogorov_pvalue(d: str, n1: str, n2: str) -> Column:
     """Two-sided asymptotic p-value with Stephens' small-sample factor.
     z = (sqrt(en) + 0.12 + 0.11/sqrt(en)) * D, en = n1 n2 / (n1 + n2). For z < 1.18 use
     the theta-series form of the CDF (1 - sqrt(2 pi)/z sum exp(-(2k-1)^2 pi^2 / (8 z^2))),
     else 2 sum (-1)^(k-1) exp(-2 k^2 z^2); clipped to [0, 1]."""
-    en = n1.cast("double") * n2.cast("double") / (n1 + n2).cast("double")
-    z = (F.sqrt(en) + F.lit(0.12) + F.lit(0.11) / F.sqrt(en)) * d
-    small = F.lit(0.0)
-    for k in range(1, terms + 1):
-        small = small + F.exp(F.lit(-((2 * k - 1) ** 2) * math.pi ** 2 / 8.0) / (z * z))
-    p_small = F.lit(1.0) - F.lit(math.sqrt(2 * math.pi)) / z * small
-    large = F.lit(0.0)
-    for k in range(1, terms + 1):
-        large = large + F.lit(float((-1) ** (k - 1))) * F.exp(F.lit(-2.0 * k * k) * z * z)
-    p_large = F.lit(2.0) * large
-    p = F.when(z <= 0, F.lit(1.0)).when(z < 1.18, p_small).otherwise(p_large)
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), p))
+    return F.expr(kolmogorov_sql(d, n1, n2))
 
 
 def ks_stats(ref_vc: DataFrame, cur_vc: DataFrame) -> DataFrame:
@@ -124,7 +109,7 @@ def ks_stats(ref_vc: DataFrame, cur_vc: DataFrame) -> DataFrame:
     j = cum.join(F.broadcast(tot), ["batch", "feature"])
     gap = F.abs(F.col("cr_cum") / F.col("n_ref") - F.col("cc_cum") / F.col("n_cur"))
     return j.groupBy("batch", "feature", "n_ref", "n_cur").agg(F.max(gap).alias("ks_stat")).select(
-        "batch", "feature", "ks_stat", kolmogorov_pvalue(F.col("ks_stat"), F.col("n_ref"), F.col("n_cur")).alias("ks_pvalue"))
+        "batch", "feature", "ks_stat", kolmogorov_pvalue("ks_stat", "n_ref", "n_cur").alias("ks_pvalue"))
 
 
 def psi_band(psi: Column) -> Column:

@@ -4,29 +4,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.rowwise import clip, col, guarded_ratio, row_count_where, row_max, row_mean, row_sum
-from ..params import BILL_COLS, PAY_COLS, PAYAMT_COLS, FeatureParams
+from ..functions.rowwise import col
+from ..functions.sqlexpr import derived_feature_sql
+from ..params import FeatureParams
 from .clean import ROW_ORDER
 from .ordering import dense_index
 
 
 def derived_columns() -> list:
-    avg_bill = row_mean(BILL_COLS)
-    total_bill = row_sum(BILL_COLS)
-    total_pay = row_sum(PAYAMT_COLS)
-    return [
-        row_max(PAY_COLS).cast("long").alias("pay_delay_max"),
-        row_mean(PAY_COLS).alias("pay_delay_mean"),
-        row_count_where(PAY_COLS, lambda c: c > 0).cast("long").alias("n_months_delayed"),
-        avg_bill.alias("avg_bill"),
-        row_max(BILL_COLS).cast("long").alias("max_bill"),
-        (col("BILL_AMT1") - col("BILL_AMT6")).cast("long").alias("bill_trend"),
-        row_mean(PAYAMT_COLS).alias("avg_pay_amt"),
-        total_pay.cast("long").alias("total_pay"),
-        guarded_ratio(avg_bill, col("LIMIT_BAL")).alias("util_ratio"),
-        clip(F.when(total_bill > 0, total_pay.cast("double") / total_bill.cast("double")).otherwise(F.lit(0.0)), 0.0, 2.0)
-        .alias("pct_paid"),
-    ]
+    """R1-R4, P6-P8 as one SQL expression each (no nulls after cleaning)."""
+    return [F.expr(sql).alias(name) for name, sql in derived_feature_sql()]
 
 
 def engineer_features(cleaned: DataFrame, params: FeatureParams = FeatureParams()) -> DataFrame:
@@ -41,5 +28,5 @@ def engineer_features(cleaned: DataFrame, params: FeatureParams = FeatureParams(
         F.col(params.primary_key),
         *[col(c) for c in base_cols],
         *derived_columns(),
-        F.lit(params.event_time_value).cast("timestamp").alias(params.event_time),
+        F.lit(params.event_time_value).cast("timestamp_ntz").alias(params.event_time),
     )

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..params import FEATURE_COLS, DriftParams, SplitParams
@@ -41,41 +41,49 @@ def largest_remainder(counts: dict, frac: float) -> dict:
     return {k: counts[k] - kept[k] for k in counts}
 
 
-def _class_counts(df: DataFrame, target: str) -> dict:
-    # one row per class: bounded by the number of classes
-    return {r[0]: int(r[1]) for r in df.groupBy(target).count().collect()}
+def allocation(counts: DataFrame, frac: float, cls: str = "_cls", n: str = "_n") -> DataFrame:
+    """In-plan largest-remainder allocation over a class-count table (one row per class,
+    so the un-partitioned windows here see only that many rows). Adds ``_keep``/``_hold``."""
+    every = Window.partitionBy()
+    total = F.sum(n).over(every)
+    keep_total = total - F.ceil(total.cast("double") * F.lit(float(frac))).cast("long")
+    share = (keep_total * F.col(n)).cast("double") / total.cast("double")
+    t = counts.select(cls, n, share.alias("_share"), keep_total.alias("_keep_total"))
+    t = t.select("*", F.floor("_share").cast("long").alias("_fl"),
+                 (F.col("_share") - F.floor("_share")).alias("_fr"))
+    t = t.select("*", F.row_number().over(Window.orderBy(F.desc("_fr"), F.asc(cls))).alias("_r"),
+                 (F.col("_keep_total") - F.sum("_fl").over(every)).alias("_left"))
+    keep = F.col("_fl") + (F.col("_r") <= F.col("_left")).cast("long")
+    return t.select(cls, n, keep.alias("_keep"), (F.col(n) - keep).alias("_hold"))
 
 
 def stratified_split(features: DataFrame, params: SplitParams = SplitParams(), key: str = "customer_id") -> DataFrame:
-    """Add ``split`` in {'train','val','test'}: test first, then val out of the remainder."""
+    """Add ``split`` in {'train','val','test'}: test first, then val out of the remainder.
+    Class counts and allocations stay inside the plan (a tiny broadcast table), so the
+    split is computed in one pass with no driver round trip."""
     target = params.target_column
     if params.stratify and not params.shuffle:
         raise ValueError("Stratified train/test split is not implemented for shuffle=False")
     val_rel = params.val_size / (1.0 - params.test_size)
-    strat = target if params.stratify else None
-    df = features if strat else features.withColumn("_stratum", F.lit(0))
-    stratum = strat or "_stratum"
-    counts = _class_counts(df, stratum)
-    test = largest_remainder(counts, params.test_size)
-    rest = {k: counts[k] - test[k] for k in counts}
-    val = largest_remainder(rest, val_rel)
+    df = features.withColumn("_cls", F.col(target) if params.stratify else F.lit(0))
+    counts = df.groupBy("_cls").agg(F.count(F.lit(1)).alias("_n"))
+    test = allocation(counts, params.test_size).select("_cls", F.col("_keep").alias("_n"), F.col("_hold").alias("_t"))
+    val = allocation(test.select("_cls", "_n"), val_rel).select("_cls", F.col("_hold").alias("_v"))
+    limits = test.join(val, "_cls").select("_cls", "_t", (F.col("_t") + F.col("_v")).alias("_tv"))
     if params.shuffle:
         df = df.withColumn("_ord", hash_order(key, params.random_seed))
-        ranked = dense_index(df, ["_ord", key], out="_rk", partition_cols=[stratum])
+        ranked = dense_index(df, ["_ord", key], out="_rk", partition_cols=["_cls"])
     else:
         # unshuffled: the last rows (by key) are held out
         df = df.withColumn("_ord", -F.col(key))
-        ranked = dense_index(df, ["_ord"], out="_rk", partition_cols=[stratum])
-    t_lim = F.lit(None).cast("long")
-    v_lim = F.lit(None).cast("long")
-    for k in counts:
-        t_lim = F.when(F.col(stratum) == F.lit(k), F.lit(test[k])).otherwise(t_lim)
-        v_lim = F.when(F.col(stratum) == F.lit(k), F.lit(test[k] + val[k])).otherwise(v_lim)
-    out = ranked.withColumn(
+        ranked = dense_index(df, ["_ord"], out="_rk", partition_cols=["_cls"])
+    # one row per class: safe to broadcast
+    out = ranked.join(F.broadcast(limits), "_cls").withColumn(
         SPLIT_COL,
-        F.when(F.col("_rk") < t_lim, F.lit("test")).when(F.col("_rk") < v_lim, F.lit("val")).otherwise(F.lit("train")),
-    ).drop("_rk", "_ord")
-    return out if strat else out.drop("_stratum")
+        F.when(F.col("_rk") < F.col("_t"), F.lit("test")).when(F.col("_rk") < F.col("_tv"), F.lit("val"))
+        .otherwise(F.lit("train")),
+    )
+    return out.drop("_rk", "_ord", "_cls", "_t", "_tv")
 
 
 def feature_matrix(df: DataFrame, params: SplitParams = SplitParams()) -> DataFrame:

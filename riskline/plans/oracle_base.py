@@ -104,25 +104,15 @@ cleaned AS (
 
 
 def features_cte() -> str:
-    p = " + ".join(_q(c) for c in PAY_COLS)
-    b = " + ".join(_q(c) for c in BILL_COLS)
-    a = " + ".join(_q(c) for c in PAYAMT_COLS)
-    delayed = " + ".join(f"CASE WHEN {_q(c)} > 0 THEN 1 ELSE 0 END" for c in PAY_COLS)
+    from ..functions.sqlexpr import derived_feature_sql
+
     clean_cols = ", ".join(_q(c) for c in CLEAN_COLS)
+    derived = ",\n       ".join(f"{sql} AS {_q(name)}" for name, sql in derived_feature_sql(_q))
     return clean_cte() + f""",
 features AS (
   SELECT CAST(row_number() OVER (ORDER BY _first_id) - 1 AS BIGINT) AS customer_id,
        {clean_cols},
-       CAST(greatest({", ".join(_q(c) for c in PAY_COLS)}) AS BIGINT) AS pay_delay_max,
-       ({p}) / 6.0 AS pay_delay_mean,
-       CAST({delayed} AS BIGINT) AS n_months_delayed,
-       ({b}) / 6.0 AS avg_bill,
-       CAST(greatest({", ".join(_q(c) for c in BILL_COLS)}) AS BIGINT) AS max_bill,
-       CAST("BILL_AMT1" - "BILL_AMT6" AS BIGINT) AS bill_trend,
-       ({a}) / 6.0 AS avg_pay_amt,
-       CAST({a} AS BIGINT) AS total_pay,
-       coalesce(CASE WHEN "LIMIT_BAL" = 0 THEN NULL ELSE (({b}) / 6.0) / "LIMIT_BAL" END, 0.0) AS util_ratio,
-       greatest(0.0, least(2.0, CASE WHEN ({b}) > 0 THEN ({a}) / CAST(({b}) AS DOUBLE) ELSE 0.0 END)) AS pct_paid,
+       {derived},
        TIMESTAMP '2024-01-01 00:00:00' AS event_time
   FROM cleaned
 )"""

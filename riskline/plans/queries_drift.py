@@ -1,11 +1,10 @@
 """Queries for split, samples, baseline and drift, with their DuckDB oracle SQL."""
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.sqlexpr import bin_index_sql, kolmogorov_sql
 from ..operators import drift as D
 from ..operators.split import reference_profile
 from ..params import DEFAULTS, FEATURE_COLS
@@ -107,18 +106,7 @@ def q_drift_verdict(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- oracle side
-def bin_sql(v: str, lo: str, step: str, nb: int) -> str:
-    return "(" + " + ".join(f"CAST({v} >= {lo} + {float(i)!r} * {step} AS INTEGER)" for i in range(1, nb)) + ")"
-
-
-def kolmogorov_sql(d: str, n1: str, n2: str, terms: int = 12) -> str:
-    en = f"(CAST({n1} AS DOUBLE) * CAST({n2} AS DOUBLE) / CAST({n1} + {n2} AS DOUBLE))"
-    z = f"((sqrt({en}) + 0.12 + 0.11 / sqrt({en})) * {d})"
-    small = " + ".join(f"exp({-((2 * k - 1) ** 2) * math.pi ** 2 / 8.0!r} / ({z} * {z}))" for k in range(1, terms + 1))
-    large = " + ".join(f"{float((-1) ** (k - 1))!r} * exp({-2.0 * k * k!r} * {z} * {z})" for k in range(1, terms + 1))
-    p = (f"CASE WHEN {z} <= 0 THEN 1.0 WHEN {z} < 1.18 THEN 1.0 - {math.sqrt(2 * math.pi)!r} / {z} * ({small}) "
-         f"ELSE 2.0 * ({large}) END")
-    return f"greatest(0.0, least(1.0, {p}))"
+bin_sql = bin_index_sql
 
 
 def drift_cte() -> str:

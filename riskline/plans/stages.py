@@ -25,14 +25,25 @@ def features(spark: SparkSession, sf_dir: str, params: Params = DEFAULTS) -> Dat
     return engineer_features(c, params.features)
 
 
+_LAYERS: dict = {}
+
+
 def split_table(spark: SparkSession, sf_dir: str, params: Params = DEFAULTS, materialize: bool = True) -> DataFrame:
-    """Features + ``split``. Downstream queries read it several times (reference, test,
-    samples), so it is checkpointed once into the shared checkpoint folder: lineage is
-    cut and every reader sees the same rows even after executor loss."""
+    """Features + ``split`` (the model-input layer). Downstream queries read it several
+    times (reference, test, samples, fits), so it is checkpointed once per application into
+    the shared checkpoint folder: lineage is cut, every reader sees the same rows even after
+    executor loss, and later queries of the same application reuse the layer."""
     from ..operators.split import stratified_split
 
+    key = (spark.sparkContext.applicationId, sf_dir, params)
+    if materialize and key in _LAYERS:
+        return _LAYERS[key]
     s = stratified_split(features(spark, sf_dir, params), params.split)
-    return s.checkpoint(eager=True) if materialize else s
+    if not materialize:
+        return s
+    s = s.checkpoint(eager=True)
+    _LAYERS[key] = s
+    return s
 
 
 def drift_inputs(spark: SparkSession, sf_dir: str, params: Params = DEFAULTS):

@@ -21,62 +21,47 @@ SLOT_YEARS = (2001, 2000, 1999, 1998, 1997, 1996)
 
 def credit_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
-    orders = read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
-        F.year("o_orderdate").alias("oy"),
-    )
+    orders = read_table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "year(o_orderdate) AS oy")
     lo, hi = min(SLOT_YEARS), max(SLOT_YEARS)
     lines = (
         read_table(spark, sf_dir, "lineitem")
-        .filter((F.col("l_shipdate") >= F.lit(f"{lo}-01-01").cast("timestamp"))
-                & (F.col("l_shipdate") < F.lit(f"{hi + 1}-01-01").cast("timestamp")))
-        .select(
-            "l_orderkey",
-            F.year("l_shipdate").alias("sy"),
-            F.floor(F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount"))).cast("long").alias("paid"),
-        )
+        .filter(f"l_shipdate >= TIMESTAMP '{lo}-01-01' AND l_shipdate < TIMESTAMP '{hi + 1}-01-01'")
+        .selectExpr("l_orderkey", "year(l_shipdate) AS sy",
+                    "CAST(floor(l_extendedprice * (1.0 - l_discount)) AS BIGINT) AS paid")
     )
     # one row per order: paid amount per ship-year slot
     per_order = lines.groupBy("l_orderkey").agg(*[
-        F.sum(F.when(F.col("sy") == y, F.col("paid"))).alias(f"pa{i}") for i, y in enumerate(SLOT_YEARS)
+        F.expr(f"sum(CASE WHEN sy = {y} THEN paid END)").alias(f"pa{i}") for i, y in enumerate(SLOT_YEARS)
     ])
     joined = orders.join(per_order, orders.o_orderkey == per_order.l_orderkey, "left")
-
     aggs: list[Column] = []
     for i, y in enumerate(SLOT_YEARS):
-        in_year = F.col("oy") == y
         aggs += [
-            F.count_if(in_year).alias(f"n{i}"),
-            F.count_if(in_year & (F.col("o_orderstatus") == "O")).alias(f"o{i}"),
-            F.max(F.when(in_year & (F.col("o_orderstatus") == "P"), F.lit(1)).otherwise(F.lit(0))).alias(f"p{i}"),
-            F.sum(F.when(in_year, F.floor("o_totalprice").cast("long"))).alias(f"b{i}"),
-            F.sum(f"pa{i}").alias(f"a{i}"),
+            F.expr(f"count_if(oy = {y})").alias(f"n{i}"),
+            F.expr(f"count_if(oy = {y} AND o_orderstatus = 'O')").alias(f"o{i}"),
+            F.expr(f"max(CASE WHEN oy = {y} AND o_orderstatus = 'P' THEN 1 ELSE 0 END)").alias(f"p{i}"),
+            F.expr(f"sum(CASE WHEN oy = {y} THEN CAST(floor(o_totalprice) AS BIGINT) END)").alias(f"b{i}"),
+            F.expr(f"sum(pa{i})").alias(f"a{i}"),
         ]
-    per_cust = joined.groupBy(F.col("o_custkey")).agg(*aggs)
-
+    per_cust = joined.groupBy("o_custkey").agg(*aggs)
     c = customer.join(per_cust, customer.c_custkey == per_cust.o_custkey, "left")
-    key = F.col("c_custkey")
-    pay = {}
+    pays = [f"CAST(CASE WHEN coalesce(n{i}, 0) = 0 THEN -2 ELSE least(8, 2 * o{i} - 1 + p{i}) END AS BIGINT)"
+            for i in range(len(SLOT_YEARS))]
     cols = [
-        key.cast("long").alias("ID"),
-        F.when(F.col("c_acctbal") <= 0, F.lit(0)).otherwise(F.lit(10000) * (F.lit(1) + key % 50)).cast("long").alias("LIMIT_BAL"),
-        (F.lit(1) + key % 2).cast("long").alias("SEX"),
-        (key % 7).cast("long").alias("EDUCATION"),
-        (F.col("c_nationkey") % 4).cast("long").alias("MARRIAGE"),
-        (F.lit(21) + (key * 7919) % 59).cast("long").alias("AGE"),
+        "CAST(c_custkey AS BIGINT) AS ID",
+        "CAST(CASE WHEN c_acctbal <= 0 THEN 0 ELSE 10000 * (1 + c_custkey % 50) END AS BIGINT) AS LIMIT_BAL",
+        "CAST(1 + c_custkey % 2 AS BIGINT) AS SEX",
+        "CAST(c_custkey % 7 AS BIGINT) AS EDUCATION",
+        "CAST(c_nationkey % 4 AS BIGINT) AS MARRIAGE",
+        "CAST(21 + (c_custkey * 7919) % 59 AS BIGINT) AS AGE",
     ]
-    for i, name in enumerate(PAY_COLS):
-        n = F.coalesce(F.col(f"n{i}"), F.lit(0))
-        status = F.least(F.lit(8), F.lit(2) * F.col(f"o{i}") - F.lit(1) + F.col(f"p{i}"))
-        pay[name] = F.when(n == 0, F.lit(-2)).otherwise(status).cast("long")
-        cols.append(pay[name].alias(name))
-    for i, name in enumerate(BILL_COLS):
-        cols.append(F.coalesce(F.col(f"b{i}"), F.lit(0)).cast("long").alias(name))
-    for i, name in enumerate(PAYAMT_COLS):
-        cols.append(F.coalesce(F.col(f"a{i}"), F.lit(0)).cast("long").alias(name))
-    score = F.lit(2) * pay["PAY_0"] + pay["PAY_2"] + (key * 31) % 7
-    cols.append(F.when(score >= 6, F.lit(1)).otherwise(F.lit(0)).cast("long").alias(RAW_TARGET))
-    return c.select(*cols)
+    cols += [f"{p} AS {n}" for p, n in zip(pays, PAY_COLS)]
+    cols += [f"CAST(coalesce(b{i}, 0) AS BIGINT) AS {n}" for i, n in enumerate(BILL_COLS)]
+    cols += [f"CAST(coalesce(a{i}, 0) AS BIGINT) AS {n}" for i, n in enumerate(PAYAMT_COLS)]
+    cols.append(f"CAST(CASE WHEN 2 * {pays[0]} + {pays[1]} + (c_custkey * 31) % 7 >= 6 THEN 1 ELSE 0 END AS BIGINT) "
+                f"AS `{RAW_TARGET}`")
+    return c.selectExpr(*cols)
 
 
 def with_duplicates(profile: DataFrame) -> DataFrame:
@@ -88,12 +73,10 @@ def with_duplicates(profile: DataFrame) -> DataFrame:
 def credit_profile_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Corrupted variant that must fail between / in-set / not-null checks (corrupt first, then copy)."""
     p = credit_profile(spark, sf_dir)
-    idc = F.col("ID")
-    p = p.select(*[
-        F.when(idc % 211 == 7, F.lit(-5).cast("long")).otherwise(F.col("AGE")).alias("AGE") if c == "AGE"
-        else F.when(idc % 307 == 11, F.lit(9).cast("long")).otherwise(F.col("SEX")).alias("SEX") if c == "SEX"
-        else F.when(idc % 401 == 13, F.lit(None).cast("long")).otherwise(F.col("LIMIT_BAL")).alias("LIMIT_BAL") if c == "LIMIT_BAL"
-        else F.col(f"`{c}`")
-        for c in p.columns
-    ])
+    fixes = {
+        "AGE": "CASE WHEN ID % 211 = 7 THEN CAST(-5 AS BIGINT) ELSE AGE END",
+        "SEX": "CASE WHEN ID % 307 = 11 THEN CAST(9 AS BIGINT) ELSE SEX END",
+        "LIMIT_BAL": "CASE WHEN ID % 401 = 13 THEN CAST(NULL AS BIGINT) ELSE LIMIT_BAL END",
+    }
+    p = p.selectExpr(*[f"{fixes[c]} AS {c}" if c in fixes else f"`{c}`" for c in p.columns])
     return with_duplicates(p)

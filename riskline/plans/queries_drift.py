@@ -9,7 +9,7 @@ from ..operators import drift as D
 from ..operators.split import reference_profile
 from ..params import DEFAULTS, FEATURE_COLS
 from . import oracle_base as O
-from .stages import drift_inputs, split_table
+from .stages import drift_inputs, reference_counts, split_table
 
 P = DEFAULTS.drift
 
@@ -19,8 +19,8 @@ def _batches(clean: DataFrame, drifted: DataFrame) -> DataFrame:
 
 
 def _vcs(spark, sf):
-    reference, _, clean, drifted = drift_inputs(spark, sf)
-    ref_vc = D.value_counts_long(reference, FEATURE_COLS)
+    _, _, clean, drifted = drift_inputs(spark, sf)
+    ref_vc = reference_counts(spark, sf)
     cur_vc = D.value_counts_long(_batches(clean, drifted), FEATURE_COLS, "batch")
     return ref_vc, cur_vc
 
@@ -86,8 +86,7 @@ def q_pca_recon(spark: SparkSession, sf: str) -> DataFrame:
 def q_drift_verdict(spark: SparkSession, sf: str) -> DataFrame:
     """Per batch verdict text, PCA state word, top list, thresholds, retrain flag."""
     reference, _, clean, drifted = drift_inputs(spark, sf)
-    ref_vc = D.value_counts_long(reference, FEATURE_COLS)
-    cur_vc = D.value_counts_long(_batches(clean, drifted), FEATURE_COLS, "batch")
+    ref_vc, cur_vc = _vcs(spark, sf)
     summ = D.batch_summary(D.feature_table(ref_vc, cur_vc, P))
     pca = D.pca_recon(reference, {"clean": clean, "drifted": drifted}, FEATURE_COLS, P)
     j = summ.join(F.broadcast(pca.select("batch", "pca_recon_ratio", "multivariate_drift")), "batch")

@@ -6,9 +6,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
-from . import queries_drift, queries_quality
+from . import queries_drift, queries_profile, queries_quality
 
-_MODULES = [queries_quality, queries_drift]
+_MODULES = [queries_quality, queries_drift, queries_profile]
 
 
 def _wrap(fn):

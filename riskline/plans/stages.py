@@ -47,11 +47,35 @@ def split_table(spark: SparkSession, sf_dir: str, params: Params = DEFAULTS, mat
 
 
 def drift_inputs(spark: SparkSession, sf_dir: str, params: Params = DEFAULTS):
-    """(reference rows, test rows, clean batch, drifted batch) of the credit features."""
+    """(reference rows, test rows, clean batch, drifted batch) of the credit features.
+    The two production batches are persisted like the reference's catalog datasets: one
+    checkpointed table with a ``batch`` column (at most 2 x sample_size rows)."""
+    from pyspark.sql import functions as F
+
     from ..operators.split import drift_samples
 
     s = split_table(spark, sf_dir, params)
     reference = s.filter(s.split == "train")
     test = s.filter(s.split == "test")
-    clean, drifted = drift_samples(test, params.drift)
+    key = ("batches", spark.sparkContext.applicationId, sf_dir, params)
+    if key not in _LAYERS:
+        clean, drifted = drift_samples(test, params.drift)
+        both = clean.withColumn("batch", F.lit("clean")).unionByName(drifted.withColumn("batch", F.lit("drifted")))
+        _LAYERS[key] = both.checkpoint(eager=True)
+    both = _LAYERS[key]
+    clean = both.filter(both.batch == "clean").drop("batch")
+    drifted = both.filter(both.batch == "drifted").drop("batch")
     return reference, test, clean, drifted
+
+
+def reference_counts(spark: SparkSession, sf_dir: str, params: Params = DEFAULTS):
+    """X4 profile layer: per-feature distinct values and counts of the training rows,
+    persisted once so drift runs skip the reference scan."""
+    from ..operators.drift import value_counts_long
+    from ..params import FEATURE_COLS
+
+    key = ("ref_vc", spark.sparkContext.applicationId, sf_dir, params)
+    if key not in _LAYERS:
+        s = split_table(spark, sf_dir, params)
+        _LAYERS[key] = value_counts_long(s.filter(s.split == "train"), FEATURE_COLS).checkpoint(eager=True)
+    return _LAYERS[key]

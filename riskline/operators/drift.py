@@ -96,12 +96,14 @@ def kolmogorov_pvalue(d: str, n1: str, n2: str) -> Column:
     return F.expr(kolmogorov_sql(d, n1, n2))
 
 
-def ks_stats(ref_vc: DataFrame, cur_vc: DataFrame) -> DataFrame:
+def ks_stats(ref_vc: DataFrame, cur_vc: DataFrame, batch_names: list[str] | None = None) -> DataFrame:
     """Sup |F_ref - F_cur| over pooled distinct values, per (batch, feature).
-    The reference counts are paired with each batch (a broadcast list of batch names),
+    The reference counts are repeated once per batch name (a literal array, no join),
     pooled with the batch counts, and cumulated with the range-partitioned helper."""
-    batches = F.broadcast(cur_vc.select("batch").distinct())
-    pooled = (ref_vc.crossJoin(batches).select("batch", "feature", "value", F.col("c").alias("cr"), F.lit(0).cast("long").alias("cc"))
+    if batch_names is None:
+        batch_names = sorted(r[0] for r in cur_vc.select("batch").distinct().collect())  # one row per batch
+    pooled = (ref_vc.select(F.explode(F.array(*[F.lit(b) for b in batch_names])).alias("batch"), "feature", "value",
+                            F.col("c").alias("cr"), F.lit(0).cast("long").alias("cc"))
               .unionByName(cur_vc.select("batch", "feature", "value", F.lit(0).cast("long").alias("cr"), F.col("c").alias("cc")))
               .groupBy("batch", "feature", "value").agg(F.sum("cr").alias("cr"), F.sum("cc").alias("cc")))
     cum = running_sums(pooled, ["value"], ["cr", "cc"], partition_cols=["batch", "feature"])
@@ -117,11 +119,12 @@ def psi_band(psi: Column) -> Column:
     return F.when(psi < 0.1, F.lit("stable")).when(psi < 0.2, F.lit("moderate")).otherwise(F.lit("significant"))
 
 
-def feature_table(ref_vc: DataFrame, cur_vc: DataFrame, params: DriftParams = DriftParams()) -> DataFrame:
+def feature_table(ref_vc: DataFrame, cur_vc: DataFrame, params: DriftParams = DriftParams(),
+                  batch_names: list[str] | None = None) -> DataFrame:
     """D8 (+D7, D13, W1): per (batch, feature) psi/js/ks_pvalue rounded to 4, flag on the
     unrounded psi, rank by rounded psi desc then feature name."""
     pj = psi_js(psi_bins(ref_vc, cur_vc, params))
-    ks = ks_stats(ref_vc, cur_vc)
+    ks = ks_stats(ref_vc, cur_vc, batch_names)
     t = pj.join(ks, ["batch", "feature"])
     rw = Window.partitionBy("batch").orderBy(F.desc(F.round("psi", 4)), F.asc("feature"))
     return t.select(

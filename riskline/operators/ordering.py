@@ -6,8 +6,14 @@ range-partitioned on ``(group, order)`` so a hot group spreads over many tasks;
 numbers its rows locally, and a small table of per-(task, group) counts - at most
 ``partitions x groups`` rows - turns local numbers into global ones via a broadcast join.
 
+Range bounds come from sampling the input, and a shuffled input is not read in a fixed
+order, so two evaluations of the same range exchange may cut at different keys. The
+range-partitioned frame is therefore checkpointed (reliably, into the shared checkpoint
+folder) before the local numbering and the per-task counts are taken from it: both read
+the same materialized partitions, also after executor loss.
+
 Callers pass order keys that are unique within a group (add a key as a tie-breaker);
-then results do not depend on task scheduling or on recomputation after executor loss.
+then results do not depend on task scheduling.
 """
 from __future__ import annotations
 
@@ -23,6 +29,13 @@ def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _stable(df: DataFrame) -> DataFrame:
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def dense_index(
     df: DataFrame,
     order_cols: Sequence[str],
@@ -34,7 +47,7 @@ def dense_index(
     ordered by ``order_cols`` (ascending)."""
     pc, oc = list(partition_cols), list(order_cols)
     n = _num_partitions(df, num_partitions)
-    ranged = (
+    ranged = _stable(
         df.repartitionByRange(n, *pc, *oc)
         .sortWithinPartitions(*pc, *oc)
         .withColumn("_pid", F.spark_partition_id())
@@ -62,7 +75,7 @@ def running_sums(
     ``partition_cols`` group in ``order_cols`` order. Collapse ties before calling."""
     pc, oc, sc = list(partition_cols), list(order_cols), list(sum_cols)
     n = _num_partitions(df, num_partitions)
-    ranged = df.repartitionByRange(n, *pc, *oc).withColumn("_pid", F.spark_partition_id())
+    ranged = _stable(df.repartitionByRange(n, *pc, *oc).withColumn("_pid", F.spark_partition_id()))
     local_w = Window.partitionBy("_pid", *pc).orderBy(*oc).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.select("*", *[F.sum(c).over(local_w).alias(f"_l_{c}") for c in sc])
     stats = ranged.groupBy("_pid", *pc).agg(*[F.sum(c).alias(f"_t_{c}") for c in sc])

@@ -99,34 +99,44 @@ def seeded_sample(df: DataFrame, size: int, key: str = "customer_id", seed: int
     return df.withColumn("_ord", hash_order(key, seed)).orderBy("_ord", key).limit(size).drop("_ord")
 
 
-def exact_quantile(df: DataFrame, column: str, q: float) -> DataFrame:
-    """One-row frame ``(quantile)``, linear interpolation between order statistics
-    (h = (n-1) q). Works from per-value counts and distributed running sums, so no task
-    holds more than one range of distinct values."""
-    vc = df.groupBy(F.col(column).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("c")).filter(F.col("v").isNotNull())
-    cum = running_sums(vc, ["v"], ["c"])  # c_cum = rows <= v
-    n = vc.agg(F.sum("c").alias("n"))
-    pos = n.select(
-        F.col("n"),
-        (F.lit(q) * (F.col("n") - 1)).alias("h"),
-    ).select("n", "h", F.floor("h").cast("long").alias("k0"))
-    pos = pos.select("h", "k0", F.least(F.col("k0") + 1, F.col("n") - 1).alias("k1"))
-    # x[k] = value whose run covers position k: c_cum - c <= k < c_cum  (one row each; pos has one row)
-    p = F.broadcast(pos)
-    j = cum.crossJoin(p)
-    lo = j.filter((F.col("c_cum") - F.col("c") <= F.col("k0")) & (F.col("k0") < F.col("c_cum"))).select(F.col("v").alias("x0"), "h", "k0")
-    hi = j.filter((F.col("c_cum") - F.col("c") <= F.col("k1")) & (F.col("k1") < F.col("c_cum"))).select(F.col("v").alias("x1"))
-    return lo.crossJoin(hi).select(
-        (F.col("x0") + (F.col("h") - F.col("k0")) * (F.col("x1") - F.col("x0"))).alias("quantile"))
+def exact_quantiles(df: DataFrame, column: str, qs: list[float]) -> list[float | None]:
+    """Exact quantiles with linear interpolation between order statistics
+    (h = (n-1) q, as numpy/pandas 'linear'). Built from per-value counts and distributed
+    running sums; only the <= 2 order statistics per quantile reach the driver."""
+    vc = (df.groupBy(F.col(f"`{column}`").cast("double").alias("v")).agg(F.count(F.lit(1)).alias("c"))
+          .filter(F.col("v").isNotNull()))
+    cum = running_sums(vc, ["v"], ["c"]).cache()  # rows <= v as c_cum; reused by the two actions below
+    try:
+        n = cum.agg(F.sum("c")).first()[0] or 0
+        if n == 0:
+            return [None for _ in qs]
+        plan = []
+        for q in qs:
+            h = (n - 1) * q
+            k0 = int(math.floor(h))
+            k1 = min(k0 + 1, n - 1)
+            plan.append((h, k0, k1))
+        ks = sorted({k for _, k0, k1 in plan for k in (k0, k1)})
+        cover = None
+        for k in ks:
+            c = (F.col("c_cum") - F.col("c") <= F.lit(k)) & (F.lit(k) < F.col("c_cum"))
+            cover = c if cover is None else cover | c
+        runs = [(r["v"], r["c_cum"] - r["c"], r["c_cum"]) for r in cum.filter(cover).collect()]
+    finally:
+        cum.unpersist()
+
+    def at(k):
+        return next(v for v, lo, hi in runs if lo <= k < hi)
+
+    return [at(k0) + (h - k0) * (at(k1) - at(k0)) for h, k0, k1 in plan]
 
 
 def drift_samples(test: DataFrame, params: DriftParams = DriftParams(), key: str = "customer_id") -> tuple[DataFrame, DataFrame]:
     """Clean control batch and a batch biased to ``bias_column >= quantile``.
-
-    The threshold is a one-row aggregate broadcast-joined to the rows (P11)."""
+    The threshold is one exact scalar (P11), inlined as a literal in the filter."""
     clean = seeded_sample(test, params.sample_size, key, params.sample_seed)
-    thr = exact_quantile(test, params.bias_column, params.bias_quantile)
-    biased = test.crossJoin(F.broadcast(thr)).filter(F.col(params.bias_column) >= F.col("quantile")).drop("quantile")
+    (thr,) = exact_quantiles(test, params.bias_column, [params.bias_quantile])
+    biased = test.filter(F.col(params.bias_column) >= F.lit(thr))
     drifted = seeded_sample(biased, params.sample_size, key, params.sample_seed)
     return clean, drifted
 

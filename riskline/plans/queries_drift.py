@@ -1,7 +1,7 @@
 """Queries for split, samples, baseline and drift, with their DuckDB oracle SQL."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.sqlexpr import bin_index_sql, kolmogorov_sql
@@ -12,6 +12,7 @@ from . import oracle_base as O
 from .stages import drift_inputs, reference_counts, split_table
 
 P = DEFAULTS.drift
+BATCHES = ["clean", "drifted"]
 
 
 def _batches(clean: DataFrame, drifted: DataFrame) -> DataFrame:
@@ -32,9 +33,10 @@ def q_split_assign(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_split_balance(spark: SparkSession, sf: str) -> DataFrame:
     s = split_table(spark, sf)
-    total = s.agg(F.count(F.lit(1)).alias("_all"))
     g = s.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("default").cast("long").alias("n_pos"))
-    return g.crossJoin(F.broadcast(total)).select(
+    every = Window.partitionBy()  # one row per split label
+    return g.select(
+        "split", "n_rows", "n_pos", F.sum("n_rows").over(every).alias("_all")).select(
         "split", "n_rows", "n_pos",
         F.round(F.col("n_pos") / F.col("n_rows"), 6).alias("pos_rate"),
         F.round(F.lit(100.0) * F.col("n_rows") / F.col("_all"), 6).alias("pct_of_total"))
@@ -59,7 +61,7 @@ def q_psi_bins(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_psi_table(spark: SparkSession, sf: str) -> DataFrame:
     ref_vc, cur_vc = _vcs(spark, sf)
-    return D.feature_table(ref_vc, cur_vc, P)
+    return D.feature_table(ref_vc, cur_vc, P, BATCHES)
 
 
 def q_js_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -69,13 +71,13 @@ def q_js_table(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_ks_table(spark: SparkSession, sf: str) -> DataFrame:
     ref_vc, cur_vc = _vcs(spark, sf)
-    return D.ks_stats(ref_vc, cur_vc).select("batch", "feature", F.round("ks_stat", 6).alias("ks_stat"),
+    return D.ks_stats(ref_vc, cur_vc, BATCHES).select("batch", "feature", F.round("ks_stat", 6).alias("ks_stat"),
                                              F.round("ks_pvalue", 4).alias("ks_pvalue"))
 
 
 def q_drift_summary(spark: SparkSession, sf: str) -> DataFrame:
     ref_vc, cur_vc = _vcs(spark, sf)
-    return D.batch_summary(D.feature_table(ref_vc, cur_vc, P))
+    return D.batch_summary(D.feature_table(ref_vc, cur_vc, P, BATCHES))
 
 
 def q_pca_recon(spark: SparkSession, sf: str) -> DataFrame:
@@ -87,7 +89,7 @@ def q_drift_verdict(spark: SparkSession, sf: str) -> DataFrame:
     """Per batch verdict text, PCA state word, top list, thresholds, retrain flag."""
     reference, _, clean, drifted = drift_inputs(spark, sf)
     ref_vc, cur_vc = _vcs(spark, sf)
-    summ = D.batch_summary(D.feature_table(ref_vc, cur_vc, P))
+    summ = D.batch_summary(D.feature_table(ref_vc, cur_vc, P, BATCHES))
     pca = D.pca_recon(reference, {"clean": clean, "drifted": drifted}, FEATURE_COLS, P)
     j = summ.join(F.broadcast(pca.select("batch", "pca_recon_ratio", "multivariate_drift")), "batch")
     n = F.col("n_features_drifted")

@@ -6,9 +6,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
-from . import queries_drift, queries_profile, queries_quality
+from . import queries_drift, queries_model, queries_profile, queries_quality
 
-_MODULES = [queries_quality, queries_drift, queries_profile]
+_MODULES = [queries_quality, queries_drift, queries_profile, queries_model]
 
 
 def _wrap(fn):

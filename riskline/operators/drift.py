@@ -209,3 +209,42 @@ def pca_recon(reference: DataFrame, batches: dict[str, DataFrame], features: lis
     return spark.createDataFrame(
         rows, "batch string, n_features int, n_components int, reference_error double, current_error double, "
               "pca_recon_ratio double, multivariate_drift boolean")
+
+
+# ------------------------------------------------------------------ frozen-reference windows
+def frozen_reference(ref_long: DataFrame, params: DriftParams = DriftParams()) -> tuple[DataFrame, DataFrame]:
+    """Edges and floored proportions of a frozen reference ``(feature, value)``.
+    Returns ``(edges(feature, lo, step, n_ref), ref_bins(feature, bin, e))``; both have at
+    most features x buckets rows. Later values outside [lo, hi] fall in the first/last bin."""
+    nb = params.buckets
+    edges = ref_long.groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi"),
+                                            F.count(F.lit(1)).alias("n_ref"))
+    edges = edges.select("feature", "lo", ((F.col("hi") - F.col("lo")) / F.lit(float(nb))).alias("step"), "n_ref")
+    e = F.broadcast(edges)
+    counts = (ref_long.join(e, "feature").select("feature", bin_index("value", "lo", "step", nb).alias("bin"))
+              .groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("c")))
+    grid = edges.select("feature", "n_ref", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("bin"))
+    p = grid.join(counts, ["feature", "bin"], "left").fillna(0, ["c"])
+    share = F.col("c") / F.col("n_ref")
+    ref_bins = p.select("feature", "bin", F.when(share == 0, F.lit(params.epsilon)).otherwise(share).alias("e"))
+    return edges, ref_bins
+
+
+def window_bin_counts(cur_long: DataFrame, edges: DataFrame, buckets: int = 10) -> DataFrame:
+    """(window_start, feature, bin, c) against the frozen edges (broadcast)."""
+    return (cur_long.join(F.broadcast(edges.select("feature", "lo", "step")), "feature")
+            .select("window_start", "feature", bin_index("value", "lo", "step", buckets).alias("bin"))
+            .groupBy("window_start", "feature", "bin").agg(F.count(F.lit(1)).alias("c")))
+
+
+def window_psi(counts: DataFrame, ref_bins: DataFrame, params: DriftParams = DriftParams()) -> DataFrame:
+    """PSI per (window, feature) from per-bin counts; missing bins are floored to epsilon."""
+    tot = counts.groupBy("window_start", "feature").agg(F.sum("c").alias("n"))
+    grid = tot.join(F.broadcast(ref_bins), "feature")  # features x buckets reference rows
+    g = grid.join(counts, ["window_start", "feature", "bin"], "left").fillna(0, ["c"])
+    share = F.col("c") / F.col("n")
+    a = F.when(share == 0, F.lit(params.epsilon)).otherwise(share)
+    return g.groupBy("window_start", "feature", "n").agg(
+        F.sum((a - F.col("e")) * F.log(a / F.col("e"))).alias("psi")).select(
+        "window_start", "feature", F.col("n").cast("long").alias("n"), F.round("psi", 6).alias("psi"),
+        (F.col("psi") >= F.lit(params.psi_threshold)).alias("drift"))

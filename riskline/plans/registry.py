@@ -6,9 +6,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
-from . import queries_drift, queries_fit, queries_model, queries_profile, queries_quality
+from . import queries_drift, queries_fit, queries_model, queries_profile, queries_quality, queries_stream
 
-_MODULES = [queries_quality, queries_drift, queries_profile, queries_model, queries_fit]
+_MODULES = [queries_quality, queries_drift, queries_profile, queries_model, queries_stream, queries_fit]
 
 
 def _wrap(fn):

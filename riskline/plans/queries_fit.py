@@ -79,7 +79,44 @@ def q_champion_scores(spark: SparkSession, sf: str) -> DataFrame:
                     (F.col("proba") >= F.lit(DEFAULTS.predict.prediction_threshold)).cast("int").alias("prediction"))
 
 
+def _tree_family(metrics: dict) -> str:
+    """The champion when it is a tree ensemble, else the best tree family."""
+    order = sorted(metrics, key=lambda f: -metrics[f][DEFAULTS.selection.primary_metric])
+    return next(f for f in order if f != "LogisticRegression")
+
+
+def q_tree_attribution(spark: SparkSession, sf: str) -> DataFrame:
+    """H2 (trees): TreeSHAP for every test row, one column per feature, plus base/output."""
+    from ..operators.treeshap import tree_attribution
+    from ..params import FEATURE_COLS
+
+    models, metrics, _ = fitted(spark, sf)
+    fam = _tree_family(metrics)
+    test = split_table(spark, sf).filter(F.col("split") == "test")
+    a = tree_attribution(spark, models[fam], test, FEATURE_COLS, _root(spark, sf) + "/treeshap")
+    return a.select("customer_id", *[F.round(F.col(f"`{c}`"), 6).alias(c) for c in FEATURE_COLS],
+                    F.round("base_value", 6).alias("base_value"), F.round("model_output", 6).alias("model_output"),
+                    F.lit(fam).alias("family"))
+
+
+def q_global_tree_attribution(spark: SparkSession, sf: str) -> DataFrame:
+    """H1: mean |TreeSHAP| per feature over a seeded sample of <= shap_max_samples training rows."""
+    from ..operators.scoring import global_attribution
+    from ..operators.split import seeded_sample
+    from ..operators.treeshap import tree_attribution
+    from ..params import FEATURE_COLS
+
+    models, metrics, _ = fitted(spark, sf)
+    fam = _tree_family(metrics)
+    train = split_table(spark, sf).filter(F.col("split") == "train")
+    sample = seeded_sample(train, DEFAULTS.selection.shap_max_samples)
+    a = tree_attribution(spark, models[fam], sample, FEATURE_COLS, _root(spark, sf) + "/treeshap")
+    return global_attribution(a, FEATURE_COLS).withColumn("family", F.lit(fam))
+
+
 QUERIES = {
+    "tree_attribution": q_tree_attribution,
+    "global_tree_attribution": q_global_tree_attribution,
     "model_comparison": q_model_comparison,
     "champion": q_champion,
     "registry_current": q_registry_current,

@@ -85,6 +85,19 @@ def q_pca_recon(spark: SparkSession, sf: str) -> DataFrame:
     return D.pca_recon(reference, {"clean": clean, "drifted": drifted}, FEATURE_COLS, P)
 
 
+PAIR = ["BILL_AMT1", "BILL_AMT2"]
+
+
+def q_pca_recon_pair(spark: SparkSession, sf: str) -> DataFrame:
+    """D6 on two correlated features with one component: the same moments-only code path as
+    the wide case, small enough for a closed-form SQL check (eigenvalues 1 +- |r|)."""
+    from dataclasses import replace
+
+    reference, _, clean, drifted = drift_inputs(spark, sf)
+    out = D.pca_recon(reference, {"clean": clean, "drifted": drifted}, PAIR, replace(P, pca_components=1))
+    return out.select("batch", "n_components", "reference_error", "current_error", "pca_recon_ratio")
+
+
 def q_drift_verdict(spark: SparkSession, sf: str) -> DataFrame:
     """Per batch verdict text, PCA state word, top list, thresholds, retrain flag."""
     reference, _, clean, drifted = drift_inputs(spark, sf)
@@ -190,7 +203,22 @@ def oracles() -> dict[str, str]:
     drift = f"WITH {cp},\n{drift_cte()}"
     feats = ", ".join(f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in FEATURE_COLS)
     on = ", ".join(f'"{c}"' for c in FEATURE_COLS)
+    a, b = (f'CAST("{c}" AS DOUBLE)' for c in PAIR)
+    pair = f"""{drift},
+_r AS (SELECT avg({a}) AS ma, avg({b}) AS mb, stddev_pop({a}) AS sa, stddev_pop({b}) AS sb, corr({a}, {b}) AS r FROM _train),
+_c AS (SELECT batch, avg({a}) AS ca, avg({b}) AS cb, var_pop({a}) AS va, var_pop({b}) AS vb, covar_pop({a}, {b}) AS cab
+       FROM batches GROUP BY batch),
+_s AS (SELECT batch, r, 1.0 - abs(r) AS err_ref,
+              va / (sa * sa) + ((ca - ma) / sa) * ((ca - ma) / sa) AS s11,
+              vb / (sb * sb) + ((cb - mb) / sb) * ((cb - mb) / sb) AS s22,
+              cab / (sa * sb) + ((ca - ma) / sa) * ((cb - mb) / sb) AS s12
+       FROM _c, _r)
+SELECT batch, 1 AS n_components, round(err_ref, 6) AS reference_error,
+       round((s11 + s22 - 2.0 * sign(r) * s12) / 2.0, 6) AS current_error,
+       round(((s11 + s22 - 2.0 * sign(r) * s12) / 2.0) / err_ref, 3) AS pca_recon_ratio
+FROM _s"""
     return {
+        "pca_recon_pair": pair,
         "split_assign": f'{split} SELECT customer_id, "default", split FROM split_assign',
         "split_balance": f"""{split}
 SELECT split, count(*) AS n_rows, CAST(sum("default") AS BIGINT) AS n_pos,
@@ -226,5 +254,6 @@ QUERIES = {
     "ks_table": q_ks_table,
     "drift_summary": q_drift_summary,
     "pca_recon": q_pca_recon,
+    "pca_recon_pair": q_pca_recon_pair,
     "drift_verdict": q_drift_verdict,
 }

@@ -59,9 +59,20 @@ def q_psi_bins(spark: SparkSession, sf: str) -> DataFrame:
                     F.round("e", 8).alias("e"), F.round("a", 8).alias("a"))
 
 
+def _feature_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The per-feature drift table (the reference's psi_per_feature output), persisted once
+    per application; summary and verdict read it instead of recomputing PSI/JS/KS."""
+    from .stages import _LAYERS
+
+    key = ("feature_table", spark.sparkContext.applicationId, sf)
+    if key not in _LAYERS:
+        ref_vc, cur_vc = _vcs(spark, sf)
+        _LAYERS[key] = D.feature_table(ref_vc, cur_vc, P, BATCHES).checkpoint(eager=True)
+    return _LAYERS[key]
+
+
 def q_psi_table(spark: SparkSession, sf: str) -> DataFrame:
-    ref_vc, cur_vc = _vcs(spark, sf)
-    return D.feature_table(ref_vc, cur_vc, P, BATCHES)
+    return _feature_table(spark, sf)
 
 
 def q_js_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -76,8 +87,7 @@ def q_ks_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_drift_summary(spark: SparkSession, sf: str) -> DataFrame:
-    ref_vc, cur_vc = _vcs(spark, sf)
-    return D.batch_summary(D.feature_table(ref_vc, cur_vc, P, BATCHES))
+    return D.batch_summary(_feature_table(spark, sf))
 
 
 def q_pca_recon(spark: SparkSession, sf: str) -> DataFrame:
@@ -101,8 +111,7 @@ def q_pca_recon_pair(spark: SparkSession, sf: str) -> DataFrame:
 def q_drift_verdict(spark: SparkSession, sf: str) -> DataFrame:
     """Per batch verdict text, PCA state word, top list, thresholds, retrain flag."""
     reference, _, clean, drifted = drift_inputs(spark, sf)
-    ref_vc, cur_vc = _vcs(spark, sf)
-    summ = D.batch_summary(D.feature_table(ref_vc, cur_vc, P, BATCHES))
+    summ = D.batch_summary(_feature_table(spark, sf))
     pca = D.pca_recon(reference, {"clean": clean, "drifted": drifted}, FEATURE_COLS, P)
     j = summ.join(F.broadcast(pca.select("batch", "pca_recon_ratio", "multivariate_drift")), "batch")
     n = F.col("n_features_drifted")

@@ -40,15 +40,21 @@ def windowed_drift_stream(stream: DataFrame, edges: DataFrame, ref_bins: DataFra
     frozen reference edges (stream-static broadcast join). In append mode a window's counts
     are emitted once, complete, after the watermark passes its end; each micro-batch then
     turns the closed windows into PSI rows."""
-    cur = (stream.withWatermark(ts_col, watermark)
-           .select(F.window(ts_col, window).alias("w"), F.col(feature_col).alias("feature"),
+    from pyspark.sql.types import TimestampNTZType
+
+    # watermarks need TIMESTAMP; wall-clock (NTZ) inputs are read in the session time zone
+    ntz = isinstance(stream.schema[ts_col].dataType, TimestampNTZType)
+    et = stream.withColumn("_et", F.col(ts_col).cast("timestamp") if ntz else F.col(ts_col))
+    cur = (et.withWatermark("_et", watermark)
+           .select(F.window("_et", window).alias("w"), F.col(feature_col).alias("feature"),
                    F.col(value_col).cast("double").alias("value")))
     binned = cur.join(F.broadcast(edges.select("feature", "lo", "step")), "feature").select(
         "w", "feature", D.bin_index("value", "lo", "step", params.buckets).alias("bin"))
     counts = binned.groupBy("w", "feature", "bin").agg(F.count(F.lit(1)).alias("c"))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        closed = batch.select(F.col("w.start").alias("window_start"), "feature", "bin", "c")
+        start = F.col("w.start").cast("timestamp_ntz") if ntz else F.col("w.start")
+        closed = batch.select(start.alias("window_start"), "feature", "bin", "c")
         D.window_psi(closed, ref_bins, params).withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out_path)
 
     w = counts.writeStream.outputMode("append").foreachBatch(per_batch).option("checkpointLocation", checkpoint)

@@ -9,7 +9,10 @@ the pooled distinct values; PCA reconstruction error from per-batch moments only
 """
 from __future__ import annotations
 
+import math
+
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -111,7 +114,8 @@ def ks_stats(ref_vc: DataFrame, cur_vc: DataFrame, batch_names: list[str] | None
     j = cum.join(F.broadcast(tot), ["batch", "feature"])
     gap = F.abs(F.col("cr_cum") / F.col("n_ref") - F.col("cc_cum") / F.col("n_cur"))
     return j.groupBy("batch", "feature", "n_ref", "n_cur").agg(F.max(gap).alias("ks_stat")).select(
-        "batch", "feature", "ks_stat", kolmogorov_pvalue("ks_stat", "n_ref", "n_cur").alias("ks_pvalue"))
+        "batch", "feature", "ks_stat", kolmogorov_pvalue("ks_stat", "n_ref", "n_cur").alias("ks_pvalue"),
+        F.col("n_ref").cast("long").alias("n_ref"), F.col("n_cur").cast("long").alias("n_cur"))
 
 
 def psi_band(psi: Column) -> Column:
@@ -248,3 +252,57 @@ def window_psi(counts: DataFrame, ref_bins: DataFrame, params: DriftParams = Dri
         F.sum((a - F.col("e")) * F.log(a / F.col("e"))).alias("psi")).select(
         "window_start", "feature", F.col("n").cast("long").alias("n"), F.round("psi", 6).alias("psi"),
         (F.col("psi") >= F.lit(params.psi_threshold)).alias("drift"))
+
+
+# ------------------------------------------------------------------ exact two-sample KS law
+EXACT_MAX_N = 10_000  # fixed value: exact law up to this sample size, asymptotic above
+
+
+def ks_exact_pvalue(d: float, n1: int, n2: int) -> float:
+    """P(D >= d) for two samples of sizes n1, n2 under H0 (no ties), by counting the
+    monotone lattice paths from (0, 0) to (n1, n2) that stay strictly inside
+    |i/n1 - j/n2| < d. Inside one row the allowed cells form an interval, so a row of
+    counts is a cumulative sum of the previous row; rows are rescaled to avoid overflow."""
+    if n1 <= 0 or n2 <= 0:
+        return 1.0
+    if n1 > n2:
+        n1, n2 = n2, n1
+    h = int(round(d * n1 * n2))  # D = |a*n2 - b*n1| / (n1*n2): an integer lattice distance
+    if h <= 0:
+        return 1.0
+    j = np.arange(n2 + 1)
+    row = np.where(j * n1 < h, 1.0, 0.0)
+    # the path must stay contiguous from (0, 0): cut at the first outside cell
+    first_out = np.argmax(row == 0) if (row == 0).any() else n2 + 1
+    row[first_out:] = 0.0
+    log_scale = 0.0
+    for i in range(1, n1 + 1):
+        inside = np.abs(i * n2 - j * n1) < h
+        if not inside.any():
+            return 1.0
+        a, b = int(np.argmax(inside)), int(len(inside) - 1 - np.argmax(inside[::-1]))
+        new = np.zeros(n2 + 1)
+        new[a:b + 1] = np.cumsum(row[a:b + 1])
+        s = new.max()
+        if s <= 0:
+            return 1.0
+        row = new / s
+        log_scale += math.log(s)
+    if row[n2] <= 0:
+        return 1.0
+    log_inside = math.log(row[n2]) + log_scale - (math.lgamma(n1 + n2 + 1) - math.lgamma(n1 + 1) - math.lgamma(n2 + 1))
+    return float(min(1.0, max(0.0, 1.0 - math.exp(log_inside))))
+
+
+def ks_pvalue_auto(ks: DataFrame) -> DataFrame:
+    """Adds ``ks_pvalue_exact`` (exact law when max(n_ref, n_cur) <= 10,000, else the
+    asymptotic column) and ``ks_method``. Runs as a pandas UDF over the aggregated
+    (batch, feature) rows - one row per feature and batch, never per data row."""
+
+    @F.pandas_udf("double")
+    def exact(d: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
+        return pd.Series([ks_exact_pvalue(float(a), int(b), int(c)) for a, b, c in zip(d, n1, n2)])
+
+    small = F.greatest(F.col("n_ref"), F.col("n_cur")) <= F.lit(EXACT_MAX_N)
+    return ks.withColumn("ks_method", F.when(small, F.lit("exact")).otherwise(F.lit("asymptotic"))).withColumn(
+        "ks_pvalue_exact", F.when(small, exact("ks_stat", "n_ref", "n_cur")).otherwise(F.col("ks_pvalue")))

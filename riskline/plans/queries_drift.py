@@ -86,6 +86,15 @@ def q_ks_table(spark: SparkSession, sf: str) -> DataFrame:
                                              F.round("ks_pvalue", 4).alias("ks_pvalue"))
 
 
+def q_ks_table_exact(spark: SparkSession, sf: str) -> DataFrame:
+    """D5 with the reference's method choice: exact two-sample law when both samples have
+    at most 10,000 rows, asymptotic otherwise (rows-only: the lattice count has no SQL form)."""
+    ref_vc, cur_vc = _vcs(spark, sf)
+    ks = D.ks_pvalue_auto(D.ks_stats(ref_vc, cur_vc, BATCHES))
+    return ks.select("batch", "feature", F.round("ks_stat", 6).alias("ks_stat"), "n_ref", "n_cur", "ks_method",
+                     F.round("ks_pvalue_exact", 4).alias("ks_pvalue"))
+
+
 def q_drift_summary(spark: SparkSession, sf: str) -> DataFrame:
     return D.batch_summary(_feature_table(spark, sf))
 
@@ -261,6 +270,7 @@ QUERIES = {
     "psi_table": q_psi_table,
     "js_table": q_js_table,
     "ks_table": q_ks_table,
+    "ks_table_exact": q_ks_table_exact,
     "drift_summary": q_drift_summary,
     "pca_recon": q_pca_recon,
     "pca_recon_pair": q_pca_recon_pair,

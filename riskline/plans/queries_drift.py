@@ -99,9 +99,19 @@ def q_drift_summary(spark: SparkSession, sf: str) -> DataFrame:
     return D.batch_summary(_feature_table(spark, sf))
 
 
+def _pca(spark: SparkSession, sf: str) -> DataFrame:
+    """Moments-only PCA drift of both batches, computed once per application."""
+    from .stages import _LAYERS
+
+    key = ("pca", spark.sparkContext.applicationId, sf)
+    if key not in _LAYERS:
+        reference, _, clean, drifted = drift_inputs(spark, sf)
+        _LAYERS[key] = D.pca_recon(reference, {"clean": clean, "drifted": drifted}, FEATURE_COLS, P).cache()
+    return _LAYERS[key]
+
+
 def q_pca_recon(spark: SparkSession, sf: str) -> DataFrame:
-    reference, _, clean, drifted = drift_inputs(spark, sf)
-    return D.pca_recon(reference, {"clean": clean, "drifted": drifted}, FEATURE_COLS, P)
+    return _pca(spark, sf)
 
 
 PAIR = ["BILL_AMT1", "BILL_AMT2"]
@@ -119,9 +129,8 @@ def q_pca_recon_pair(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_drift_verdict(spark: SparkSession, sf: str) -> DataFrame:
     """Per batch verdict text, PCA state word, top list, thresholds, retrain flag."""
-    reference, _, clean, drifted = drift_inputs(spark, sf)
     summ = D.batch_summary(_feature_table(spark, sf))
-    pca = D.pca_recon(reference, {"clean": clean, "drifted": drifted}, FEATURE_COLS, P)
+    pca = _pca(spark, sf)
     j = summ.join(F.broadcast(pca.select("batch", "pca_recon_ratio", "multivariate_drift")), "batch")
     n = F.col("n_features_drifted")
     any_drift = (n > 0) | F.col("multivariate_drift")

@@ -23,10 +23,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return int(num_partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _range(df: DataFrame, cols: list[str], num_partitions: int | None) -> DataFrame:
+    """Range exchange; without an explicit count AQE may merge adjacent ranges of a small
+    input (merged partitions still hold one contiguous key range each)."""
+    return df.repartitionByRange(int(num_partitions), *cols) if num_partitions else df.repartitionByRange(*cols)
 
 
 def _stable(df: DataFrame) -> DataFrame:
@@ -46,9 +46,8 @@ def dense_index(
     """Add ``out`` = 0-based position of each row within its ``partition_cols`` group,
     ordered by ``order_cols`` (ascending)."""
     pc, oc = list(partition_cols), list(order_cols)
-    n = _num_partitions(df, num_partitions)
     ranged = _stable(
-        df.repartitionByRange(n, *pc, *oc)
+        _range(df, [*pc, *oc], num_partitions)
         .sortWithinPartitions(*pc, *oc)
         .withColumn("_pid", F.spark_partition_id())
         # ids are (partition << 33) + position inside the task, in sorted order
@@ -74,8 +73,7 @@ def running_sums(
     """Add ``<c><suffix>`` = inclusive running sum of each ``sum_cols`` column within the
     ``partition_cols`` group in ``order_cols`` order. Collapse ties before calling."""
     pc, oc, sc = list(partition_cols), list(order_cols), list(sum_cols)
-    n = _num_partitions(df, num_partitions)
-    ranged = _stable(df.repartitionByRange(n, *pc, *oc).withColumn("_pid", F.spark_partition_id()))
+    ranged = _stable(_range(df, [*pc, *oc], num_partitions).withColumn("_pid", F.spark_partition_id()))
     local_w = Window.partitionBy("_pid", *pc).orderBy(*oc).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.select("*", *[F.sum(c).over(local_w).alias(f"_l_{c}") for c in sc])
     stats = ranged.groupBy("_pid", *pc).agg(*[F.sum(c).alias(f"_t_{c}") for c in sc])

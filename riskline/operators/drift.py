@@ -176,6 +176,63 @@ def moments(df: DataFrame, features: list[str]) -> tuple[int, np.ndarray, np.nda
     return n, mean, cov0
 
 
+def _merge(parts) -> tuple[int, np.ndarray, np.ndarray]:
+    """Combine (n, mean, centred co-moment) triples exactly (pairwise update, no raw sums)."""
+    n, mean, m2 = 0, None, None
+    for nb, mb, cb in parts:
+        if nb == 0:
+            continue
+        if n == 0:
+            n, mean, m2 = nb, np.array(mb, dtype=float), np.array(cb, dtype=float)
+            continue
+        delta = mb - mean
+        tot = n + nb
+        mean = mean + delta * (nb / tot)
+        m2 = m2 + cb + np.outer(delta, delta) * (n * nb / tot)
+        n = tot
+    return n, mean, m2
+
+
+def grouped_moments(df: DataFrame, features: list[str], group_col: str, fan_in: int = 64) -> dict:
+    """(n, mean, covariance ddof 0) per group in ONE pass over the rows.
+
+    Each task folds its Arrow batches into one (n, mean, co-moment) per group; a second
+    stage merges those partials in ``fan_in`` buckets per group (each bucket holds at most
+    partitions / fan_in partials of d*d numbers), and the driver merges at most
+    groups x fan_in results. Centred co-moments keep the sums well conditioned."""
+    d = len(features)
+    schema = "g string, n long, mean array<double>, m2 array<double>"
+
+    def fold(batches):
+        acc: dict = {}
+        for pdf in batches:
+            for g, sub in pdf.groupby("g", sort=False):
+                x = sub[features].to_numpy(dtype=float)
+                mb = x.mean(axis=0)
+                c = x - mb
+                acc[g] = _merge([acc.get(g, (0, None, None)), (len(x), mb, c.T @ c)])
+        if acc:
+            yield pd.DataFrame({"g": list(acc), "n": [v[0] for v in acc.values()],
+                                "mean": [v[1].tolist() for v in acc.values()],
+                                "m2": [v[2].ravel().tolist() for v in acc.values()]})
+
+    def combine(pdf: pd.DataFrame) -> pd.DataFrame:
+        n, mean, m2 = _merge((int(r.n), np.asarray(r.mean), np.asarray(r.m2).reshape(d, d)) for r in pdf.itertuples())
+        return pd.DataFrame({"g": [pdf["g"].iloc[0]], "n": [n], "mean": [mean.tolist()], "m2": [m2.ravel().tolist()]})
+
+    rows = (df.select(F.col(group_col).cast("string").alias("g"),
+                      *[F.col(f"`{c}`").cast("double").alias(c) for c in features])
+            .mapInPandas(fold, schema)
+            .withColumn("_b", F.monotonically_increasing_id() % fan_in)
+            .groupBy("g", "_b").applyInPandas(combine, schema)
+            .collect())  # at most groups x fan_in rows
+    out = {}
+    for g in sorted({r["g"] for r in rows}):
+        n, mean, m2 = _merge((r["n"], np.asarray(r["mean"]), np.asarray(r["m2"]).reshape(d, d)) for r in rows if r["g"] == g)
+        out[g] = (n, mean, m2 / n)
+    return out
+
+
 def pca_recon_from_moments(ref: tuple, cur: tuple, k: int) -> dict:
     """Reconstruction-error ratio of a k-component PCA fitted on the standardised
     reference. err_ref = sum of discarded eigenvalues; err_cur = tr(P S) with
@@ -202,11 +259,18 @@ def pca_recon_from_moments(ref: tuple, cur: tuple, k: int) -> dict:
 
 def pca_recon(reference: DataFrame, batches: dict[str, DataFrame], features: list[str] = FEATURE_COLS,
               params: DriftParams = DriftParams()) -> DataFrame:
-    """Per batch: reference/current errors, ratio (3 dp) and the multivariate flag."""
-    ref = moments(reference, features)
-    rows = []
+    """Per batch: reference/current errors, ratio (3 dp) and the multivariate flag.
+    Moments of the reference and of every batch come from one pass (``grouped_moments``)."""
+    ref_key = "\u0000reference"
+    both = reference.select(F.lit(ref_key).alias("_grp"), *[F.col(f"`{c}`") for c in features])
     for name, df in batches.items():
-        r = pca_recon_from_moments(ref, moments(df, features), params.pca_components)
+        both = both.unionByName(df.select(F.lit(name).alias("_grp"), *[F.col(f"`{c}`") for c in features]))
+    mom = grouped_moments(both, features, "_grp")
+    ref = mom[ref_key]
+    rows = []
+    for name in batches:
+        cur = mom.get(name, (0, np.zeros(len(features)), np.zeros((len(features), len(features)))))
+        r = pca_recon_from_moments(ref, cur, params.pca_components)
         rows.append((name, len(features), r["k"], round(r["reference"], 6), round(r["current"], 6),
                      round(r["ratio"], 3), bool(r["ratio"] >= params.pca_drift_ratio)))
     spark = reference.sparkSession

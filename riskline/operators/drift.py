@@ -365,7 +365,9 @@ def ks_pvalue_auto(ks: DataFrame) -> DataFrame:
 
     @F.pandas_udf("double")
     def exact(d: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
-        return pd.Series([ks_exact_pvalue(float(a), int(b), int(c)) for a, b, c in zip(d, n1, n2)])
+        # rows above the size limit keep the asymptotic value: do not count paths for them
+        return pd.Series([ks_exact_pvalue(float(a), int(b), int(c)) if max(int(b), int(c)) <= EXACT_MAX_N else float("nan")
+                          for a, b, c in zip(d, n1, n2)])
 
     small = F.greatest(F.col("n_ref"), F.col("n_cur")) <= F.lit(EXACT_MAX_N)
     return ks.withColumn("ks_method", F.when(small, F.lit("exact")).otherwise(F.lit("asymptotic"))).withColumn(

@@ -5,15 +5,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import ensure_checkpoint_dir
+from ..session import prepare
 from . import queries_drift, queries_fit, queries_model, queries_profile, queries_quality, queries_stream
 
 _MODULES = [queries_quality, queries_drift, queries_profile, queries_model, queries_stream, queries_fit]
 
 
-def _wrap(fn):
+def wrapped(fn):
+    """The query with the session made ready: checkpoint folder, package on the workers."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ensure_checkpoint_dir(spark)
+        prepare(spark)
         return fn(spark, sf_dir)
 
     run.__name__ = fn.__name__
@@ -25,7 +26,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out: dict = {}
     for m in _MODULES:
         for k, fn in m.QUERIES.items():
-            out[k] = _wrap(fn)
+            out[k] = wrapped(fn)
     return out
 
 

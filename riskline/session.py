@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -41,6 +42,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         # local runs only: a fresh scratch folder per session
         conf_dir = tempfile.mkdtemp(prefix="riskline-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
@@ -48,6 +51,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return conf_dir
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Put this package on the workers' path once per application, wherever the driver was started."""
+    sc = spark.sparkContext
+    if getattr(sc, "_riskline_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="riskline-pkg-"), "riskline-package.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.join("riskline", os.path.relpath(path, root)))
+    sc.addPyFile(os.path.realpath(archive))
+    sc._riskline_shipped = True
+
+
+def prepare(spark: SparkSession) -> None:
+    """What every query needs of its session."""
+    ensure_checkpoint_dir(spark)
+    ship_package(spark)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for tables this library writes (feature groups, run log, registry)."""
     explicit = spark.conf.get("riskline.warehouse", None)

@@ -2,8 +2,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import packing, token_counts
+from . import packing, quality_rules, secret_scan, token_counts
 from .common import table
 
 
@@ -18,10 +19,30 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and log-likelihood ratio of every document; the trusted target are the labelled good ones."""
+    out = quality_rules.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                      "base_failed", "kept", "score")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 4096 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op4_packing)}
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every whole text."""
+    d = secret_scan.scan(table(spark, sf_dir, "documents"))
+
+    def of_kind(no: int):
+        return F.size(F.filter("base", lambda s: s["no"] == no)).cast("long").alias(f"n_{secret_scan.KINDS[no]}")
+
+    return d.select("doc_id", of_kind(0), of_kind(1), of_kind(2),
+                    F.sha2(secret_scan.joined(F.col("base")), 256).alias("base_sha256"),
+                    secret_scan.joined(F.sort_array(F.concat("base", "added"))).alias("spans"),
+                    F.size("added").cast("long").alias("n_entropy"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_quality_rules, op4_packing, op8_secret_scan)}
 ORACLES: dict[str, str] = {}

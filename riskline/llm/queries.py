@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality_rules, secret_scan, token_counts
+from . import mixing, near_dedup, packing, quality_rules, secret_scan, token_counts
 from .common import table
 
 
@@ -26,11 +26,21 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_failed", "kept", "score")
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to the sources' targets."""
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 4096 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of near duplicates of every document."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every whole text."""
     d = secret_scan.scan(table(spark, sf_dir, "documents"))
@@ -44,5 +54,5 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.size("added").cast("long").alias("n_entropy"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_quality_rules, op4_packing, op8_secret_scan)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_quality_rules, op3_mixing, op4_packing, op5_near_dedup, op8_secret_scan)}
 ORACLES: dict[str, str] = {}

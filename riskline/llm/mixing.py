@@ -173,14 +173,9 @@ def _cuts(rows: DataFrame, wanted: dict[str, int]) -> dict[str, tuple[int | None
     return out
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, max_repeats: int = 2, seed: int = SEED) -> DataFrame:
-    """The documents with size, source_size, target, taken (words, repeats counted) and routed.
-
-    source_col: a string, or an array of strings for overlapping sources; then source_size
-    and target are those of the first source in order. routed: (source, words) that the
-    document's pattern gives, one element per source the flow feeds from it.
-    """
+def _mixed(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple[int, ...], share: float,
+           max_repeats: int, seed: int) -> DataFrame:
+    """(row, RESULTS), ``row`` being all input columns."""
     spark = docs.sparkSession
     keyed = _keyed(docs, id_col, text_col, source_col, seed)
     rows = checkpointed(keyed.select("pattern", "size", "h"))
@@ -212,12 +207,24 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
               "routed array<struct<source:string,words:long>>"))
     more = F.coalesce((F.col("h") < F.col("cut")) | F.array_contains("chosen", F.col("h")), F.lit(False))
     out = keyed.join(table, "pattern", "left").withColumn("taken", F.col("size") * (F.col("times") + more.cast("long")))
+    return out.select("row", *RESULTS)
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+        weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, max_repeats: int = 2, seed: int = SEED) -> DataFrame:
+    """The documents with size, source_size, target, taken (words, repeats counted) and routed.
+
+    source_col: a string, or an array of strings for overlapping sources; then source_size
+    and target are those of the first source in order. routed: (source, words) that the
+    document's pattern gives, one element per source the flow feeds from it.
+    """
+    out = _mixed(docs, id_col, text_col, source_col, weights, share, max_repeats, seed)
     return out.select(*[F.col("row")[c].alias(c) for c in docs.columns if c not in RESULTS], *RESULTS)
 
 
-def mixed_documents(docs: DataFrame, **kw) -> DataFrame:
-    """The mix itself: each document as often as it is taken (a document without words: never)."""
-    out = mix(docs, **kw)
-    copies = F.when(F.col("size") > 0, (F.col("taken") / F.col("size")).cast("int")).otherwise(0)
-    keep = [c for c in docs.columns if c not in RESULTS]
-    return out.where("taken > 0").select(*keep, F.explode(F.array_repeat(F.lit(1), copies)).alias("copy")).select(*keep)
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                    weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, max_repeats: int = 2, seed: int = SEED) -> DataFrame:
+    """The mix itself, in the input's columns: each document as often as it is taken (one without words: never)."""
+    out = _mixed(docs, id_col, text_col, source_col, weights, share, max_repeats, seed).where("taken > 0")
+    copies = (F.col("taken") / F.col("size")).cast("int")
+    return out.select("row", F.explode(F.array_repeat(F.lit(1), copies))).select("row.*")

@@ -8,13 +8,20 @@ start, so thousands of copies cost one node. Each node has 128 minima of univers
 
 Links are found without making all pairs of a band bucket:
 
-1. Every member of a bucket meets the bucket's smallest node (its hub); the four low bits of
-   all minima give an estimate that keeps a true link but for odds below 1e-6; each
-   node's best hub is confirmed on the full sets and the components of those links are taken.
-2. Only pairs of a bucket whose components still differ can matter. In buckets with more
-   than one component the members outside the largest meet the others; those pairs that
-   pass the estimate are confirmed on the full sets. All such pairs are covered, so this
-   loses no link that the bands show, and a group of thousands costs its size.
+1. Every member of a bucket meets the bucket's smallest set (its hub), if the four low bits
+   of all minima let it be a link (they keep a true one but for odds below 1e-6); the pair is
+   confirmed on the full sets, and the components of those links are taken.
+2. Only pairs of a key (bucket) whose components still differ can matter. In a key of up to
+   ``FEW`` nodes they are listed. The nodes of larger keys that hang together get one pivot p,
+   their smallest set. If |a|, |b| >= |p| and J(a, b) >= 0.75, then both are linked to p or
+   they share a shingle that p does not have: without one, with i and x shingles of p missing
+   in and added to a, j and y in and to b, the link says |p| - j >= 0.75 (|p| + y) + 0.75 x - 0.75 i,
+   and x >= i since a is not smaller than p. So the nodes are confirmed against p, and the
+   shingles they have beyond p make the keys of the next round. With these ordered before
+   p's, rarest first, the first shingle that a and b share is among the first |a| / 4 + 1 of
+   either, so only those are keys, each in two size classes of ratio 4/3 (linked sets differ
+   by no more). A round costs the size of the sets in question, not the square of their
+   number; rounds end when no key has two components.
 
 Components: large-star and small-star in turn until nothing changes. Full sets are built
 again for the documents in question only and never stored.
@@ -31,8 +38,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import byte_slices, checkpointed, text_or_empty
+from .links import components
 
 WIDTH = 5
 THRESHOLD = 75  # hundredths
@@ -41,6 +50,8 @@ MINIMA = BANDS * ROWS
 PLANES = 4  # low bits of each minimum kept for the estimate
 #: Five standard deviations below what a similarity of 0.75 shows in the estimate.
 LEAST_EQUAL = int(MINIMA * (0.75 + 0.25 / 2**PLANES) - 5 * (MINIMA * 0.7656 * 0.2344) ** 0.5)
+#: Pairs of different components are listed in keys of so many nodes at most.
+FEW = 12
 CACHE_WORDS = 500_000
 #: So many rows (ids and lists of partners) go to every worker at most; beyond, texts are shuffled to them.
 BROADCAST_ROWS = 500_000
@@ -123,27 +134,6 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, root) of every node of the undirected edges (a, b); root is the component's smallest node."""
-    stars = checkpointed(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    last = None
-    while True:
-        # large star: larger neighbours move to the smallest of the neighbourhood
-        both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        # small star: the node and its smaller neighbours move to the smallest of those
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
-        stars = checkpointed(small)
-        now = stars.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == last:
-            return stars.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
-                stars.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
-        last = now
-
-
 def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs (a, b) whose minima agree often enough, with the number that do."""
     for side in ("a", "b"):
@@ -159,8 +149,8 @@ def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.select("a", "b", equal.alias("equal")).where(F.col("equal") >= LEAST_EQUAL)
 
 
-def _confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) with 100 * intersection >= 75 * union of the full sets."""
+def _compared(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, added: bool = False) -> DataFrame:
+    """(a, b, linked, beyond) of the pairs on their full sets; beyond: the shingles of a that b lacks, if asked for."""
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -174,14 +164,18 @@ def _confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame
                                                  names=["node", "partners", "held"])
                 yield out.filter(pa.array(right, pa.bool_()))
 
-    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = []
+            linked, beyond = [], []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(100 * both >= THRESHOLD * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
+                place = np.searchsorted(y, x)
+                shared = (place < len(y)) & (y[np.minimum(place, len(y) - 1)] == x)
+                both = int(shared.sum())
+                linked.append(100 * both >= THRESHOLD * (len(x) + len(y) - both))
+                beyond.append(x[~shared].view(np.int64) if added else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_()),
+                                              pa.array(beyond, pa.list_(pa.int64()))], names=["a", "b", "linked", "beyond"])
 
     def full(wanted: DataFrame) -> DataFrame:
         n = wanted.count()
@@ -192,47 +186,111 @@ def _confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame
 
     lists = checkpointed(pairs.groupBy(F.col("a").alias("node")).agg(F.collect_set("b").alias("partners")))
     left = full(lists).select(F.col("node").alias("a"), F.explode("partners").alias("b"), F.col("held").alias("held_a"))
-    right = full(pairs.select(F.col("b").alias("node")).distinct().withColumn("partners", F.array().cast("array<bigint>")))
+    right = full(checkpointed(pairs.select(F.col("b").alias("node")).distinct()).withColumn("partners", F.array().cast("array<bigint>")))
     right = right.select(F.col("node").alias("b"), F.col("held").alias("held_b"))
     return checkpointed(left.join(right, "b").select("a", "b", "held_a", "held_b").mapInArrow(
-        linked, "a bigint, b bigint").distinct())
+        compared, "a bigint, b bigint, linked boolean, beyond array<bigint>"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) per row of ``docs``; component_id is the smallest id reachable."""
+def _linked(compared: DataFrame) -> DataFrame:
+    return compared.where("linked").select("a", "b").distinct()
+
+
+def _untried(pairs: DataFrame, tried: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a > b) that have not been compared and may be links."""
+    pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
+    return checkpointed(_likely(pairs.join(tried, ["a", "b"], "left_anti"), nodes).select("a", "b"))
+
+
+def _edges(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Confirmed links whose components are those of all links that the bands show."""
+    buckets = nodes.select("node", "n_shingles", F.explode("bands").alias("key"))
+    hubs = buckets.groupBy("key").agg(F.min(F.struct("n_shingles", "node"))["node"].alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = checkpointed(buckets.join(hubs, "key").select("key", "node", "hub"))  # buckets of two or more
+    none = shared.select(F.col("node").alias("a"), F.col("hub").alias("b")).where("false")
+    tried = _untried(shared.select(F.col("node").alias("a"), F.col("hub").alias("b")), none, nodes)
+    edges = _linked(_compared(docs, nodes, tried))
+    keys = shared.select("key", "node")
+    while True:
+        member = keys.join(components(edges), "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+        member = checkpointed(member)
+        mixed = member.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+        member = checkpointed(member.join(mixed.where("lo <> hi").select("key", "n"), "key"))
+        if member.isEmpty():
+            return edges
+        few = member.where(F.col("n") <= FEW)
+        pairs = few.select("key", F.col("node").alias("a"), F.col("root").alias("root_a")).join(
+            few.select("key", F.col("node").alias("b"), F.col("root").alias("root_b")), "key").where("root_a < root_b").select("a", "b")
+        pairs = _untried(pairs, tried, nodes)
+        if not pairs.isEmpty():
+            edges = checkpointed(edges.unionByName(_linked(_compared(docs, nodes, pairs))))
+            tried = checkpointed(tried.unionByName(pairs))
+        many = member.where(F.col("n") > FEW)
+        if many.isEmpty():
+            return edges
+        # what hangs together by large keys gets one pivot
+        low = many.groupBy("key").agg(F.min("node").alias("b"))
+        together = components(many.join(low, "key").select(F.col("node").alias("a"), "b"))
+        sized = together.join(nodes.select("node", "n_shingles"), "node")
+        pivots = sized.groupBy("root").agg(F.min(F.struct("n_shingles", "node"))["node"].alias("b"))
+        against = checkpointed(sized.join(pivots, "root").select(F.col("node").alias("a"), "b").where("a <> b"))
+        compared = _compared(docs, nodes, against, added=True)
+        edges = checkpointed(edges.unionByName(_linked(compared)).distinct())
+        keys = _beyond_keys(compared, nodes)
+
+
+def _beyond_keys(compared: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(key, node): for each node its rarest shingles beyond the pivot, as far as a link must share one."""
+    rows = compared.select(F.col("a").alias("node"), "b", F.explode("beyond").alias("shingle"))
+    seen = rows.groupBy("b", "shingle").agg(F.count(F.lit(1)).alias("seen"))
+    rows = rows.join(seen, ["b", "shingle"]).join(nodes.select("node", "n_shingles"), "node")
+    place = F.row_number().over(Window.partitionBy("node").orderBy("seen", "shingle"))
+    rows = rows.withColumn("place", place).where(
+        (F.col("place") <= F.floor((100 - THRESHOLD) * F.col("n_shingles") / 100) + 1) & (F.col("seen") > 1))
+    size = F.floor(F.log(F.col("n_shingles") * 1.000001) / F.log(F.lit(100 / THRESHOLD)))
+    return rows.select("node", F.explode(F.array(size, size + 1)).alias("size"), "b", "shingle").select(
+        F.xxhash64("b", "shingle", "size").alias("key"), "node").distinct()
+
+
+def _decided(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, tie, n_shingles, component_id, kept) per row; ``tie`` is a hash of the text."""
     docs = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text_or_empty(text_col).alias("text"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    rows = checkpointed(docs.mapInArrow(
-        _sketches, f"doc_id {id_type}, n_shingles bigint, same binary, bands array<bigint>, planes array<bigint>"))
+    rows = docs.select(F.struct("doc_id", F.xxhash64("text").alias("tie")).alias("row"), "text").mapInArrow(
+        _sketches, f"row struct<doc_id:{id_type},tie:bigint>, n_shingles bigint, same binary, bands array<bigint>, planes array<bigint>")
+    rows = checkpointed(rows.select("row.*", "n_shingles", "same", "bands", "planes"))
     nodes = checkpointed(rows.where("n_shingles > 0").groupBy("same").agg(
-        F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("planes").alias("planes"))
-        .withColumn("node", F.monotonically_increasing_id()))
-
-    buckets = nodes.select("node", F.explode("bands").alias("key"))
-    hubs = buckets.groupBy("key").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = checkpointed(buckets.join(hubs, "key").select("key", F.col("node").alias("a"), "b"))  # buckets of two or more
-    tried = _likely(shared.where("a <> b").select("a", "b").distinct(), nodes)
-    best = checkpointed(tried.groupBy("a").agg(F.max_by("b", F.struct("equal", -F.col("b"))).alias("b")))
-    edges = _confirmed(docs, nodes, best)
-
-    member = shared.join(components(edges), F.col("a") == F.col("node"), "left").select(
-        "key", F.col("a").alias("node"), F.coalesce("root", "a").alias("root"))
-    member = checkpointed(member)
-    sizes = member.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
-    mixed = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("roots"), F.max(F.struct("n", "root"))["root"].alias("main"))
-    member = member.join(mixed.where("roots > 1"), "key").select("key", "node", "root", "main")
-    outside = member.where("root <> main").select("key", F.col("node").alias("a"), F.col("root").alias("root_a"))
-    crossing = outside.join(member, "key").where("root = main or root_a < root").select("a", F.col("node").alias("b")).distinct()
-    crossing = crossing.join(best, ["a", "b"], "left_anti").join(
-        best.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
-    rest = checkpointed(_likely(crossing, nodes).select("a", "b"))
-    edges = edges.unionByName(_confirmed(docs, nodes, rest))
-
+        F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"),
+        F.first("planes").alias("planes")).withColumn("node", F.monotonically_increasing_id()))
+    edges = _edges(docs, nodes)
     roots = nodes.select("same", "doc_id", "node").join(components(edges), "node", "left").select(
         "same", "doc_id", F.coalesce("root", "node").alias("root"))
     smallest = roots.groupBy("root").agg(F.min("doc_id").alias("smallest"))
     classes = roots.join(smallest, "root").select("same", "smallest")
-    out = rows.select("doc_id", "n_shingles", "same").join(classes, "same", "left")
+    out = rows.select("doc_id", "tie", "n_shingles", "same").join(classes, "same", "left")
     # a set of nothing is in no class
     out = out.withColumn("component_id", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("smallest")))
-    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return out.select("doc_id", "tie", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) per row of ``docs``; component_id is the smallest id reachable."""
+    return _decided(docs, id_col, text_col).drop("tie")
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents that stay, in the input's columns: of each component the one with the smallest id.
+
+    Rows with equal id and text are one document and stay once.
+    """
+    decided = checkpointed(_decided(docs, id_col, text_col).select(F.col("doc_id").alias("id"), "tie", "kept"))
+    gone = decided.where("not kept").select("id", "tie").distinct()
+    twice = decided.where("kept").groupBy("id", "tie").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("id", "tie")
+    d = docs.select(F.struct("*").alias("row"), F.col(f"`{id_col}`").alias("doc_id"), F.xxhash64(text_or_empty(text_col)).alias("own_tie"))
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("own_tie") == F.col("tie"))
+    stay = d.join(_small(gone, gone.count()), same, "left_anti")
+    n = twice.count()
+    if not n:
+        return stay.select("row.*")
+    once = stay.join(_small(twice, n), same, "left_semi").dropDuplicates(["doc_id", "own_tie"])
+    return stay.join(_small(twice, n), same, "left_anti").unionByName(once).select("row.*")

@@ -102,20 +102,32 @@ def _base(d: DataFrame) -> DataFrame:
         F.lit(0), lambda a, x: a + x), F.lit(0)).cast("long"))
 
 
-def apply(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
-          min_score: float = MIN_SCORE) -> DataFrame:
-    """The documents with the base counts, base_failed, score and kept."""
-    results = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept")
+RESULTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept")
+
+
+def _decided(docs: DataFrame, model: Model, id_col: str, text_col: str, min_score: float) -> DataFrame:
     ratios = model.column()
     d = _base(_hashed(docs, id_col, text_col)).withColumn("grams", _grams(len(model.ratios)))
     d = d.withColumn("score", F.when(F.size("grams") == 0, 0.0).otherwise(F.round(F.aggregate(
         "grams", F.lit(0.0), lambda a, g: a + ratios[g]) / F.size("grams"), 6)))
     d = d.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-    d = d.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= min_score))
-    kept = [F.col("row")[c].alias(c) for c in docs.columns if c not in results]
-    return d.select(*kept, *results)
+    return d.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= min_score))
+
+
+def apply(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
+          min_score: float = MIN_SCORE) -> DataFrame:
+    """The documents with the base counts, base_failed, score and kept (which replace columns of those names)."""
+    d = _decided(docs, model, id_col, text_col, min_score)
+    return d.select(*[F.col("row")[c].alias(c) for c in docs.columns if c not in RESULTS], *RESULTS)
 
 
 def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fit on the documents themselves, then decide each of them."""
     return apply(docs, fit(docs, labels, id_col, text_col), id_col, text_col)
+
+
+def filtered(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             min_score: float = MIN_SCORE) -> DataFrame:
+    """The documents that pass, with the input's columns."""
+    d = _decided(docs, fit(docs, labels, id_col, text_col), id_col, text_col, min_score)
+    return d.where("kept").select("row.*")

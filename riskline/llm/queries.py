@@ -4,7 +4,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, near_dedup, packing, quality_rules, secret_scan, token_counts
+from . import (
+    fingerprints, line_dedup, lm_score, mixing, near_dedup, packing, pii, quality_rules, secret_scan, token_counts,
+)
 from .common import table
 
 
@@ -41,6 +43,18 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text."""
+    return fingerprints.edited(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of every line under the edit join, and whether it stays."""
+    return line_dedup.line_classes(table(spark, sf_dir, "documents")).select(
+        "doc_id", "line_no", "class_id", "class_lines", "kept")
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every whole text."""
     d = secret_scan.scan(table(spark, sf_dir, "documents"))
@@ -54,5 +68,28 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.size("added").cast("long").alias("n_entropy"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_quality_rules, op3_mixing, op4_packing, op5_near_dedup, op8_secret_scan)}
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every whole text."""
+    d = pii.find(table(spark, sf_dir, "documents"))
+    kinds = F.array(*[F.lit(k) for k in pii.KINDS])
+
+    def of_kind(no: int):
+        return F.size(F.filter("base", lambda s: s["kind"] == no)).cast("long").alias(f"n_{pii.KINDS[no]}")
+
+    def joined(spans):
+        return F.concat_ws(",", F.transform(F.sort_array(spans), lambda s: F.concat_ws(
+            ":", kinds[s["kind"]], s["start"].cast("string"), s["end"].cast("string"))))
+
+    return d.select("doc_id", *[of_kind(i) for i in range(len(pii.KINDS))], F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
+                    joined(F.concat("base", "added")).alias("spans"), F.size("added").cast("long").alias("n_added"))
+
+
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every text, exact unigram base and Bloom filter model."""
+    return lm_score.score(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_token_counts, op2_quality_rules, op3_mixing, op4_packing, op5_near_dedup, op6_fingerprints, op7_line_dedup,
+    op8_secret_scan, op9_pii, op10_lm_score)}
 ORACLES: dict[str, str] = {}

@@ -37,8 +37,8 @@ PROBES = 3
 WORD_STEPS, PAIR_STEPS = 4, 1
 PAIR = 0.25
 TOP_WORDS = 200_000
-GROUP_TOKENS = 1 << 22
-CACHE_WORDS = 500_000
+GROUP_TOKENS = 1 << 21
+CACHE_WORDS = 300_000
 ADD = 0.1
 START, END = np.uint64(0x5DEECE66D1CE4E5B), np.uint64(0x2545F4914F6CDD1D)
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -148,7 +148,7 @@ def _counted(blocks: int, subs: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h, pairs, held = [], [], 0
         for batch in batches:
-            for at, n in byte_slices(batch.column(0), 1 << 22):
+            for at, n in byte_slices(batch.column(0), 1 << 21):
                 tokens, starts = token_hashes(batch.column(0).slice(at, n).to_pylist())
                 h.append(tokens)
                 pairs.append(pair_keys(tokens, starts))
@@ -235,7 +235,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_b
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, frequent, logs = model.value
         for batch in batches:
-            for at, size in byte_slices(batch.column(2), 1 << 22):
+            for at, size in byte_slices(batch.column(2), 1 << 20):
                 rows = batch.slice(at, size)
                 h, starts = token_hashes(rows.column(2).to_pylist())
                 lengths = np.diff([*starts, len(h)])

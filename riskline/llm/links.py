@@ -24,10 +24,10 @@ def components(edges: DataFrame) -> DataFrame:
         # large star: larger neighbours move to the smallest of the neighbourhood
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.where("v > u").join(low.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # small star: the node and its smaller neighbours move to the smallest of those
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = (large.join(low.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
         stars = checkpointed(small)
         now = stars.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()

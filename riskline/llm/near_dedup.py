@@ -12,16 +12,16 @@ Links are found without making all pairs of a band bucket:
    of all minima let it be a link (they keep a true one but for odds below 1e-6); the pair is
    confirmed on the full sets, and the components of those links are taken.
 2. Only pairs of a key (bucket) whose components still differ can matter. In a key of up to
-   ``FEW`` nodes they are listed. The nodes of larger keys that hang together get one pivot p,
-   their smallest set. If |a|, |b| >= |p| and J(a, b) >= 0.75, then both are linked to p or
-   they share a shingle that p does not have: without one, with i and x shingles of p missing
-   in and added to a, j and y in and to b, the link says |p| - j >= 0.75 (|p| + y) + 0.75 x - 0.75 i,
-   and x >= i since a is not smaller than p. So the nodes are confirmed against p, and the
-   shingles they have beyond p make the keys of the next round. With these ordered before
-   p's, rarest first, the first shingle that a and b share is among the first |a| / 4 + 1 of
-   either, so only those are keys, each in two size classes of ratio 4/3 (linked sets differ
-   by no more). A round costs the size of the sets in question, not the square of their
-   number; rounds end when no key has two components.
+   ``FEW`` nodes they are listed. A larger key gets a pivot p, the smallest set of the
+   component it has most of. If |a|, |b| >= |p| and J(a, b) >= 0.75, then both are linked to p
+   or they share a shingle that p does not have: without one, with i and x shingles of p
+   missing in and added to a, j and y in and to b, the link says
+   |p| - j >= 0.75 (|p| + y) + 0.75 x - 0.75 i, and x >= i since a is not smaller than p. So
+   these nodes are confirmed against p, and the shingles they have beyond p make the keys of
+   the next round. With these ordered before p's, rarest first, the first shingle that a and b
+   share is among the first |a| / 4 + 1 of either, so only those are keys, each in two size
+   classes of ratio 4/3 (linked sets differ by no more). Nodes smaller than p meet the key's
+   other components one by one. After ``ROUNDS`` such rounds what is left is listed.
 
 Components: large-star and small-star in turn until nothing changes. Full sets are built
 again for the documents in question only and never stored.
@@ -36,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -52,6 +52,7 @@ PLANES = 4  # low bits of each minimum kept for the estimate
 LEAST_EQUAL = int(MINIMA * (0.75 + 0.25 / 2**PLANES) - 5 * (MINIMA * 0.7656 * 0.2344) ** 0.5)
 #: Pairs of different components are listed in keys of so many nodes at most.
 FEW = 12
+ROUNDS = 2
 CACHE_WORDS = 500_000
 #: So many rows (ids and lists of partners) go to every worker at most; beyond, texts are shuffled to them.
 BROADCAST_ROWS = 500_000
@@ -134,19 +135,25 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose minima agree often enough, with the number that do."""
-    for side in ("a", "b"):
-        pairs = pairs.join(nodes.select(F.col("node").alias(side), F.col("planes").alias(f"planes_{side}")), side)
+def _equal(x: str, y: str) -> Column:
+    """Number of minima whose low bits agree, from two columns of planes."""
     words = MINIMA // 64
     equal = F.lit(0)
     for w in range(words):
         same = F.lit(-1).cast("long")
         for k in range(PLANES):
             i = k * words + w
-            same = same.bitwiseAND(F.bitwise_not(F.col("planes_a")[i].bitwiseXOR(F.col("planes_b")[i])))
+            same = same.bitwiseAND(F.bitwise_not(F.col(x)[i].bitwiseXOR(F.col(y)[i])))
         equal = equal + F.bit_count(same)
-    return pairs.select("a", "b", equal.alias("equal")).where(F.col("equal") >= LEAST_EQUAL)
+    return equal
+
+
+def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Pairs (a > b) of a key's members of different components that may be links, by the estimate."""
+    x = left.select("key", F.col("node").alias("a"), F.col("root").alias("root_a"), F.col("planes").alias("planes_a"))
+    y = right.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("planes").alias("planes_b"))
+    may = x.join(y, (x["key"] == y["key"]) & (F.col("root_a") != F.col("root_b")) & (_equal("planes_a", "planes_b") >= LEAST_EQUAL))
+    return may.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
 def _compared(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, added: bool = False) -> DataFrame:
@@ -196,47 +203,43 @@ def _linked(compared: DataFrame) -> DataFrame:
     return compared.where("linked").select("a", "b").distinct()
 
 
-def _untried(pairs: DataFrame, tried: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs (a > b) that have not been compared and may be links."""
-    pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-    return checkpointed(_likely(pairs.join(tried, ["a", "b"], "left_anti"), nodes).select("a", "b"))
-
-
 def _edges(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Confirmed links whose components are those of all links that the bands show."""
     buckets = nodes.select("node", "n_shingles", F.explode("bands").alias("key"))
     hubs = buckets.groupBy("key").agg(F.min(F.struct("n_shingles", "node"))["node"].alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = checkpointed(buckets.join(hubs, "key").select("key", "node", "hub"))  # buckets of two or more
-    none = shared.select(F.col("node").alias("a"), F.col("hub").alias("b")).where("false")
-    tried = _untried(shared.select(F.col("node").alias("a"), F.col("hub").alias("b")), none, nodes)
+    keys = checkpointed(buckets.join(hubs, "key").select("key", "node", "hub"))  # buckets of two or more
+    tried = keys.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).where("a <> b").distinct()
+    for side in ("a", "b"):
+        tried = tried.join(nodes.select(F.col("node").alias(side), F.col("planes").alias(f"planes_{side}")), side)
+    tried = checkpointed(tried.where(_equal("planes_a", "planes_b") >= LEAST_EQUAL).select("a", "b"))
     edges = _linked(_compared(docs, nodes, tried))
-    keys = shared.select("key", "node")
-    while True:
-        member = keys.join(components(edges), "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-        member = checkpointed(member)
+    for left in range(ROUNDS, -1, -1):
+        member = keys.select("key", "node").join(components(edges), "node", "left")
+        member = checkpointed(member.select("key", "node", F.coalesce("root", "node").alias("root")))
         mixed = member.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-        member = checkpointed(member.join(mixed.where("lo <> hi").select("key", "n"), "key"))
-        if member.isEmpty():
-            return edges
-        few = member.where(F.col("n") <= FEW)
-        pairs = few.select("key", F.col("node").alias("a"), F.col("root").alias("root_a")).join(
-            few.select("key", F.col("node").alias("b"), F.col("root").alias("root_b")), "key").where("root_a < root_b").select("a", "b")
-        pairs = _untried(pairs, tried, nodes)
-        if not pairs.isEmpty():
-            edges = checkpointed(edges.unionByName(_linked(_compared(docs, nodes, pairs))))
-            tried = checkpointed(tried.unionByName(pairs))
-        many = member.where(F.col("n") > FEW)
-        if many.isEmpty():
-            return edges
-        # what hangs together by large keys gets one pivot
-        low = many.groupBy("key").agg(F.min("node").alias("b"))
-        together = components(many.join(low, "key").select(F.col("node").alias("a"), "b"))
-        sized = together.join(nodes.select("node", "n_shingles"), "node")
-        pivots = sized.groupBy("root").agg(F.min(F.struct("n_shingles", "node"))["node"].alias("b"))
-        against = checkpointed(sized.join(pivots, "root").select(F.col("node").alias("a"), "b").where("a <> b"))
+        member = member.join(mixed.where("lo <> hi").select("key", "n"), "key")
+        member = checkpointed(member.join(nodes.select("node", "n_shingles", "planes"), "node"))
+        few = member.where(F.col("n") <= FEW) if left else member
+        many = member.where(F.col("n") > FEW) if left else member.where("false")
+        # each component's smallest set stands for it; a key takes the one it has most of
+        pivots = many.groupBy("root").agg(F.min(F.struct("n_shingles", "node")).alias("p"))
+        pivots = (many.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n")).join(pivots, "root")
+                  .groupBy("key").agg(F.max(F.struct("n", (-F.col("p.n_shingles")).alias("less"), F.col("p.node").alias("pivot"))).alias("p"))
+                  .select("key", F.col("p.pivot").alias("pivot"), (-F.col("p.less")).alias("least")))
+        many = checkpointed(many.join(pivots, "key"))
+        pairs = _pairs(few, few).unionByName(_pairs(many.where(F.col("n_shingles") < F.col("least")), many)).distinct()
+        pairs = checkpointed(pairs.join(tried, ["a", "b"], "left_anti"))
+        edges = edges.unionByName(_linked(_compared(docs, nodes, pairs)))
+        tried = tried.unionByName(pairs)
+        against = many.where((F.col("n_shingles") >= F.col("least")) & (F.col("node") != F.col("pivot"))).select(
+            F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
+        against = checkpointed(against)
+        if against.isEmpty():
+            break
         compared = _compared(docs, nodes, against, added=True)
-        edges = checkpointed(edges.unionByName(_linked(compared)).distinct())
-        keys = _beyond_keys(compared, nodes)
+        edges = edges.unionByName(_linked(compared))
+        keys = checkpointed(_beyond_keys(compared, nodes))
+    return edges
 
 
 def _beyond_keys(compared: DataFrame, nodes: DataFrame) -> DataFrame:

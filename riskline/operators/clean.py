@@ -36,14 +36,15 @@ def clean_with_order(df: DataFrame, params: CleaningParams = CleaningParams()) -
         if c in merges:
             frm, to = merges[c]
             e = f"CASE WHEN {e} IN ({', '.join(str(v) for v in frm)}) THEN {to} ELSE {e} END"
-        # astype(int): truncate, and fail loudly on null instead of passing it on
-        out_cols.append(F.expr(f"coalesce(CAST({e} AS BIGINT), "
-                               f"raise_error('cannot convert null in column {name} to integer'))").alias(name))
+        out_cols.append(F.expr(e).alias(name))
     names = [params.target_column if c == params.target_column_raw else c for c in df.columns if c != params.id_column]
     merged = df.select(col(params.id_column).alias("_raw_id"), *out_cols)
     grouped = merged.groupBy(*[col(c) for c in names]).agg(
         F.min("_raw_id").alias(ROW_ORDER), F.count(F.lit(1)).alias("_copies"))
-    cleaned = grouped.drop("_copies")
+    # duplicates are told before the cast: truncation must not make rows equal; null fails loudly
+    cleaned = grouped.select(*[
+        F.expr(f"coalesce(CAST(`{c}` AS BIGINT), raise_error('cannot convert null in column {c} to integer'))").alias(c)
+        for c in names], ROW_ORDER)
     counts = grouped.agg(
         F.sum("_copies").cast("long").alias("n_before"),
         F.count(F.lit(1)).cast("long").alias("n_after"),

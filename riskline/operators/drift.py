@@ -223,7 +223,8 @@ def grouped_moments(df: DataFrame, features: list[str], group_col: str, fan_in:
     rows = (df.select(F.col(group_col).cast("string").alias("g"),
                       *[F.col(f"`{c}`").cast("double").alias(c) for c in features])
             .mapInPandas(fold, schema)
-            .withColumn("_b", F.monotonically_increasing_id() % fan_in)
+            # the task's number: a row id would hold it above bit 33 and fill a few buckets only
+            .withColumn("_b", F.spark_partition_id() % fan_in)
             .groupBy("g", "_b").applyInPandas(combine, schema)
             .collect())  # at most groups x fan_in rows
     out = {}

@@ -47,10 +47,10 @@ def allocation(counts: DataFrame, frac: float, cls: str = "_cls", n: str = "_n")
     every = Window.partitionBy()
     total = F.sum(n).over(every)
     keep_total = total - F.ceil(total.cast("double") * F.lit(float(frac))).cast("long")
-    share = (keep_total * F.col(n)).cast("double") / total.cast("double")
-    t = counts.select(cls, n, share.alias("_share"), keep_total.alias("_keep_total"))
-    t = t.select("*", F.floor("_share").cast("long").alias("_fl"),
-                 (F.col("_share") - F.floor("_share")).alias("_fr"))
+    # exact at any row count: a decimal product, its quotient and its remainder
+    t = counts.select(cls, n, total.alias("_total"), keep_total.alias("_keep_total"))
+    t = t.withColumn("_prod", F.col("_keep_total").cast("decimal(19,0)") * F.col(n).cast("decimal(19,0)"))
+    t = t.select("*", F.expr("_prod div _total").cast("long").alias("_fl"), F.expr("_prod % _total").alias("_fr"))
     t = t.select("*", F.row_number().over(Window.orderBy(F.desc("_fr"), F.asc(cls))).alias("_r"),
                  (F.col("_keep_total") - F.sum("_fl").over(every)).alias("_left"))
     keep = F.col("_fl") + (F.col("_r") <= F.col("_left")).cast("long")

@@ -8,7 +8,7 @@ from ..functions.sqlexpr import bin_index_sql
 from ..operators import metrics as M
 from ..operators import profile as PR
 from ..operators import scoring as S
-from ..operators.split import exact_quantiles, seeded_sample
+from ..operators.split import exact_quantiles
 from ..params import DEFAULTS, FEATURE_COLS
 from . import oracle_base as O
 from .stages import split_table
@@ -93,8 +93,7 @@ def q_top_drivers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_global_attribution(spark: SparkSession, sf: str) -> DataFrame:
-    sample = seeded_sample(_split(spark, sf, "train"), DEFAULTS.selection.shap_max_samples)
-    return S.global_attribution(_linear(spark, sf, sample), FEATS)
+    return S.global_attribution(_linear(spark, sf, _split(spark, sf, "train")), FEATS)
 
 
 # ---------------------------------------------------------------- oracle side
@@ -163,7 +162,7 @@ _a AS ({attr_test}),
 _l AS (UNPIVOT (SELECT customer_id, {', '.join(q(c) for c in FEATS)} FROM _a) ON {', '.join(q(c) for c in FEATS)} INTO NAME feature VALUE shap)
 SELECT customer_id, feature, shap, CAST(row_number() OVER (PARTITION BY customer_id ORDER BY abs(shap) DESC, feature) AS INTEGER) AS rank FROM _l""",
         "global_attribution": f"""{base},
-_s AS (SELECT * FROM split_assign WHERE split = 'train' ORDER BY md5(CAST(customer_id AS VARCHAR) || ':42'), customer_id LIMIT {DEFAULTS.selection.shap_max_samples}),
+_s AS (SELECT * FROM split_assign WHERE split = 'train'),
 _a AS (SELECT customer_id, {phis} FROM _s, _means),
 _l AS (UNPIVOT (SELECT {', '.join(q(c) for c in FEATS)} FROM _a) ON {', '.join(q(c) for c in FEATS)} INTO NAME feature VALUE shap),
 _g AS (SELECT feature, round(avg(abs(shap)), 6) AS mean_abs_shap FROM _l GROUP BY feature)

@@ -33,7 +33,8 @@ def q_events_window_psi(spark: SparkSession, sf: str) -> DataFrame:
 def q_pca_recon_embeddings(spark: SparkSession, sf: str) -> DataFrame:
     """D6 at width 64: reference = all embeddings, current batch = each label's rows."""
     emb = read_table(spark, sf, "embeddings")
-    dims = [f"e{i:02d}" for i in range(64)]
+    width = emb.agg(F.max(F.size("embedding"))).first()[0] or 0  # taken from the data, so no dimension is lost
+    dims = [f"e{i:02d}" for i in range(width)]
     wide = emb.select("label", *[F.col("embedding")[i].cast("double").alias(d) for i, d in enumerate(dims)])
     labels = sorted(r[0] for r in emb.select("label").distinct().collect())  # one row per label
     return D.pca_recon(wide, {f"label_{k}": wide.filter(F.col("label") == k) for k in labels}, dims, P)

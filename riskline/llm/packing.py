@@ -159,15 +159,13 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
             bins[i], offsets[i] = opened, 0
             opened += 1
             continue
-        # twice the change of half the sum: leaving gap g and entering gap g - s; gap 0 (full) isn't counted
+        # the change of the sum: leaving gap g and entering gap g - s; a bin that becomes full enters none
         before, after = count[s:capacity], count[:capacity - s]
-        change = after - before + 1
-        change[0] = -before[0]
+        change = 2 * (after - before) + 2
+        change[0] = 1 - 2 * before[0]
         np.putmask(change, before == 0, np.iinfo(np.int64).max)
         j = int(change.argmin())
-        # a bin that becomes full leaves only (2N - 1 less); a new bin adds 2N + 1 for its gap
-        best = 2 * int(change[j]) + (j == 0)
-        if before[j] == 0 or 2 * int(count[capacity - s]) + 1 < best:
+        if before[j] == 0 or 2 * int(count[capacity - s]) + 1 < change[j]:
             b, gap, opened = opened, capacity, opened + 1
         else:
             gap = s + j

@@ -247,7 +247,7 @@ def _beyond_keys(compared: DataFrame, nodes: DataFrame) -> DataFrame:
     rows = compared.select(F.col("a").alias("node"), "b", F.explode("beyond").alias("shingle"))
     seen = rows.groupBy("b", "shingle").agg(F.count(F.lit(1)).alias("seen"))
     rows = rows.join(seen, ["b", "shingle"]).join(nodes.select("node", "n_shingles"), "node")
-    place = F.row_number().over(Window.partitionBy("node").orderBy("seen", "shingle"))
+    place = F.row_number().over(Window.partitionBy("node", "b").orderBy("seen", "shingle"))
     rows = rows.withColumn("place", place).where(
         (F.col("place") <= F.floor((100 - THRESHOLD) * F.col("n_shingles") / 100) + 1) & (F.col("seen") > 1))
     size = F.floor(F.log(F.col("n_shingles") * 1.000001) / F.log(F.lit(100 / THRESHOLD)))

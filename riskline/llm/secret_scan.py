@@ -81,10 +81,11 @@ def _entropy_span(m: Column) -> Column:
     weight = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(WINDOW + 2)])
 
     def moved(acc: Column, i: Column) -> Column:
-        enter, leave = acc["codes"][i], F.when(i >= WINDOW, acc["codes"][i - WINDOW])
+        enter, leave = acc["codes"][i], F.when(i >= WINDOW, acc["codes"][i - WINDOW]).otherwise(-1)
         # the leaving character goes first, so a count never exceeds the window
         held = F.transform(acc["counts"], lambda c, k: c - F.when(k == leave, 1).otherwise(0))
-        out = F.coalesce(weight[acc["counts"][leave] - 1] - weight[acc["counts"][leave]], F.lit(0.0))
+        was = acc["counts"][leave]
+        out = F.when(leave >= 0, weight[was - 1] - weight[was]).otherwise(0.0)
         had = acc["counts"][enter] - F.when(enter == leave, 1).otherwise(0)
         total = acc["sum"] + out + weight[had + 1] - weight[had]
         hit = (i >= WINDOW - 1) & (math.log2(WINDOW) - total / WINDOW >= acc["least"])

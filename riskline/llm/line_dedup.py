@@ -34,6 +34,7 @@ from .links import components, crossing
 EDITS = 2
 MIN_CHARS = 30
 BROADCAST_ROWS = 500_000
+SEEN_LINES = 200_000
 
 
 def segments(n: int, edits: int) -> list[tuple[int, int]]:
@@ -136,28 +137,36 @@ def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return d.withColumn("line", F.xxhash64("text"))
 
 
-def _keys(edits: int):
+def _keys(edits: int, own: bool):
+    """Keys of the lines, or only those that the lines own. A task leaves out lines it has just seen, so a frequent one costs a row a task."""
+
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         digest = xxhash.xxh3_64_intdigest
         plans: dict[int, list] = {}
+        seen: set[int] = set()
         for batch in batches:
             for at, n in byte_slices(batch.column(1), 1 << 22):
                 rows = batch.slice(at, n)
-                key, line, own = [], [], []
-                for h, text in dict(zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True)).items():
+                key, line, times = [], [], []
+                for h, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
+                    if h in seen:
+                        continue
+                    seen.add(h)
                     plan = plans.get(len(text))
                     if plan is None:
-                        plan = plans[len(text)] = [((l << 4) + i, q, q + size, mine) for l, i, q, size, mine in places(len(text), edits)]
-                    for seed, lo, hi, mine in plan:
+                        plan = plans[len(text)] = [((l << 4) + i, q, q + size) for l, i, q, size, mine in places(len(text), edits)
+                                                   if mine or not own]
+                    for seed, lo, hi in plan:
                         key.append(digest(text[lo:hi].encode("utf-8", "surrogatepass"), seed))
-                        own.append(mine)
-                    line.append((h, len(plan)))
+                    line.append(h)
+                    times.append(len(plan))
+                if len(seen) > SEEN_LINES:
+                    seen.clear()
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.array(key, dtype=np.uint64).view(np.int64)),
-                    pa.array(np.repeat(np.array([h for h, _ in line], dtype=np.int64), [c for _, c in line] or 0)),
-                    pa.array(own, pa.bool_())], names=["key", "line", "own"])
+                    pa.array(np.repeat(np.array(line, dtype=np.int64), np.array(times, dtype=np.int64)))], names=["key", "line"])
 
     return keys
 
@@ -185,14 +194,14 @@ def _verified(lines: DataFrame, pairs: DataFrame, edits: int) -> DataFrame:
 def links(lines: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """Edges (a, b) between different lines whose components are those of the edit join."""
     lines = lines.where(F.length("text") >= max(min_chars, edits + 1)).select("line", "text")
-    keys = lines.mapInArrow(_keys(edits), "key bigint, line bigint, own boolean")
-    # a key matters if some line owns it and another one shows it
-    hubs = (keys.groupBy("key").agg(F.min(F.when(F.col("own"), F.col("line"))).alias("b"), F.min("line").alias("lo"), F.max("line").alias("hi"))
-            .where("b is not null and lo <> hi").select("key", "b"))
-    members = checkpointed(keys.join(hubs, "key").select("key", F.col("line").alias("a"), "b").distinct())
-    tried = members.where("a <> b").select("a", "b").distinct()
+    # a key matters if some line owns it and another one shows it; the smallest owner is its hub
+    hubs = lines.mapInArrow(_keys(edits, True), "key bigint, line bigint").groupBy("key").agg(F.min("line").alias("b"))
+    keys = lines.mapInArrow(_keys(edits, False), "key bigint, line bigint")
+    shown = checkpointed(keys.join(hubs, "key").where("line <> b").select("key", F.col("line").alias("a"), "b").distinct())
+    tried = shown.select("a", "b").distinct()
     edges = _verified(lines, tried, edits)
-    rest = crossing(members.select("key", "a"), edges, tried)
+    members = shown.select("key", "a").unionByName(shown.select("key", F.col("b").alias("a")).distinct())
+    rest = crossing(members, edges, tried)
     return edges.unionByName(_verified(lines, rest, edits))
 
 

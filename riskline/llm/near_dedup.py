@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import byte_slices, checkpointed, text_or_empty
-from .links import components
+from .links import components, grown
 
 WIDTH = 5
 THRESHOLD = 75  # hundredths
@@ -203,8 +203,8 @@ def _linked(compared: DataFrame) -> DataFrame:
     return compared.where("linked").select("a", "b").distinct()
 
 
-def _edges(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Confirmed links whose components are those of all links that the bands show."""
+def _roots(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, root) of the linked nodes: the components of all links that the bands show."""
     buckets = nodes.select("node", "n_shingles", F.explode("bands").alias("key"))
     hubs = buckets.groupBy("key").agg(F.min(F.struct("n_shingles", "node"))["node"].alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
     keys = checkpointed(buckets.join(hubs, "key").select("key", "node", "hub"))  # buckets of two or more
@@ -212,9 +212,9 @@ def _edges(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     for side in ("a", "b"):
         tried = tried.join(nodes.select(F.col("node").alias(side), F.col("planes").alias(f"planes_{side}")), side)
     tried = checkpointed(tried.where(_equal("planes_a", "planes_b") >= LEAST_EQUAL).select("a", "b"))
-    edges = _linked(_compared(docs, nodes, tried))
+    roots = components(_linked(_compared(docs, nodes, tried)))
     for left in range(ROUNDS, -1, -1):
-        member = keys.select("key", "node").join(components(edges), "node", "left")
+        member = keys.select("key", "node").join(roots, "node", "left")
         member = checkpointed(member.select("key", "node", F.coalesce("root", "node").alias("root")))
         mixed = member.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
         member = member.join(mixed.where("lo <> hi").select("key", "n"), "key")
@@ -229,22 +229,23 @@ def _edges(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         many = checkpointed(many.join(pivots, "key"))
         pairs = _pairs(few, few).unionByName(_pairs(many.where(F.col("n_shingles") < F.col("least")), many)).distinct()
         pairs = checkpointed(pairs.join(tried, ["a", "b"], "left_anti"))
-        edges = edges.unionByName(_linked(_compared(docs, nodes, pairs)))
+        edges = _linked(_compared(docs, nodes, pairs))
         tried = tried.unionByName(pairs)
         against = many.where((F.col("n_shingles") >= F.col("least")) & (F.col("node") != F.col("pivot"))).select(
             F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
         against = checkpointed(against)
         if against.isEmpty():
-            break
+            return grown(roots, edges)
         compared = _compared(docs, nodes, against, added=True)
-        edges = edges.unionByName(_linked(compared))
+        roots = grown(roots, edges.unionByName(_linked(compared)))
         keys = checkpointed(_beyond_keys(compared, nodes))
-    return edges
+    return roots
 
 
 def _beyond_keys(compared: DataFrame, nodes: DataFrame) -> DataFrame:
     """(key, node): for each node its rarest shingles beyond the pivot, as far as a link must share one."""
-    rows = compared.select(F.col("a").alias("node"), "b", F.explode("beyond").alias("shingle"))
+    once = compared.dropDuplicates(["a", "b"])  # repeated rows are compared each; their shingles must not count twice
+    rows = once.select(F.col("a").alias("node"), "b", F.explode("beyond").alias("shingle"))
     seen = rows.groupBy("b", "shingle").agg(F.count(F.lit(1)).alias("seen"))
     rows = rows.join(seen, ["b", "shingle"]).join(nodes.select("node", "n_shingles"), "node")
     place = F.row_number().over(Window.partitionBy("node", "b").orderBy("seen", "shingle"))
@@ -265,8 +266,7 @@ def _decided(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     nodes = checkpointed(rows.where("n_shingles > 0").groupBy("same").agg(
         F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"),
         F.first("planes").alias("planes")).withColumn("node", F.monotonically_increasing_id()))
-    edges = _edges(docs, nodes)
-    roots = nodes.select("same", "doc_id", "node").join(components(edges), "node", "left").select(
+    roots = nodes.select("same", "doc_id", "node").join(_roots(docs, nodes), "node", "left").select(
         "same", "doc_id", F.coalesce("root", "node").alias("root"))
     smallest = roots.groupBy("root").agg(F.min("doc_id").alias("smallest"))
     classes = roots.join(smallest, "root").select("same", "smallest")

@@ -2,8 +2,9 @@
 
 DataFrame functions only. Words and word pairs are hashed into ``buckets`` counters. One
 pass counts them over all documents (raw) and over the trusted ones (target); both are
-multinomials over the buckets, the target's with the raw one as its prior, so a bucket the
-target says little about scores 0. A document's score is the mean of log(target / raw) over
+multinomials over the buckets, scaled to the target's size and given the same pseudo-counts, so
+a bucket seen too seldom to say anything scores about 0; the occurrence that is scored is not
+counted among the raw ones. A document's score is the mean of log(target / raw) over
 its n-grams; it passes with a score of at least ``min_score``. Every document is decided by
 the same fixed threshold.
 
@@ -28,7 +29,7 @@ from .common import SPACE, text_or_empty, words
 
 BUCKETS = 1 << 14
 MAX_TRUSTED = 20_000
-PRIOR = 2.0  # pseudo-counts a bucket, dealt as the raw corpus is
+PRIOR = 10.0 # pseudo-counts of every bucket on both sides
 MIN_SCORE = -0.04
 SYMBOLS = "[#*$%&|<>]"
 
@@ -73,9 +74,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         raw[b], target[b] = r, t
     if not raw.sum() or not target.sum():
         return Model((0.0,) * buckets)
-    p = (raw + 1e-3) / (raw + 1e-3).sum()
-    q = (target + prior * buckets * p) / (target.sum() + prior * buckets)
-    return Model(tuple(np.log(q / p).tolist()))
+    expected = np.maximum(raw - 1, 0) * (target.sum() / raw.sum())  # the occurrence that is scored does not speak against itself
+    return Model(tuple(np.log((target + prior) / (expected + prior)).tolist()))
 
 
 def _base(d: DataFrame) -> DataFrame:
@@ -110,7 +110,9 @@ def _decided(docs: DataFrame, model: Model, id_col: str, text_col: str, min_scor
     d = _base(_hashed(docs, id_col, text_col)).withColumn("grams", _grams(len(model.ratios)))
     d = d.withColumn("score", F.when(F.size("grams") == 0, 0.0).otherwise(F.round(F.aggregate(
         "grams", F.lit(0.0), lambda a, g: a + ratios[g]) / F.size("grams"), 6)))
-    d = d.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
+    # always true, but no filter moves below it: there it would hold the expressions above many times over
+    once = F.monotonically_increasing_id() >= 0
+    d = d.withColumn("base_failed", once & ((F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))))
     return d.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= min_score))
 
 

@@ -8,9 +8,14 @@ number (multi-match-aware selection). The index has a key (length, number, segme
 segment, s probes its own and the shorter lengths. A probe of the own length at the own
 place is the index key itself, so a line has 12 keys for 2 edits.
 
-Keys are grouped by Spark; members of a key meet its hub, then pairs of a key whose
-components still differ (``links``). Pairs are verified by the bit-parallel recurrence over
-the diagonal band, many pairs at a time. Classes are the components of the links; the first
+Keys are grouped by Spark; members of a key meet its hub, then only pairs of a key whose
+components still differ can matter. In a key of up to ``FEW`` lines they are listed. In a
+larger key the rest of each line, without the segment that the key holds, is cut into
+segments again: two lines that are linked through the key have rests within the same
+threshold, so they share a key of the next level. After ``LEVELS`` such cuts what is left is
+listed. Listing leaves out pairs that more edits than the threshold must part, told by the
+parities of their character and pair counts. Pairs are verified by the bit-parallel
+recurrence over the diagonal band, many pairs at a time. Classes are the components of the links; the first
 line of a class by (doc_id, line number) stays, the others go.
 
 Lines are taken without the white space around them; blank lines are no lines and always
@@ -25,16 +30,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import SPACE, SPACE_CHARS, byte_slices, checkpointed, text_or_empty
-from .links import components, crossing
+from .links import components, grown
 
 EDITS = 2
 MIN_CHARS = 30
 BROADCAST_ROWS = 500_000
 SEEN_LINES = 200_000
+#: Pairs of different components are listed in keys of so many lines at most.
+FEW = 12
+#: Larger keys are cut anew so many times; what is left is listed.
+LEVELS = 3
 
 
 def segments(n: int, edits: int) -> list[tuple[int, int]]:
@@ -171,8 +180,77 @@ def _keys(edits: int, own: bool):
     return keys
 
 
-def _verified(lines: DataFrame, pairs: DataFrame, edits: int) -> DataFrame:
-    """The pairs (a, b) of lines within the threshold. Texts are looked up for the lines in question only."""
+def _deeper(edits: int, level: int):
+    """Keys of the next level: a line's rest without the segment of a crowded key is cut anew, within that key."""
+
+    def descend(rest: str, parent: bytes, crowded: set[int], depth: int, out: set[int]) -> None:
+        import xxhash
+
+        found = [(lo, hi, xxhash.xxh3_64_intdigest(parent + rest[lo:hi].encode("utf-8", "surrogatepass"), (l << 4) + i))
+                 for l, i, lo, size, _ in places(len(rest), edits) for hi in (lo + size,)]
+        if len(rest) <= 2 * edits:  # a partner may be too short to be cut
+            found.append((0, 0, xxhash.xxh3_64_intdigest(parent, 15)))
+        for lo, hi, key in found:
+            if depth == level:
+                out.add(key)
+            elif key in crowded and hi > lo:
+                descend(rest[:lo] + rest[hi:], key.to_bytes(8, "little"), crowded, depth + 1, out)
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, n in byte_slices(batch.column(1), 1 << 20):
+                rows = batch.slice(at, n)
+                key, line = [], []
+                for h, text, crowded in zip(*(rows.column(c).to_pylist() for c in range(3)), strict=True):
+                    out: set[int] = set()
+                    descend(text, b"", {k & (2**64 - 1) for k in crowded}, 0, out)
+                    key += out
+                    line += [h] * len(out)
+                yield pa.RecordBatch.from_arrays([pa.array(np.array(key, dtype=np.uint64).view(np.int64)), pa.array(line, pa.int64())],
+                                                 names=["key", "node"])
+
+    return keys
+
+
+def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds to (line, text) the parities of the counts of characters and of pairs of neighbours, 64 classes each."""
+    mix = np.uint64(0x9E3779B97F4A7C15)
+
+    def parities(x: np.ndarray) -> int:
+        odd = np.bincount((x * mix >> np.uint64(58)).astype(np.int64), minlength=64) & 1
+        return int(np.packbits(odd.astype(np.uint8)).view(np.int64)[0])
+
+    for batch in batches:
+        one, two = [], []
+        for text in batch.column(1).to_pylist():
+            c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+            one.append(parities(c))
+            two.append(parities((c[:-1] << np.uint64(21)) + c[1:]))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(one, pa.int64()), pa.array(two, pa.int64())],
+                                         names=["line", "text", "one", "two"])
+
+
+def _may_be_near(edits: int) -> Column:
+    """What every pair within the threshold meets: an edit turns at most two parities of characters and four of pairs."""
+    return ((F.bit_count(F.col("one_a").bitwiseXOR(F.col("one_b"))) <= 2 * edits)
+            & (F.bit_count(F.col("two_a").bitwiseXOR(F.col("two_b"))) <= 4 * edits))
+
+
+def _side(texts: DataFrame, side: str) -> DataFrame:
+    return texts.select(F.col("line").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("text", "one", "two")])
+
+
+def _texts(lines: DataFrame, asked: DataFrame) -> DataFrame:
+    """(line, text, one, two) of the lines in question."""
+    asked = checkpointed(asked)
+    n = asked.count()
+    texts = lines.join(F.broadcast(asked) if n <= BROADCAST_ROWS else asked, F.col("line") == F.col("asked"), "left_semi")
+    return checkpointed(texts.groupBy("line").agg(F.max("text").alias("text")).mapInArrow(
+        _signed, "line bigint, text string, one bigint, two bigint"))
+
+
+def _verified(texts: DataFrame, pairs: DataFrame, edits: int) -> DataFrame:
+    """The pairs (a, b) of lines within the threshold."""
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -181,16 +259,18 @@ def _verified(lines: DataFrame, pairs: DataFrame, edits: int) -> DataFrame:
                 good = banded_distances(rows.column(2).to_pylist(), rows.column(3).to_pylist(), edits) <= edits
                 yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1)], names=["a", "b"]).filter(pa.array(good))
 
-    pairs = checkpointed(pairs)
-    asked = checkpointed(pairs.select(F.col("a").alias("asked")).union(pairs.select("b")).distinct())
-    n = asked.count()
-    texts = lines.join(F.broadcast(asked) if n <= BROADCAST_ROWS else asked, F.col("line") == F.col("asked"), "left_semi")
-    texts = checkpointed(texts.groupBy("line").agg(F.max("text").alias("text")))
-    for side in ("a", "b"):
-        pairs = pairs.join(texts.select(F.col("line").alias(side), F.col("text").alias(f"text_{side}")), side)
+    pairs = pairs.join(_side(texts, "a"), "a").join(_side(texts, "b"), "b").where(_may_be_near(edits))
     return checkpointed(pairs.select("a", "b", "text_a", "text_b").mapInArrow(near, "a bigint, b bigint"))
 
 
+def _listed(member: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
+    """Pairs (a > b) of a key's members (key, node, root) of different components that may be near."""
+    member = member.join(texts.select(F.col("line").alias("node"), "one", "two"), "node")
+    x, y = (member.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "root", "one", "two")]) for side in ("a", "b"))
+    pairs = x.join(y, (x["key"] == y["key"]) & (F.col("node_a") > F.col("node_b")) & (F.col("root_a") != F.col("root_b")) & _may_be_near(edits))
+    return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+
+
 def links(lines: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """Edges (a, b) between different lines whose components are those of the edit join."""
     lines = lines.where(F.length("text") >= max(min_chars, edits + 1)).select("line", "text")
@@ -199,10 +279,29 @@ def links(lines: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> D
     keys = lines.mapInArrow(_keys(edits, False), "key bigint, line bigint")
     shown = checkpointed(keys.join(hubs, "key").where("line <> b").select("key", F.col("line").alias("a"), "b").distinct())
     tried = shown.select("a", "b").distinct()
-    edges = _verified(lines, tried, edits)
-    members = shown.select("key", "a").unionByName(shown.select("key", F.col("b").alias("a")).distinct())
-    rest = crossing(members, edges, tried)
-    return edges.unionByName(_verified(lines, rest, edits))
+    texts = _texts(lines, shown.select(F.col("a").alias("asked")).union(shown.select("b")).distinct())
+    roots = components(_verified(texts, tried, edits))
+    member = shown.select("key", F.col("a").alias("node")).unionByName(shown.select("key", F.col("b").alias("node")).distinct())
+    crowded = None
+    for level in range(LEVELS + 1):
+        member = checkpointed(member.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")))
+        mixed = member.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+        member = checkpointed(member.join(mixed.where("lo <> hi").select("key", "n"), "key"))
+        few = member.where(F.col("n") <= FEW) if level < LEVELS else member
+        roots = grown(roots, _verified(texts, _listed(few, texts, edits), edits))
+        many = member.where(F.col("n") > FEW).select("node", "key")
+        if level == LEVELS or many.isEmpty():
+            break
+        crowded = many if crowded is None else crowded.unionByName(many)
+        held = many.select("node").distinct().join(crowded, "node").groupBy("node").agg(F.collect_set("key").alias("crowded"))
+        member = texts.join(held, F.col("line") == F.col("node")).select("node", "text", "crowded").mapInArrow(
+            _deeper(edits, level + 1), "key bigint, node bigint")
+        member = checkpointed(member)
+        hub = member.groupBy("key").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        member = member.join(hub.select("key", "b"), "key")
+        roots = grown(roots, _verified(texts, member.where("node <> b").select(F.col("node").alias("a"), "b").distinct(), edits))
+        member = member.select("key", "node")
+    return roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
 
 
 def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS,

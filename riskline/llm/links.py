@@ -1,10 +1,4 @@
-"""Linking the members of shared keys without making all pairs of a key.
-
-A key is anything two nodes must share to be linked (a band bucket, a segment). Linking goes
-in two steps: members meet their key's hub; then only pairs of a key whose components still
-differ are looked at. A key whose members are one component costs nothing more, so a group of
-thousands costs its size, and no link between different components is lost.
-"""
+"""Connected components of links."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
@@ -38,21 +32,3 @@ def grown(roots: DataFrame, edges: DataFrame) -> DataFrame:
     """(node, root) after more edges (a, b): the components so far are stars already."""
     return components(roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
                       .unionByName(edges.select("a", "b")))
-
-
-def crossing(members: DataFrame, edges: DataFrame, tried: DataFrame) -> DataFrame:
-    """Pairs (a, b) that share a key and aren't in one component of ``edges``, without those of ``tried``.
-
-    members: (key, a), each once. In a key of several components the members outside the
-    largest one meet the others.
-    """
-    member = members.join(components(edges), F.col("a") == F.col("node"), "left").select(
-        "key", F.col("a").alias("node"), F.coalesce("root", "a").alias("root"))
-    member = checkpointed(member)
-    sizes = member.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
-    mixed = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("roots"), F.max(F.struct("n", "root"))["root"].alias("main"))
-    member = member.join(mixed.where("roots > 1"), "key").select("key", "node", "root", "main")
-    outside = member.where("root <> main").select("key", F.col("node").alias("a"), F.col("root").alias("root_a"))
-    pairs = outside.join(member, "key").where("root = main or root_a < root").select("a", F.col("node").alias("b")).distinct()
-    return (pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-            .join(tried.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti"))

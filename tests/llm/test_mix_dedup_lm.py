@@ -222,6 +222,28 @@ def test_line_classes_against_brute_force(spark):
         assert left.get(i) == ("\n".join(lines) if any(x.strip() for x in lines) else None)
 
 
+def test_crowded_line_keys_against_brute_force(spark):
+    """Many lines of one pattern: keys with far more lines than are listed, and links that only deeper keys show."""
+    r = random.Random(6)
+    lines = []
+    for i in range(90):
+        word = "".join(r.choice("abcdefgh") for _ in range(6))
+        lines.append(f"the same long beginning of a line {word} and the same end")
+        if i % 3 == 0:  # near that line, not the others
+            lines.append(lines[-1].replace(word, word[:2] + "zz" + word[4:]))
+            lines.append(lines[-1].replace("long", "log"))
+    lines += [f"number {i:03d} of a form that holds little else" for i in range(0, 400, 7)]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "doc_id long, text string")
+    got: dict = {}
+    for x in line_dedup.line_classes(df).collect():
+        got.setdefault(x.class_id, set()).add(x.doc_id)
+    want: dict = {}
+    group = _line_groups(lines)
+    for i, x in enumerate(lines):
+        want.setdefault(group[x], set()).add(i)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+
+
 def test_lines_odd_rows(odd, empty):
     out = line_dedup.deduplicated(odd)
     assert out.columns == odd.columns

@@ -271,8 +271,8 @@ def _listed(member: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
     return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
-def links(lines: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """Edges (a, b) between different lines whose components are those of the edit join."""
+def linked(lines: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+    """(node, root): the components of the edit join, of the lines that are linked with others."""
     lines = lines.where(F.length("text") >= max(min_chars, edits + 1)).select("line", "text")
     # a key matters if some line owns it and another one shows it; the smallest owner is its hub
     hubs = lines.mapInArrow(_keys(edits, True), "key bigint, line bigint").groupBy("key").agg(F.min("line").alias("b"))
@@ -280,28 +280,32 @@ def links(lines: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> D
     shown = checkpointed(keys.join(hubs, "key").where("line <> b").select("key", F.col("line").alias("a"), "b").distinct())
     tried = shown.select("a", "b").distinct()
     texts = _texts(lines, shown.select(F.col("a").alias("asked")).union(shown.select("b")).distinct())
-    roots = components(_verified(texts, tried, edits))
+    roots = checkpointed(components(_verified(texts, tried, edits)))
     member = shown.select("key", F.col("a").alias("node")).unionByName(shown.select("key", F.col("b").alias("node")).distinct())
-    crowded = None
+    edges = crowded = None
     for level in range(LEVELS + 1):
         member = checkpointed(member.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")))
         mixed = member.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
         member = checkpointed(member.join(mixed.where("lo <> hi").select("key", "n"), "key"))
         few = member.where(F.col("n") <= FEW) if level < LEVELS else member
-        roots = grown(roots, _verified(texts, _listed(few, texts, edits), edits))
+        edges = _verified(texts, _listed(few, texts, edits), edits)
         many = member.where(F.col("n") > FEW).select("node", "key")
         if level == LEVELS or many.isEmpty():
             break
         crowded = many if crowded is None else crowded.unionByName(many)
         held = many.select("node").distinct().join(crowded, "node").groupBy("node").agg(F.collect_set("key").alias("crowded"))
-        member = texts.join(held, F.col("line") == F.col("node")).select("node", "text", "crowded").mapInArrow(
-            _deeper(edits, level + 1), "key bigint, node bigint")
-        member = checkpointed(member)
+        member = checkpointed(texts.join(held, F.col("line") == F.col("node")).select("node", "text", "crowded").mapInArrow(
+            _deeper(edits, level + 1), "key bigint, node bigint"))
         hub = member.groupBy("key").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1")
         member = member.join(hub.select("key", "b"), "key")
-        roots = grown(roots, _verified(texts, member.where("node <> b").select(F.col("node").alias("a"), "b").distinct(), edits))
+        met = _verified(texts, member.where("node <> b").select(F.col("node").alias("a"), "b").distinct(), edits)
+        roots = _joined(roots, edges.unionByName(met))
         member = member.select("key", "node")
-    return roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+    return _joined(roots, edges)
+
+
+def _joined(roots: DataFrame, edges: DataFrame) -> DataFrame:
+    return roots if edges.isEmpty() else checkpointed(grown(roots, edges))
 
 
 def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS,
@@ -309,7 +313,7 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(doc_id, tie, line_no, class_id, class_lines, kept) of every non-blank line."""
     lines = lines_of(docs, id_col, text_col)
     at = checkpointed(lines.select("doc_id", "tie", "line_no", "line"))
-    roots = components(links(lines, edits, min_chars)).select(F.col("node").alias("line"), "root")
+    roots = linked(lines, edits, min_chars).select(F.col("node").alias("line"), "root")
     at = at.join(roots, "line", "left").select("doc_id", "tie", "line_no", F.coalesce("root", "line").alias("class_id"))
     first = at.groupBy("class_id").agg(F.min(F.struct("doc_id", "tie", "line_no")).alias("first"), F.count(F.lit(1)).alias("class_lines"))
     return at.join(first, "class_id").select(

@@ -5,10 +5,14 @@ locally and send them as packed blocks to groups by hash; each group has all occ
 its n-grams and so their exact counts. The count c of an n-gram is quantised to a level, 1 +
 floor(steps * log2(c)) (4 steps for words, 1 for pairs), and the n-gram is put into the
 filter once for each level up to it. The filter is cut into blocks of 2**20 bits by the
-n-gram's hash, so groups fill it independently and nothing but finished blocks (``max_bits``
-in all, a documented bound, 64 MB) reaches the driver, which broadcasts it.
-
-Scoring: an n-gram's level is found by probing 1, 2, ... until a probe misses. With the
+n-gram's hash, so groups fill it independently. The number of blocks follows the counted
+tokens and entries without a ceiling: there are at least ``BITS_AN_ENTRY`` bits for each
+(n-gram, level) put in, so the fill stays under 1 - exp(-3 / 6) = 39 % at any size.
+
+Scoring: an n-gram's level is found by probing 1, 2, ... until a probe misses. A filter of at
+most ``BROADCAST_BITS`` (64 MB) goes to all workers. A larger one stays a table of blocks:
+slices of texts (about ``GROUP_TOKENS`` tokens) send their distinct n-grams to the blocks and
+get the levels back; the driver sees no block, and both ways give the same scores. With the
 counts f read so, p(w | v) = PAIR * f(vw) / f(v) + (1 - PAIR) * (f(w) + 0.1) / (N + 0.1 (V + 1)).
 
 Base score: exact counts. Those of the ``TOP_WORDS`` most frequent training tokens go to all
@@ -25,14 +29,17 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import byte_slices, checkpointed, text_or_empty
+from .common import SPACE, byte_slices, checkpointed, text_or_empty
 
 BLOCK_BITS = 20
-MAX_BITS = 1 << 29
+BROADCAST_BITS = 1 << 29
 BITS_A_TOKEN = 6
+BITS_AN_ENTRY = 6
 PROBES = 3
 WORD_STEPS, PAIR_STEPS = 4, 1
 PAIR = 0.25
@@ -173,19 +180,20 @@ def _summed(found: list[bytes], n: list[bytes]) -> tuple[np.ndarray, np.ndarray]
 def _filled(subs: int):
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
         bits = np.zeros(1 << BLOCK_BITS, dtype=np.uint8)
-        words, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+        words, counts, entries = np.empty(0, np.uint64), np.empty(0, np.int64), 0
         for kind, steps in ((0, WORD_STEPS), (1, PAIR_STEPS)):
             some = pdf[pdf["kind"] == kind]
             keys, n = _summed(list(some["found"]), list(some["n"]))
             if kind == 0:
                 words, counts, keys = keys, n, word_keys(keys)
             level = levels_of(n, steps)
+            entries += int(level.sum())
             for j in range(1, int(level.max()) + 1 if len(level) else 1):
                 held = keys[level >= j]
                 for i in range(PROBES):
                     bits[_bits(held, j, i)] = 1
         return pd.DataFrame({"block": [int(pdf["grp"].iloc[0]) // subs], "bits": [np.packbits(bits, bitorder="little").tobytes()],
-                             "words": [words.view(np.int64)], "counts": [counts]})
+                             "words": [words.view(np.int64)], "counts": [counts], "entries": [entries]})
 
     return fill
 
@@ -197,73 +205,179 @@ def _merged(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"block": [int(pdf["block"].iloc[0])], "bits": [whole.tobytes()]})
 
 
-def train(texts: DataFrame, max_bits: int = MAX_BITS) -> tuple[np.ndarray, int, DataFrame]:
-    """(filter bytes, number of blocks, count table (word, c)) of the column ``text``."""
-    tokens = (texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 5
-    blocks = 1
-    while blocks << BLOCK_BITS < min(max_bits, BITS_A_TOKEN * tokens):
-        blocks *= 2
-    subs = max(1, -(-tokens // (blocks * GROUP_TOKENS)))
-    counted = texts.select("text").mapInArrow(_counted(blocks, subs), "grp bigint, kind int, found binary, n binary")
-    done = checkpointed(counted.groupBy("grp").applyInPandas(
-        _filled(subs), "block bigint, bits binary, words array<bigint>, counts array<bigint>"))
+def _blocks_for(bits: int) -> int:
+    return 1 << (max(1, -(-bits >> BLOCK_BITS)) - 1).bit_length()
+
+
+def built(texts: DataFrame) -> tuple[DataFrame, int, DataFrame]:
+    """(filter (block, bits), number of blocks, count table (word, c)) of the column ``text``."""
+    n_words = F.regexp_count("text", F.lit(f"[^{SPACE}]+"))
+    tokens = texts.agg(F.sum(n_words + 1)).first()[0] or 0
+    blocks = _blocks_for(BITS_A_TOKEN * tokens)
+    while True:
+        subs = max(1, -(-tokens // (blocks * GROUP_TOKENS)))
+        counted = texts.select("text").mapInArrow(_counted(blocks, subs), "grp bigint, kind int, found binary, n binary")
+        done = checkpointed(counted.groupBy("grp").applyInPandas(
+            _filled(subs), "block bigint, bits binary, words array<bigint>, counts array<bigint>, entries bigint"))
+        # mostly new words: more entries than tokens; they are known now, so the second turn is the last
+        need = _blocks_for(BITS_AN_ENTRY * (done.agg(F.sum("entries")).first()[0] or 0))
+        if need <= blocks:
+            break
+        blocks = need
+    whole = done.select("block", "bits")
+    if subs > 1:
+        whole = whole.groupBy("block").applyInPandas(_merged, "block bigint, bits binary")
+    table = done.select(F.explode(F.arrays_zip("words", "counts")).alias("x")).select(
+        F.col("x.words").alias("word"), F.col("x.counts").alias("c"))
+    return whole, blocks, table
+
+
+def _collected(whole: DataFrame, blocks: int) -> np.ndarray:
     size = 1 << (BLOCK_BITS - 3)
     held = np.zeros(blocks * size, dtype=np.uint8)
-    whole = done.select("block", "bits") if subs == 1 else done.select("block", "bits").groupBy("block").applyInPandas(
-        _merged, "block bigint, bits binary")
-    for block, bits in whole.toLocalIterator():  # max_bits in all
+    for block, bits in whole.toLocalIterator():
         held[block * size:(block + 1) * size] = np.frombuffer(bits, np.uint8)
-    table = done.select(F.explode(F.arrays_zip("words", "counts")).alias("x")).select(
-        F.col("x.words").alias("word"), F.col("x.counts").alias("c"))
-    return held, blocks, table
+    return held
+
+
+def train(texts: DataFrame) -> tuple[np.ndarray, int, DataFrame]:
+    """(filter bytes, number of blocks, count table) with the whole filter in the driver, for small corpora."""
+    whole, blocks, table = built(texts)
+    return _collected(whole, blocks), blocks, table
+
+
+def _requests(blocks: int, id_type: pa.DataType):
+    """Tasks: the texts with their slice (block -1), and the slice's distinct n-grams packed by block."""
+    schema = pa.schema([("slice", pa.int64()), ("block", pa.int64()), ("kind", pa.int32()), ("found", pa.binary()),
+                        ("doc_id", id_type), ("held_out", pa.bool_()), ("text", pa.string())])
+
+    def asked(at: int, h: list[np.ndarray], pairs: list[np.ndarray]) -> pa.RecordBatch:
+        block, kind, keys = [], [], []
+        for k, arrays in enumerate((h, pairs)):
+            found = np.unique(np.concatenate(arrays))
+            found = np.sort(word_keys(found)) if k == 0 else found
+            to = block_of(found, blocks)  # the top bits: in order
+            cut = np.flatnonzero(np.diff(to)) + 1
+            for lo, hi in zip([0, *cut], [*cut, len(to)], strict=True):
+                block.append(int(to[lo]))
+                kind.append(k)
+                keys.append(found[lo:hi].tobytes())
+        n = len(block)
+        return pa.RecordBatch.from_arrays([pa.array([at] * n, pa.int64()), pa.array(block, pa.int64()), pa.array(kind, pa.int32()),
+                                           pa.array(keys, pa.binary()), pa.nulls(n, id_type), pa.nulls(n, pa.bool_()),
+                                           pa.nulls(n, pa.string())], schema=schema)
+
+    def request(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        at, h, pairs, held = TaskContext.get().partitionId() << 32, [], [], 0
+        for batch in batches:
+            for lo, n in byte_slices(batch.column(2), 1 << 20):
+                rows = batch.slice(lo, n)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(n, at)), pa.array(np.full(n, -1)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()),
+                    *[rows.column(i).cast(schema.field(4 + i).type) for i in range(3)]], schema=schema)
+                tokens, starts = token_hashes(rows.column(2).to_pylist())
+                h.append(np.unique(tokens))
+                pairs.append(np.unique(pair_keys(tokens, starts)))
+                held += len(tokens)
+                if held >= GROUP_TOKENS:
+                    yield asked(at, h, pairs)
+                    at, h, pairs, held = at + 1, [], [], 0
+        if held:
+            yield asked(at, h, pairs)
 
+    return request
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS,
+
+def _answered(asked: pa.Table, block: pa.Table) -> pa.Table:
+    """Levels of the n-grams that were sent to one block (a block without bits knows none)."""
+    size = 1 << (BLOCK_BITS - 3)
+    bits = np.frombuffer(block.column("bits")[0].as_py(), np.uint8) if block.num_rows else np.zeros(size, np.uint8)
+    levels = []
+    for found in asked.column("found").to_pylist():
+        levels.append(probed(np.frombuffer(found, np.uint64), bits, 1).astype(np.uint16).tobytes())
+    return pa.table({"slice": asked.column("slice"), "kind": asked.column("kind"), "found": asked.column("found"),
+                     "levels": pa.array(levels, pa.binary())})
+
+
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broadcast_bits: int = BROADCAST_BITS,
           top_words: int = TOP_WORDS) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every text."""
     docs = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text_or_empty(text_col).alias("text"))
     docs = docs.withColumn("held_out", F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 10 == 0)
-    held, blocks, table = train(docs.where("not held_out"), max_bits)
+    whole, blocks, table = built(docs.where("not held_out"))
     total, distinct = table.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     top = table.orderBy(F.col("c").desc(), "word").limit(top_words).toPandas()
     order = np.argsort(top["word"].to_numpy().astype(np.int64).view(np.uint64))
     below = total + ADD * (distinct + 1)
     sc = docs.sparkSession.sparkContext
-    model = sc.broadcast((held, top["word"].to_numpy().astype(np.int64).view(np.uint64)[order],
+    everywhere = blocks << BLOCK_BITS <= broadcast_bits
+    model = sc.broadcast((_collected(whole, blocks) if everywhere else None, top["word"].to_numpy().astype(np.int64).view(np.uint64)[order],
                           np.log10((top["c"].to_numpy().astype(np.float64)[order] + ADD) / below)))
 
+    def scored_rows(rows: pa.RecordBatch, levels) -> pa.RecordBatch:
+        """``levels``: of distinct keys, by kind."""
+        _, frequent, logs = model.value
+        h, starts = token_hashes(rows.column(2).to_pylist())
+        lengths = np.diff([*starts, len(h)])
+        kinds, which = np.unique(h, return_inverse=True)
+        place = np.searchsorted(frequent, kinds).clip(0, max(0, len(frequent) - 1))
+        is_top = frequent[place] == kinds if len(frequent) else np.zeros(len(kinds), bool)
+        base = np.where(is_top, logs[place], 0.0)[which] if len(frequent) else np.zeros(len(h))
+        common = is_top[which]
+        of_kinds = counts_of(levels(word_keys(kinds), 0), WORD_STEPS)
+        words = of_kinds[which]
+        pairs, where = np.unique(pair_keys(h, starts), return_inverse=True)
+        both = counts_of(levels(pairs, 1), PAIR_STEPS)[where]
+        before = np.empty(len(h))
+        before[1:] = words[:-1]
+        before[starts] = of_kinds[np.searchsorted(kinds, END)]  # as many starts as ends
+        p = PAIR * both / np.maximum(np.maximum(before, both), 1) + (1 - PAIR) * np.minimum(1, (words + ADD) / below)
+        rare = h[~common].view(np.int64)
+        ends = np.concatenate([[0], np.cumsum(np.add.reduceat(~common, starts))]).astype(np.int32) if len(h) else np.zeros(1, np.int32)
+        return pa.RecordBatch.from_arrays([
+            rows.column(0), rows.column(1), pa.array(lengths, pa.int64()),
+            pa.array(np.add.reduceat(common.astype(np.int64), starts), pa.int64()),
+            pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(np.log10(p), starts)),
+            pa.ListArray.from_arrays(pa.array(ends), pa.array(rare))],
+            names=["doc_id", "held_out", "n_tokens", "known", "base", "score", "rare"])
+
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, frequent, logs = model.value
+        bits = model.value[0]
         for batch in batches:
             for at, size in byte_slices(batch.column(2), 1 << 20):
-                rows = batch.slice(at, size)
-                h, starts = token_hashes(rows.column(2).to_pylist())
-                lengths = np.diff([*starts, len(h)])
-                kinds, which = np.unique(h, return_inverse=True)
-                place = np.searchsorted(frequent, kinds).clip(0, max(0, len(frequent) - 1))
-                is_top = frequent[place] == kinds if len(frequent) else np.zeros(len(kinds), bool)
-                base = np.where(is_top, logs[place], 0.0)[which] if len(frequent) else np.zeros(len(h))
-                common = is_top[which]
-                words = counts_of(probed(word_keys(kinds), bits, blocks), WORD_STEPS)[which]
-                pairs, where = np.unique(pair_keys(h, starts), return_inverse=True)
-                both = counts_of(probed(pairs, bits, blocks), PAIR_STEPS)[where]
-                before = np.empty(len(h))
-                before[1:] = words[:-1]
-                before[starts] = counts_of(probed(word_keys(np.array([END])), bits, blocks), WORD_STEPS)[0]  # as many starts as ends
-                p = PAIR * both / np.maximum(np.maximum(before, both), 1) + (1 - PAIR) * np.minimum(1, (words + ADD) / below)
-                rare = h[~common].view(np.int64)
-                ends = np.concatenate([[0], np.cumsum(np.add.reduceat(~common, starts))]).astype(np.int32) if len(h) else np.zeros(1, np.int32)
-                yield pa.RecordBatch.from_arrays([
-                    rows.column(0), rows.column(1), pa.array(lengths, pa.int64()),
-                    pa.array(np.add.reduceat(common.astype(np.int64), starts), pa.int64()),
-                    pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(np.log10(p), starts)),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(rare))],
-                    names=["doc_id", "held_out", "n_tokens", "known", "base", "score", "rare"])
-
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    texts = checkpointed(docs.select("doc_id", "held_out", "text").mapInArrow(
-        scored, f"doc_id {id_type}, held_out boolean, n_tokens bigint, known bigint, base double, score double, rare array<bigint>")
-        .withColumn("row", F.monotonically_increasing_id()))
+                yield scored_rows(batch.slice(at, size), lambda keys, kind: probed(keys, bits, blocks))
+
+    def scored_slice(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        known = []
+        for k in (0, 1):
+            mine = answers.filter(pc.equal(answers.column("kind"), k))
+            found = np.concatenate([np.frombuffer(x, np.uint64) for x in mine.column("found").to_pylist()])
+            levels = np.concatenate([np.frombuffer(x, np.uint16) for x in mine.column("levels").to_pylist()])
+            sort = np.argsort(found)
+            known.append((found[sort], levels[sort].astype(np.int64)))
+        out = []
+        for batch in rows.select(["doc_id", "held_out", "text"]).to_batches():
+            for at, size in byte_slices(batch.column(2), 1 << 20):
+                out.append(scored_rows(batch.slice(at, size), lambda keys, kind: known[kind][1][np.searchsorted(known[kind][0], keys)]))
+        return pa.Table.from_batches(out)
+
+    id_type = docs.schema["doc_id"].dataType
+    columns = (f"doc_id {id_type.simpleString()}, held_out boolean, n_tokens bigint, known bigint, base double, score double, "
+               "rare array<bigint>")
+    docs = docs.select("doc_id", "held_out", "text")
+    if everywhere:
+        texts = docs.mapInArrow(scored, columns)
+    else:
+        sent = checkpointed(docs.mapInArrow(
+            _requests(blocks, to_arrow_type(id_type)), "slice bigint, block bigint, kind int, found binary, "
+            f"doc_id {id_type.simpleString()}, held_out boolean, text string"))
+        answers = sent.where("block >= 0").select("slice", "block", "kind", "found").groupBy("block").cogroup(
+            whole.groupBy("block")).applyInArrow(_answered, "slice bigint, kind int, found binary, levels binary")
+        texts = sent.where("block < 0").select("slice", "doc_id", "held_out", "text").groupBy("slice").cogroup(
+            answers.groupBy("slice")).applyInArrow(scored_slice, columns)
+    texts = checkpointed(texts.withColumn("row", F.monotonically_increasing_id()))
     rest = texts.select("row", F.explode("rare").alias("word")).join(table, "word", "left")
     rest = rest.groupBy("row").agg(F.sum(F.log10((F.coalesce("c", F.lit(0)) + ADD) / F.lit(below))).alias("more"), F.count("c").alias("also"))
     out = texts.drop("rare").join(rest, "row", "left")

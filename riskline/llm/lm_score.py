@@ -7,7 +7,7 @@ floor(steps * log2(c)) (4 steps for words, 1 for pairs), and the n-gram is put i
 filter once for each level up to it. The filter is cut into blocks of 2**20 bits by the
 n-gram's hash, so groups fill it independently. The number of blocks follows the counted
 tokens and entries without a ceiling: there are at least ``BITS_AN_ENTRY`` bits for each
-(n-gram, level) put in, so the fill stays under 1 - exp(-3 / 6) = 39 % at any size.
+(n-gram, level) put in, so the fill stays under 1 - exp(-3 / 8) = 31 % at any size.
 
 Scoring: an n-gram's level is found by probing 1, 2, ... until a probe misses. A filter of at
 most ``BROADCAST_BITS`` (64 MB) goes to all workers. A larger one stays a table of blocks:
@@ -39,7 +39,7 @@ from .common import SPACE, byte_slices, checkpointed, text_or_empty
 BLOCK_BITS = 20
 BROADCAST_BITS = 1 << 29
 BITS_A_TOKEN = 6
-BITS_AN_ENTRY = 6
+BITS_AN_ENTRY = 8
 PROBES = 3
 WORD_STEPS, PAIR_STEPS = 4, 1
 PAIR = 0.25
@@ -209,7 +209,7 @@ def _blocks_for(bits: int) -> int:
     return 1 << (max(1, -(-bits >> BLOCK_BITS)) - 1).bit_length()
 
 
-def built(texts: DataFrame) -> tuple[DataFrame, int, DataFrame]:
+def built(texts: DataFrame, broadcast_bits: int = BROADCAST_BITS) -> tuple[DataFrame, int, DataFrame]:
     """(filter (block, bits), number of blocks, count table (word, c)) of the column ``text``."""
     n_words = F.regexp_count("text", F.lit(f"[^{SPACE}]+"))
     tokens = texts.agg(F.sum(n_words + 1)).first()[0] or 0
@@ -224,8 +224,13 @@ def built(texts: DataFrame) -> tuple[DataFrame, int, DataFrame]:
         if need <= blocks:
             break
         blocks = need
-    whole = done.select("block", "bits")
-    if subs > 1:
+    # tokens ask for more than the entries need where n-grams repeat: neighbours are laid over each other, which is
+    # the filter of half as many blocks, as long as it is too large for all workers and the entries keep their bits
+    folds = 0
+    while blocks << BLOCK_BITS > broadcast_bits and blocks > need:
+        blocks, folds = blocks // 2, folds + 1
+    whole = done.select(F.shiftright("block", folds).alias("block"), "bits")
+    if subs > 1 or folds:
         whole = whole.groupBy("block").applyInPandas(_merged, "block bigint, bits binary")
     table = done.select(F.explode(F.arrays_zip("words", "counts")).alias("x")).select(
         F.col("x.words").alias("word"), F.col("x.counts").alias("c"))
@@ -246,6 +251,11 @@ def train(texts: DataFrame) -> tuple[np.ndarray, int, DataFrame]:
     return _collected(whole, blocks), blocks, table
 
 
+def _distinct(h: list[np.ndarray], pairs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys of the words and of the pairs."""
+    return np.sort(word_keys(np.unique(np.concatenate(h)))), np.unique(np.concatenate(pairs))
+
+
 def _requests(blocks: int, id_type: pa.DataType):
     """Tasks: the texts with their slice (block -1), and the slice's distinct n-grams packed by block."""
     schema = pa.schema([("slice", pa.int64()), ("block", pa.int64()), ("kind", pa.int32()), ("found", pa.binary()),
@@ -253,9 +263,7 @@ def _requests(blocks: int, id_type: pa.DataType):
 
     def asked(at: int, h: list[np.ndarray], pairs: list[np.ndarray]) -> pa.RecordBatch:
         block, kind, keys = [], [], []
-        for k, arrays in enumerate((h, pairs)):
-            found = np.unique(np.concatenate(arrays))
-            found = np.sort(word_keys(found)) if k == 0 else found
+        for k, found in enumerate(_distinct(h, pairs)):
             to = block_of(found, blocks)  # the top bits: in order
             cut = np.flatnonzero(np.diff(to)) + 1
             for lo, hi in zip([0, *cut], [*cut, len(to)], strict=True):
@@ -297,7 +305,7 @@ def _answered(asked: pa.Table, block: pa.Table) -> pa.Table:
     levels = []
     for found in asked.column("found").to_pylist():
         levels.append(probed(np.frombuffer(found, np.uint64), bits, 1).astype(np.uint16).tobytes())
-    return pa.table({"slice": asked.column("slice"), "kind": asked.column("kind"), "found": asked.column("found"),
+    return pa.table({"slice": asked.column("slice"), "block": asked.column("block"), "kind": asked.column("kind"),
                      "levels": pa.array(levels, pa.binary())})
 
 
@@ -306,7 +314,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broad
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every text."""
     docs = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text_or_empty(text_col).alias("text"))
     docs = docs.withColumn("held_out", F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 10 == 0)
-    whole, blocks, table = built(docs.where("not held_out"))
+    whole, blocks, table = built(docs.where("not held_out"), broadcast_bits)
     total, distinct = table.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     top = table.orderBy(F.col("c").desc(), "word").limit(top_words).toPandas()
     order = np.argsort(top["word"].to_numpy().astype(np.int64).view(np.uint64))
@@ -350,17 +358,18 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broad
                 yield scored_rows(batch.slice(at, size), lambda keys, kind: probed(keys, bits, blocks))
 
     def scored_slice(rows: pa.Table, answers: pa.Table) -> pa.Table:
-        known = []
-        for k in (0, 1):
-            mine = answers.filter(pc.equal(answers.column("kind"), k))
-            found = np.concatenate([np.frombuffer(x, np.uint64) for x in mine.column("found").to_pylist()])
-            levels = np.concatenate([np.frombuffer(x, np.uint16) for x in mine.column("levels").to_pylist()])
-            sort = np.argsort(found)
-            known.append((found[sort], levels[sort].astype(np.int64)))
-        out = []
-        for batch in rows.select(["doc_id", "held_out", "text"]).to_batches():
-            for at, size in byte_slices(batch.column(2), 1 << 20):
-                out.append(scored_rows(batch.slice(at, size), lambda keys, kind: known[kind][1][np.searchsorted(known[kind][0], keys)]))
+        parts = [b.slice(at, size) for b in rows.select(["doc_id", "held_out", "text"]).to_batches()
+                 for at, size in byte_slices(b.column(2), 1 << 20)]
+        h, pairs = [], []
+        for part in parts:
+            tokens, starts = token_hashes(part.column(2).to_pylist())
+            h.append(np.unique(tokens))
+            pairs.append(np.unique(pair_keys(tokens, starts)))
+        keys = _distinct(h, pairs)
+        answers = answers.sort_by("block")  # then the levels are in the order of the keys
+        known = [np.frombuffer(b"".join(answers.filter(pc.equal(answers.column("kind"), k)).column("levels").to_pylist()), np.uint16)
+                 .astype(np.int64) for k in (0, 1)]
+        out = [scored_rows(part, lambda x, kind: known[kind][np.searchsorted(keys[kind], x)]) for part in parts]
         return pa.Table.from_batches(out)
 
     id_type = docs.schema["doc_id"].dataType
@@ -374,7 +383,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broad
             _requests(blocks, to_arrow_type(id_type)), "slice bigint, block bigint, kind int, found binary, "
             f"doc_id {id_type.simpleString()}, held_out boolean, text string"))
         answers = sent.where("block >= 0").select("slice", "block", "kind", "found").groupBy("block").cogroup(
-            whole.groupBy("block")).applyInArrow(_answered, "slice bigint, kind int, found binary, levels binary")
+            whole.groupBy("block")).applyInArrow(_answered, "slice bigint, block bigint, kind int, levels binary")
         texts = sent.where("block < 0").select("slice", "doc_id", "held_out", "text").groupBy("slice").cogroup(
             answers.groupBy("slice")).applyInArrow(scored_slice, columns)
     texts = checkpointed(texts.withColumn("row", F.monotonically_increasing_id()))

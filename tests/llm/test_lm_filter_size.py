@@ -9,9 +9,17 @@ def test_filter_follows_the_counted_tokens(spark):
     text = " ".join(f"{i:x}" for i in range(250_000))
     bits, blocks, table = lm_score.train(spark.createDataFrame([(text,)], "text string"))
     assert table.count() == 250_001
-    assert np.unpackbits(bits).mean() < 0.4
+    assert np.unpackbits(bits).mean() < 0.32
     unseen = np.random.default_rng(1).integers(0, 2**63, 20_000).astype(np.uint64)
-    assert (lm_score.probed(unseen, bits, blocks) > 0).mean() < 0.08
+    assert (lm_score.probed(unseen, bits, blocks) > 0).mean() < 0.04
+
+
+def test_repeated_n_grams_need_no_more_blocks(spark):
+    df = spark.createDataFrame([("a b c d " * 100_000,)] * 2, "text string")
+    whole, blocks, _ = lm_score.built(df, broadcast_bits=1 << 20)
+    assert lm_score.built(df)[1] == 8 and blocks == 1
+    level = lm_score.probed(lm_score.word_keys(lm_score.token_hashes(["a zz"])[0]), lm_score._collected(whole, blocks), blocks)
+    assert level.tolist() == [*lm_score.levels_of(np.array([200_000]), lm_score.WORD_STEPS), 0, *lm_score.levels_of(np.array([2]), lm_score.WORD_STEPS)]
 
 
 @pytest.mark.parametrize("kind", ["long", "string"])
@@ -20,6 +28,7 @@ def test_filter_past_the_broadcast_bound_scores_alike(spark, odd, monkeypatch, k
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").unionByName(
         odd.selectExpr("doc_id + 9007199254740993 as doc_id", "text"))
     docs = docs.withColumn("doc_id", docs.doc_id.cast(kind))
+    monkeypatch.setattr(lm_score, "BITS_AN_ENTRY", 64)  # the same blocks both times
     order = ["doc_id", "n_tokens", "score"]
     whole = sorted(lm_score.score(docs).collect(), key=lambda r: str([r[c] for c in order]))
     monkeypatch.setattr(lm_score, "GROUP_TOKENS", 100_000)

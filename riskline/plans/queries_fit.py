@@ -1,8 +1,8 @@
 """Queries over fitted models (rows-only checks: fitted numbers have no SQL form).
 
 Fitting is the costly part, so the families are fitted once per application and reused
-by all queries here. Query budget: ``QUERY_TRIALS`` seeded configurations per family
-(the pipeline runner uses the full ``TrainParams.trials``).
+by all queries here: the configured ``TrainParams.trials`` of every family, as in the
+pipeline runner.
 """
 from __future__ import annotations
 
@@ -12,18 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import models as MD
-from ..params import DEFAULTS, TrainParams
+from ..params import DEFAULTS
 from ..session import scratch_root
 from .stages import _LAYERS, split_table
 
-QUERY_TRIALS = 1
-
 
 def fitted(spark: SparkSession, sf: str) -> tuple[dict, dict, dict]:
     key = ("fitted", spark.sparkContext.applicationId, sf)
     if key not in _LAYERS:
-        params = TrainParams(trials=QUERY_TRIALS)
-        _LAYERS[key] = MD.train_and_tune(split_table(spark, sf), params, threads=3)
+        _LAYERS[key] = MD.train_and_tune(split_table(spark, sf), DEFAULTS.train, threads=3)
     return _LAYERS[key]
 
 
@@ -42,7 +39,7 @@ def q_model_comparison(spark: SparkSession, sf: str) -> DataFrame:
 def q_champion(spark: SparkSession, sf: str) -> DataFrame:
     """G1/G2 (+M9 run log append)."""
     _, metrics, best = fitted(spark, sf)
-    MD.log_runs(spark, _root(spark, sf) + "/runs", metrics, best, QUERY_TRIALS)
+    MD.log_runs(spark, _root(spark, sf) + "/runs", metrics, best, DEFAULTS.train.trials)
     ranked = MD.rank_families(MD.metrics_frame(spark, metrics), DEFAULTS.selection, list(DEFAULTS.train.candidate_models))
     return MD.champion(ranked, DEFAULTS.selection)
 
@@ -100,17 +97,15 @@ def q_tree_attribution(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_global_tree_attribution(spark: SparkSession, sf: str) -> DataFrame:
-    """H1: mean |TreeSHAP| per feature over a seeded sample of <= shap_max_samples training rows."""
+    """H1: mean |TreeSHAP| per feature over all training rows."""
     from ..operators.scoring import global_attribution
-    from ..operators.split import seeded_sample
     from ..operators.treeshap import tree_attribution
     from ..params import FEATURE_COLS
 
     models, metrics, _ = fitted(spark, sf)
     fam = _tree_family(metrics)
     train = split_table(spark, sf).filter(F.col("split") == "train")
-    sample = seeded_sample(train, DEFAULTS.selection.shap_max_samples)
-    a = tree_attribution(spark, models[fam], sample, FEATURE_COLS, _root(spark, sf) + "/treeshap")
+    a = tree_attribution(spark, models[fam], train, FEATURE_COLS, _root(spark, sf) + "/treeshap")
     return global_attribution(a, FEATURE_COLS).withColumn("family", F.lit(fam))
 
 

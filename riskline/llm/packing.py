@@ -11,8 +11,9 @@ Packing: pieces go by a hash to groups of about ``GROUP_PIECES`` rows. A group t
 pieces from long to short and puts each where the sum over residual gaps of the squared
 number of open bins with that gap becomes smallest (a new bin counts as one choice; ties go
 to the smallest gap left). Sequences filled to less than ``REOPEN`` of the capacity are
-dissolved; their pieces meet again in fewer groups, until one group is left. No task sees
-more than its group, and only (id, piece, length) rows are shuffled.
+dissolved; their pieces meet again in fewer groups, until one group is left or a round closes
+less than half of the pieces: then each group's open sequences stay as they are. Groups never
+grow, so no task sees more than its group, and only (id, piece, length) rows are shuffled.
 
 Null texts are empty documents (the end id alone); repeated rows are packed each; null ids
 stay null; an empty table gives no rows.
@@ -198,6 +199,9 @@ def pack(pieces: DataFrame, capacity: int = 4096, seed: int = 11, group_pieces:
 
         return placed
 
+    def finished(placed: DataFrame) -> DataFrame:
+        return placed.select(*[F.col(i).alias(c) for c, i in zip(extra, inner, strict=True)], "sequence_id", "offset")
+
     done: DataFrame | None = None
     level, n = 0, left.count()
     while True:
@@ -212,11 +216,11 @@ def pack(pieces: DataFrame, capacity: int = 4096, seed: int = 11, group_pieces:
         closed = out.where("closed")
         done = closed if done is None else done.unionByName(closed)
         if groups == 1:
-            return done.select(*[F.col(i).alias(c) for c, i in zip(extra, inner, strict=True)], "sequence_id", "offset")
+            return finished(done)
         left = out.where("not closed").select("size", *inner)
         m = left.count()
-        # a round that closes too little would not end: the rest then meets in larger groups
-        group_pieces = group_pieces if m <= 0.5 * n else 2 * group_pieces
+        if m > 0.5 * n:  # few sequences close in groups of this size, and larger ones would bind a task: they stay open
+            return finished(done.unionByName(out.where("not closed")))
         n, level = m, level + 1
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    fingerprints, line_dedup, lm_score, mixing, near_dedup, packing, pii, quality_rules, secret_scan, token_counts,
+    fingerprints, line_dedup, lm_score, mixing, near_dedup, packing, pii, quality_rules, secret_scan, token_counts, url_filter,
 )
 from .common import table
 
@@ -89,7 +89,46 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(table(spark, sf_dir, "documents"))
 
 
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of every page's url."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judged(pages).select("page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict")
+
+
+OP13_SQL = r"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+), parts AS (
+  SELECT page_id,
+         translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+         regexp_extract(rest, '^[^?#]*(\?[^#]*)', 1) AS query
+  FROM cut
+), ruled AS (
+  SELECT *, CASE
+      WHEN (host = 'example.net' OR host LIKE '%.example.net') AND path LIKE '/en/%' THEN 'example.net/en/'
+      WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/de/%' THEN 'example.com/de/'
+      WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/fr/%' THEN 'org/fr/'
+      WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/%' THEN 'net/' END AS rule
+  FROM parts
+)
+SELECT page_id, host, path, rule, CASE
+    WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow'
+    WHEN rule IS NOT NULL THEN 'block'
+    WHEN host || path || query = '' THEN 'block'
+    WHEN regexp_matches(host, 'spam-farm|cheap-pills|casino|free-bets') AND (path <> '' OR query = '') THEN 'block'
+    WHEN path <> '' AND (host LIKE 'ads.%' OR host LIKE '%.ads.%' OR host LIKE 'tracker.%' OR host LIKE '%.tracker.%') THEN 'block'
+    WHEN host || path || query LIKE '%/wp-login.php%' OR host || path || query LIKE '%/cart/checkout%' THEN 'block'
+    WHEN host || path || query LIKE '%.exe' OR contains(host || path || query, '.exe?') THEN 'block'
+    WHEN regexp_full_match(host || path || query, '[^/?]*/login(\?(.|\n)*)?') THEN 'block'
+    WHEN regexp_matches(host || path || query, 'sessionid=[^/?]{16}') THEN 'block'
+    ELSE 'allow' END AS verdict
+FROM ruled
+"""
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_quality_rules, op3_mixing, op4_packing, op5_near_dedup, op6_fingerprints, op7_line_dedup,
-    op8_secret_scan, op9_pii, op10_lm_score)}
-ORACLES: dict[str, str] = {}
+    op8_secret_scan, op9_pii, op10_lm_score, op13_url_filter)}
+ORACLES: dict[str, str] = {"op13_url_filter": OP13_SQL}

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    fingerprints, line_dedup, lm_score, mixing, near_dedup, packing, pii, quality_rules, secret_scan, spelling, token_counts, url_filter,
+    fingerprints, line_dedup, lm_score, mixing, near_dedup, packing, phrases, pii, quality_rules, secret_scan, spelling, token_counts, url_filter,
 )
 from .common import table
 
@@ -89,6 +89,11 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(table(spark, sf_dir, "documents"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's first 2000 phrases of all texts."""
+    return phrases.mine(table(spark, sf_dir, "documents"))
+
+
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spelling variants of the words of all texts."""
     return spelling.variants(table(spark, sf_dir, "documents"))
@@ -135,5 +140,5 @@ FROM ruled
 
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_quality_rules, op3_mixing, op4_packing, op5_near_dedup, op6_fingerprints, op7_line_dedup,
-    op8_secret_scan, op9_pii, op10_lm_score, op12_spelling, op13_url_filter)}
+    op8_secret_scan, op9_pii, op10_lm_score, op11_phrases, op12_spelling, op13_url_filter)}
 ORACLES: dict[str, str] = {"op13_url_filter": OP13_SQL}

@@ -31,6 +31,55 @@ def test_running_sums_match_cumsum(spark, parts):
         assert [out[i] for i in idx] == np.cumsum([vals[i] for i in idx]).tolist()
 
 
+def _plan(df):
+    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
+
+
+@pytest.mark.parametrize("ranges", [None, 3, 40])
+def test_running_sums_with_null_groups_and_hot_group(spark, ranges):
+    rng = np.random.default_rng(3)
+    rows = [(None if i % 7 == 0 else "hot" if i % 3 else f"g{i % 40}", float(rng.integers(0, 900)), i, int(rng.integers(0, 9)))
+            for i in range(3000)]
+    rows += [(None, None, 5000, 4), ("hot", None, 5001, 5), ("hot", float("inf"), 5002, 6)]
+    df = spark.createDataFrame(rows, "g string, x double, i long, v long").repartition(7)
+    out = running_sums(df, ["x", "i"], ["v"], ["g"], num_partitions=ranges)
+    assert out.columns == ["g", "x", "i", "v", "v_cum"]
+    got = {r["i"]: r["v_cum"] for r in out.collect()}
+    want, total = {}, {}
+    for g, x, i, v in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0.0, r[2])):
+        want[i] = total[g] = total.get(g, 0) + v
+    assert got == want
+    indexed = {r["i"]: r["at"] for r in dense_index(df, ["x", "i"], "at", ["g"], ranges).collect()}
+    seen = {}
+    for g, x, i, v in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0.0, r[2])):
+        assert indexed[i] == seen.get(g, 0)
+        seen[g] = seen.get(g, 0) + 1
+
+
+@pytest.mark.parametrize("order", ["s", "d", "t", "n", "f"])
+def test_ranges_over_other_types(spark, order):
+    df = spark.range(500).selectExpr(
+        "id", "md5(cast(id as string)) s", "date_add(date'2020-01-01', cast(id * 7 % 501 as int)) d",
+        "timestamp_micros(id * 7919 % 503) t", "cast(id * 13 % 509 as decimal(20, 3)) n", "cast(id * 17 % 521 as double) / 7 f")
+    rows = sorted(df.collect(), key=lambda r: (r[order], r["id"]))
+    got = {r["id"]: r["at"] for r in dense_index(df, [order, "id"], "at", num_partitions=9).collect()}
+    assert [got[r["id"]] for r in rows] == list(range(500))
+    assert running_sums(df.limit(0), [order], ["id"], num_partitions=9).count() == 0
+
+
+def test_running_sums_exchange_the_rows_once(spark):
+    """One exchange of rows and a broadcast of range totals; no checkpoint."""
+    before = {r.id() for r in spark.sparkContext._jsc.getPersistentRDDs().values()}
+    df = spark.range(2000).selectExpr("id % 3 g", "id x", "id % 5 v")
+    whole = _plan(running_sums(df, ["x"], ["v"], ["g"]))
+    assert whole.count("Exchange hashpartitioning") == 1 and "ExistingRDD" not in whole
+    cut = _plan(running_sums(df, ["x"], ["v"], ["g"], num_partitions=50))
+    rows, totals = cut.split("BroadcastExchange")[0], cut
+    assert rows.count("Exchange hashpartitioning(g") == 1
+    assert "Scan ExistingRDD" not in rows and "_range" in totals
+    assert {r.id() for r in spark.sparkContext._jsc.getPersistentRDDs().values()} == before
+
+
 def _synthetic(spark, n, rate=0.22, seed=0):
     rng = np.random.default_rng(seed)
     y = (rng.random(n) < rate).astype(int)

@@ -1,11 +1,13 @@
 """Drift statistics (D1-D14) for many features and batches in a few aggregate jobs.
 
-Layout: every batch is turned into the long form ``(batch, feature, value)`` by
-``unpivot`` and collapsed to ``(feature, value) -> count`` right away (map-side combine),
-so later steps work on distinct values, not rows. Edges (10 equal-width bins over
-min/max of BOTH samples, per batch and feature) are a tiny table broadcast to the counts.
-PSI and JS come from the same binned aggregate; KS from distributed running sums over
-the pooled distinct values; PCA reconstruction error from per-batch moments only.
+Layout: every batch is turned into the long form ``(batch, feature, value, c)`` by ``unpivot``,
+c being how often a row counts. PSI and JS take two passes over it: minima and maxima per
+feature, which give the edges (10 equal-width bins over BOTH samples, a table of batches x
+features rows that is broadcast), then counts per (feature, bin). Both passes are summed up on
+the map side, so a task sends features x bins rows at most and no table of distinct values is
+made. KS needs distinct values: they are counted for the batches, stored for the baseline, and
+cumulated with one exchange; the baseline stands there once for all batches. PCA reconstruction
+error comes from moments only, which merge without the rows.
 """
 from __future__ import annotations
 
@@ -22,12 +24,17 @@ from .ordering import running_sums
 
 
 # ------------------------------------------------------------------ long form
+def long_form(df: DataFrame, features: list[str], batch_col: str | None = None) -> DataFrame:
+    """(batch?, feature, value, c): one row per row and feature, c = 1."""
+    keep = [batch_col] if batch_col else []
+    wide = df.select(*keep, *[F.col(f"`{c}`").cast("double").alias(c) for c in features])
+    return wide.unpivot(keep, features, "feature", "value").withColumn("c", F.lit(1).cast("long"))
+
+
 def value_counts_long(df: DataFrame, features: list[str], batch_col: str | None = None) -> DataFrame:
     """(batch?, feature, value, c): per-feature distinct values with their row counts."""
     keep = [batch_col] if batch_col else []
-    wide = df.select(*keep, *[F.col(f"`{c}`").cast("double").alias(c) for c in features])
-    long = wide.unpivot(keep, features, "feature", "value") if keep else wide.unpivot([], features, "feature", "value")
-    return long.groupBy(*keep, "feature", "value").agg(F.count(F.lit(1)).alias("c"))
+    return long_form(df, features, batch_col).groupBy(*keep, "feature", "value").agg(F.sum("c").alias("c"))
 
 
 def bin_index(value: str, lo: str, step: str, buckets: int = 10) -> Column:
@@ -50,8 +57,9 @@ def shared_edges(ref_vc: DataFrame, cur_vc: DataFrame, buckets: int = 10) -> Dat
 
 
 def psi_bins(ref_vc: DataFrame, cur_vc: DataFrame, params: DriftParams = DriftParams()) -> DataFrame:
-    """Per (batch, feature, bin) counts and epsilon-floored proportions on shared edges.
-    The edge table has batches x features rows and is broadcast."""
+    """Per (batch, feature, bin) counts and epsilon-floored proportions on shared edges, of
+    rows (batch?, feature, value, c) that need not be collapsed. The edge table has batches x
+    features rows and is broadcast."""
     nb = params.buckets
     edges = F.broadcast(shared_edges(ref_vc, cur_vc, nb))
     r = (ref_vc.join(edges, "feature")
@@ -100,22 +108,30 @@ def kolmogorov_pvalue(d: str, n1: str, n2: str) -> Column:
 
 
 def ks_stats(ref_vc: DataFrame, cur_vc: DataFrame, batch_names: list[str] | None = None) -> DataFrame:
-    """Sup |F_ref - F_cur| over pooled distinct values, per (batch, feature).
-    The reference counts are repeated once per batch name (a literal array, no join),
-    pooled with the batch counts, and cumulated with the range-partitioned helper."""
+    """Sup |F_ref - F_cur| over pooled values, per (batch, feature).
+
+    Every batch has a count column of its own, so the reference stands in the pooled rows once and
+    one exchange by (feature, range of values) serves all batches. The running sums go up to and
+    including all rows of a value, so equal values of the two sides need not meet before."""
     if batch_names is None:
         batch_names = sorted(r[0] for r in cur_vc.select("batch").distinct().collect())  # one row per batch
-    pooled = (ref_vc.select(F.explode(F.array(*[F.lit(b) for b in batch_names])).alias("batch"), "feature", "value",
-                            F.col("c").alias("cr"), F.lit(0).cast("long").alias("cc"))
-              .unionByName(cur_vc.select("batch", "feature", "value", F.lit(0).cast("long").alias("cr"), F.col("c").alias("cc")))
-              .groupBy("batch", "feature", "value").agg(F.sum("cr").alias("cr"), F.sum("cc").alias("cc")))
-    cum = running_sums(pooled, ["value"], ["cr", "cc"], partition_cols=["batch", "feature"])
-    tot = pooled.groupBy("batch", "feature").agg(F.sum("cr").alias("n_ref"), F.sum("cc").alias("n_cur"))
-    j = cum.join(F.broadcast(tot), ["batch", "feature"])
-    gap = F.abs(F.col("cr_cum") / F.col("n_ref") - F.col("cc_cum") / F.col("n_cur"))
-    return j.groupBy("batch", "feature", "n_ref", "n_cur").agg(F.max(gap).alias("ks_stat")).select(
-        "batch", "feature", "ks_stat", kolmogorov_pvalue("ks_stat", "n_ref", "n_cur").alias("ks_pvalue"),
-        F.col("n_ref").cast("long").alias("n_ref"), F.col("n_cur").cast("long").alias("n_cur"))
+    zero = F.lit(0).cast("long")
+    names = {b: f"c{i}" for i, b in enumerate(batch_names)}
+    pooled = (ref_vc.select("feature", "value", F.col("c").cast("long").alias("cr"), *[zero.alias(c) for c in names.values()])
+              .unionByName(cur_vc.select("feature", "value", zero.alias("cr"), *[
+                  F.when(F.col("batch") == b, F.col("c").cast("long")).otherwise(zero).alias(c) for b, c in names.items()])))
+    counted = ["cr", *names.values()]
+    cum = running_sums(pooled, ["value"], counted, partition_cols=["feature"], ties=True)
+    # features rows
+    totals = pooled.groupBy(F.col("feature").alias("_f")).agg(*[F.sum(c).alias(f"n_{c}") for c in counted])
+    j = cum.join(F.broadcast(totals), F.col("feature") == F.col("_f"))
+    gaps = j.groupBy("feature", "n_cr", *[f"n_{c}" for c in names.values()]).agg(*[
+        F.max(F.abs(F.col("cr_cum") / F.col("n_cr") - F.col(f"{c}_cum") / F.col(f"n_{c}"))).alias(f"gap_{c}") for c in names.values()])
+    each = F.explode(F.array(*[F.struct(F.lit(b).alias("batch"), F.col(f"gap_{c}").alias("ks_stat"), F.col(f"n_{c}").alias("n_cur"))
+                               for b, c in names.items()]))
+    long = gaps.select("feature", F.col("n_cr").alias("n_ref"), each.alias("r")).select("feature", "n_ref", "r.*").where("n_cur > 0")
+    return long.select("batch", "feature", "ks_stat", kolmogorov_pvalue("ks_stat", "n_ref", "n_cur").alias("ks_pvalue"),
+                       F.col("n_ref").cast("long").alias("n_ref"), F.col("n_cur").cast("long").alias("n_cur"))
 
 
 def psi_band(psi: Column) -> Column:
@@ -124,10 +140,11 @@ def psi_band(psi: Column) -> Column:
 
 
 def feature_table(ref_vc: DataFrame, cur_vc: DataFrame, params: DriftParams = DriftParams(),
-                  batch_names: list[str] | None = None) -> DataFrame:
+                  batch_names: list[str] | None = None, cur_long: DataFrame | None = None) -> DataFrame:
     """D8 (+D7, D13, W1): per (batch, feature) psi/js/ks_pvalue rounded to 4, flag on the
-    unrounded psi, rank by rounded psi desc then feature name."""
-    pj = psi_js(psi_bins(ref_vc, cur_vc, params))
+    unrounded psi, rank by rounded psi desc then feature name. ``cur_long``: the batches' rows
+    as they are, for the bins, which need no distinct values."""
+    pj = psi_js(psi_bins(ref_vc, cur_vc if cur_long is None else cur_long, params))
     ks = ks_stats(ref_vc, cur_vc, batch_names)
     t = pj.join(ks, ["batch", "feature"])
     rw = Window.partitionBy("batch").orderBy(F.desc(F.round("psi", 4)), F.asc("feature"))
@@ -193,15 +210,18 @@ def _merge(parts) -> tuple[int, np.ndarray, np.ndarray]:
     return n, mean, m2
 
 
-def grouped_moments(df: DataFrame, features: list[str], group_col: str, fan_in: int = 64) -> dict:
-    """(n, mean, covariance ddof 0) per group in ONE pass over the rows.
+MOMENTS = "g string, n long, mean array<double>, m2 array<double>"
+
+
+def moment_rows(df: DataFrame, features: list[str], group_col: str | None = None, fan_in: int = 64) -> DataFrame:
+    """(g, n, mean, m2) in one pass over the rows: at most ``fan_in`` partial rows per group, or
+    one row (g null) without a group column. Rows of the same or of different groups merge by
+    ``merge_moments``. Null groups are left out.
 
-    Each task folds its Arrow batches into one (n, mean, co-moment) per group; a second
-    stage merges those partials in ``fan_in`` buckets per group (each bucket holds at most
-    partitions / fan_in partials of d*d numbers), and the driver merges at most
-    groups x fan_in results. Centred co-moments keep the sums well conditioned."""
+    Each task folds its Arrow batches into one (n, mean, co-moment) per group; a second stage
+    merges those partials in ``fan_in`` buckets per group (each bucket holds at most partitions /
+    fan_in partials of d*d numbers). Centred co-moments keep the sums well conditioned."""
     d = len(features)
-    schema = "g string, n long, mean array<double>, m2 array<double>"
 
     def fold(batches):
         acc: dict = {}
@@ -220,20 +240,41 @@ def grouped_moments(df: DataFrame, features: list[str], group_col: str, fan_in:
         n, mean, m2 = _merge((int(r.n), np.asarray(r.mean), np.asarray(r.m2).reshape(d, d)) for r in pdf.itertuples())
         return pd.DataFrame({"g": [pdf["g"].iloc[0]], "n": [n], "mean": [mean.tolist()], "m2": [m2.ravel().tolist()]})
 
-    rows = (df.select(F.col(group_col).cast("string").alias("g"),
-                      *[F.col(f"`{c}`").cast("double").alias(c) for c in features])
-            .mapInPandas(fold, schema)
-            # the task's number: a row id would hold it above bit 33 and fill a few buckets only
-            .withColumn("_b", F.spark_partition_id() % fan_in)
-            .groupBy("g", "_b").applyInPandas(combine, schema)
-            .collect())  # at most groups x fan_in rows
+    group = F.col(group_col).cast("string") if group_col else F.lit("")
+    partial = (df.select(group.alias("g"), *[F.col(f"`{c}`").cast("double").alias(c) for c in features])
+               .where("g is not null").mapInPandas(fold, MOMENTS)
+               # the task's number: a row id would hold it above bit 33 and fill a few buckets only
+               .withColumn("_b", F.spark_partition_id() % fan_in))
+    merged = partial.groupBy("g", "_b").applyInPandas(combine, MOMENTS)
+    if group_col:
+        return merged
+    return merged.groupBy("g").applyInPandas(combine, MOMENTS)
+
+
+def merge_moments(rows) -> dict:
+    """(n, mean, covariance ddof 0) by group, of collected moment rows."""
+    parts: dict = {}
+    for r in rows:
+        d = len(r["mean"])
+        parts.setdefault(r["g"], []).append((r["n"], np.asarray(r["mean"]), np.asarray(r["m2"]).reshape(d, d)))
     out = {}
-    for g in sorted({r["g"] for r in rows}):
-        n, mean, m2 = _merge((r["n"], np.asarray(r["mean"]), np.asarray(r["m2"]).reshape(d, d)) for r in rows if r["g"] == g)
+    for g in sorted(parts):
+        n, mean, m2 = _merge(parts[g])
         out[g] = (n, mean, m2 / n)
     return out
 
 
+def merged_group(groups: dict) -> tuple:
+    """(n, mean, covariance) of all groups together, from theirs."""
+    n, mean, m2 = _merge((n, mean, cov * n) for n, mean, cov in groups.values())
+    return n, mean, m2 / n
+
+
+def grouped_moments(df: DataFrame, features: list[str], group_col: str, fan_in: int = 64) -> dict:
+    """(n, mean, covariance ddof 0) per group; at most groups x fan_in rows reach the driver."""
+    return merge_moments(moment_rows(df, features, group_col, fan_in).collect())
+
+
 def pca_recon_from_moments(ref: tuple, cur: tuple, k: int) -> dict:
     """Reconstruction-error ratio of a k-component PCA fitted on the standardised
     reference. err_ref = sum of discarded eigenvalues; err_cur = tr(P S) with
@@ -258,26 +299,34 @@ def pca_recon_from_moments(ref: tuple, cur: tuple, k: int) -> dict:
     return {"reference": err_ref, "current": err_cur, "ratio": err_cur / err_ref if err_ref > 1e-12 else 0.0, "k": k}
 
 
+PCA_TABLE = ("batch string, n_features int, n_components int, reference_error double, current_error double, "
+             "pca_recon_ratio double, multivariate_drift boolean")
+
+
+def pca_table(spark, ref: tuple, groups: dict, names: list[str], params: DriftParams = DriftParams()) -> DataFrame:
+    """D6/D9 per batch from moments: reference/current errors, ratio (3 dp) and the multivariate flag."""
+    d = len(ref[1])
+    rows = []
+    for name in names:
+        r = pca_recon_from_moments(ref, groups.get(name, (0, np.zeros(d), np.zeros((d, d)))), params.pca_components)
+        rows.append((name, d, r["k"], round(r["reference"], 6), round(r["current"], 6),
+                     round(r["ratio"], 3), bool(r["ratio"] >= params.pca_drift_ratio)))
+    return spark.createDataFrame(rows, PCA_TABLE)
+
+
 def pca_recon(reference: DataFrame, batches: dict[str, DataFrame], features: list[str] = FEATURE_COLS,
               params: DriftParams = DriftParams()) -> DataFrame:
-    """Per batch: reference/current errors, ratio (3 dp) and the multivariate flag.
-    Moments of the reference and of every batch come from one pass (``grouped_moments``)."""
-    ref_key = "\u0000reference"
-    both = reference.select(F.lit(ref_key).alias("_grp"), *[F.col(f"`{c}`") for c in features])
+    """``pca_table`` of a reference frame and a frame per batch."""
+    columns = [F.col(f"`{c}`") for c in features]
+    ref = merge_moments(moment_rows(reference, features).collect()).get("")
+    if ref is None:
+        raise ValueError("the reference has no rows")
+    both = None
     for name, df in batches.items():
-        both = both.unionByName(df.select(F.lit(name).alias("_grp"), *[F.col(f"`{c}`") for c in features]))
-    mom = grouped_moments(both, features, "_grp")
-    ref = mom[ref_key]
-    rows = []
-    for name in batches:
-        cur = mom.get(name, (0, np.zeros(len(features)), np.zeros((len(features), len(features)))))
-        r = pca_recon_from_moments(ref, cur, params.pca_components)
-        rows.append((name, len(features), r["k"], round(r["reference"], 6), round(r["current"], 6),
-                     round(r["ratio"], 3), bool(r["ratio"] >= params.pca_drift_ratio)))
-    spark = reference.sparkSession
-    return spark.createDataFrame(
-        rows, "batch string, n_features int, n_components int, reference_error double, current_error double, "
-              "pca_recon_ratio double, multivariate_drift boolean")
+        part = df.select(F.lit(name).alias("_grp"), *columns)
+        both = part if both is None else both.unionByName(part)
+    groups = grouped_moments(both, features, "_grp") if both is not None else {}
+    return pca_table(reference.sparkSession, ref, groups, list(batches), params)
 
 
 # ------------------------------------------------------------------ frozen-reference windows

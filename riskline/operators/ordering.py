@@ -94,13 +94,17 @@ def _ranged(df: DataFrame, pc: list[str], first: str, ranges: int | None) -> Dat
     return joined.withColumn("_range", F.when(F.col("_cuts").isNull(), F.lit(-1)).otherwise(steps * STEP + within)).drop("_cuts")
 
 
-def _cumulated(df: DataFrame, oc: list[str], sums: dict[str, Column], pc: list[str], ranges: int | None) -> DataFrame:
-    """Each expression of ``sums`` summed within the group up to and including the row."""
+def _cumulated(df: DataFrame, oc: list[str], sums: dict[str, Column], pc: list[str], ranges: int | None, ties: bool = False) -> DataFrame:
+    """Each expression of ``sums`` summed within the group up to and including the row, or its ties."""
+    def up_to_here(*groups) -> Window:
+        w = Window.partitionBy(*groups).orderBy(*oc)
+        return (w.rangeBetween if ties else w.rowsBetween)(Window.unboundedPreceding, Window.currentRow)
+
     with_ranges = _ranged(df, pc, oc[0], ranges)
     if with_ranges is None:
-        w = Window.partitionBy(*(pc or [F.lit(0)])).orderBy(*oc).rowsBetween(Window.unboundedPreceding, 0)
+        w = up_to_here(*(pc or [F.lit(0)]))
         return df.select("*", *[F.sum(e).over(w).alias(name) for name, e in sums.items()])
-    w = Window.partitionBy(*pc, "_range").orderBy(*oc).rowsBetween(Window.unboundedPreceding, 0)
+    w = up_to_here(*pc, "_range")
     local = with_ranges.select("*", *[F.sum(e).over(w).alias(name) for name, e in sums.items()])
     totals = (with_ranges.where(F.col("_range") >= 0).groupBy(*[F.col(f"`{c}`").alias(f"_g{i}") for i, c in enumerate(pc)], F.col("_range").alias("_r"))
               .agg(*[F.sum(e).alias(f"_t_{name}") for name, e in sums.items()]))
@@ -134,7 +138,10 @@ def running_sums(
     partition_cols: Sequence[str] = (),
     suffix: str = "_cum",
     num_partitions: int | None = None,
+    ties: bool = False,
 ) -> DataFrame:
     """Add ``<c><suffix>`` = inclusive running sum of each ``sum_cols`` column within the
-    ``partition_cols`` group in ``order_cols`` order. Collapse ties before calling."""
-    return _cumulated(df, list(order_cols), {f"{c}{suffix}": F.col(f"`{c}`") for c in sum_cols}, list(partition_cols), num_partitions)
+    ``partition_cols`` group in ``order_cols`` order. Collapse ties before calling, or have them
+    summed up together with ``ties``."""
+    sums = {f"{c}{suffix}": F.col(f"`{c}`") for c in sum_cols}
+    return _cumulated(df, list(order_cols), sums, list(partition_cols), num_partitions, ties)

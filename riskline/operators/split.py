@@ -93,10 +93,48 @@ def feature_matrix(df: DataFrame, params: SplitParams = SplitParams()) -> DataFr
     return df.drop(params.target_column, *[c for c in params.id_columns if c in df.columns])
 
 
+#: Hex digits of the order key that one step of the cut-off search tells apart.
+CUT_DIGITS = 3
+#: Below so many rows the order keys themselves are looked at.
+CUT_ROWS = 4_096
+
+
+def _cut_off(keyed: DataFrame, size: int) -> tuple[str, object] | None:
+    """The last (order key, key) of the ``size`` smallest; None where there are no more rows than that.
+
+    Rows are counted by a few hex digits of the md5, then by more digits within the range that the
+    cut falls into, until few are left: at most 16 ** CUT_DIGITS counts reach the driver at a time."""
+    prefix, before = "", 0
+    while True:
+        inside = keyed.where(F.col("_ord").startswith(prefix)) if prefix else keyed
+        counts = sorted((r["p"], r["n"]) for r in inside.groupBy(F.substring("_ord", 1, len(prefix) + CUT_DIGITS).alias("p"))
+                        .agg(F.count(F.lit(1)).alias("n")).collect())
+        if not prefix and sum(n for _, n in counts) <= size:
+            return None
+        for prefix, n in counts:
+            if before + n >= size:
+                break
+            before += n
+        if n <= CUT_ROWS or len(prefix) >= 30:
+            break
+    last = keyed.where(F.col("_ord").startswith(prefix)).orderBy("_ord", "_key").limit(size - before).agg(
+        F.max(F.struct("_ord", "_key")).alias("last")).first()["last"]
+    return last["_ord"], last["_key"]
+
+
 def seeded_sample(df: DataFrame, size: int, key: str = "customer_id", seed: int = 42) -> DataFrame:
     """Exactly ``min(n, size)`` rows, reproducible: the ``size`` smallest md5(key:seed).
-    Runs as a per-task top-k plus a merge of ``size`` rows per task (bounded by ``size``)."""
-    return df.withColumn("_ord", hash_order(key, seed)).orderBy("_ord", key).limit(size).drop("_ord")
+
+    The cut-off is found first from counts; the sample is then a filter on the order key, which
+    moves no rows. ``key`` is unique and not null."""
+    if size <= 0:
+        return df.limit(0)
+    keyed = df.select(hash_order(key, seed).alias("_ord"), F.col(f"`{key}`").alias("_key"))
+    last = _cut_off(keyed, size)
+    if last is None:
+        return df
+    order = hash_order(key, seed)
+    return df.where((order < F.lit(last[0])) | ((order == F.lit(last[0])) & (F.col(f"`{key}`") <= F.lit(last[1]))))
 
 
 def exact_quantiles(df: DataFrame, column: str, qs: list[float]) -> list[float | None]:
@@ -105,25 +143,19 @@ def exact_quantiles(df: DataFrame, column: str, qs: list[float]) -> list[float |
     running sums; only the <= 2 order statistics per quantile reach the driver."""
     vc = (df.groupBy(F.col(f"`{column}`").cast("double").alias("v")).agg(F.count(F.lit(1)).alias("c"))
           .filter(F.col("v").isNotNull()))
-    cum = running_sums(vc, ["v"], ["c"]).cache()  # rows <= v as c_cum; reused by the two actions below
-    try:
-        n = cum.agg(F.sum("c")).first()[0] or 0
-        if n == 0:
-            return [None for _ in qs]
-        plan = []
-        for q in qs:
-            h = (n - 1) * q
-            k0 = int(math.floor(h))
-            k1 = min(k0 + 1, n - 1)
-            plan.append((h, k0, k1))
-        ks = sorted({k for _, k0, k1 in plan for k in (k0, k1)})
-        cover = None
-        for k in ks:
-            c = (F.col("c_cum") - F.col("c") <= F.lit(k)) & (F.lit(k) < F.col("c_cum"))
-            cover = c if cover is None else cover | c
-        runs = [(r["v"], r["c_cum"] - r["c"], r["c_cum"]) for r in cum.filter(cover).collect()]
-    finally:
-        cum.unpersist()
+    n = vc.agg(F.sum("c")).first()[0] or 0
+    if n == 0:
+        return [None for _ in qs]
+    plan = []
+    for q in qs:
+        h = (n - 1) * q
+        k0 = int(math.floor(h))
+        plan.append((h, k0, min(k0 + 1, n - 1)))
+    cum = running_sums(vc, ["v"], ["c"])  # rows <= v as c_cum
+    cover = F.lit(False)
+    for k in sorted({k for _, k0, k1 in plan for k in (k0, k1)}):
+        cover = cover | ((F.col("c_cum") - F.col("c") <= F.lit(k)) & (F.lit(k) < F.col("c_cum")))
+    runs = [(r["v"], r["c_cum"] - r["c"], r["c_cum"]) for r in cum.filter(cover).collect()]
 
     def at(k):
         return next(v for v, lo, hi in runs if lo <= k < hi)

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from ..functions.sqlexpr import bin_index_sql, kolmogorov_sql
 from ..operators import drift as D
-from ..operators.split import reference_profile
+from ..operators.split import drift_samples, reference_profile
 from ..params import DEFAULTS, FEATURE_COLS
 from . import oracle_base as O
-from .stages import drift_inputs, reference_counts, split_table
+from .stages import drift_batches, drift_inputs, layer, reference_counts, reference_moments, split_table
 
 P = DEFAULTS.drift
 BATCHES = ["clean", "drifted"]
@@ -20,10 +20,13 @@ def _batches(clean: DataFrame, drifted: DataFrame) -> DataFrame:
 
 
 def _vcs(spark, sf):
-    _, _, clean, drifted = drift_inputs(spark, sf)
-    ref_vc = reference_counts(spark, sf)
-    cur_vc = D.value_counts_long(_batches(clean, drifted), FEATURE_COLS, "batch")
-    return ref_vc, cur_vc
+    """Stored baseline counts, and the batches' distinct values with their counts."""
+    return reference_counts(spark, sf), D.value_counts_long(drift_batches(spark, sf), FEATURE_COLS, "batch")
+
+
+def _bins(spark, sf):
+    """D1 of both batches from the stored baseline and the batches' rows."""
+    return D.psi_bins(reference_counts(spark, sf), D.long_form(drift_batches(spark, sf), FEATURE_COLS, "batch"), P)
 
 
 # ---------------------------------------------------------------- spark side
@@ -43,8 +46,9 @@ def q_split_balance(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_drift_samples(spark: SparkSession, sf: str) -> DataFrame:
-    _, _, clean, drifted = drift_inputs(spark, sf)
-    return _batches(clean, drifted).select("batch", "customer_id", "AGE", "default")
+    """The seeded samples of at most ``sample_size`` rows; the drift queries take whole batches."""
+    _, test, _, _ = drift_inputs(spark, sf)
+    return _batches(*drift_samples(test, P)).select("batch", "customer_id", "AGE", "default")
 
 
 def q_reference_profile(spark: SparkSession, sf: str) -> DataFrame:
@@ -53,22 +57,18 @@ def q_reference_profile(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_psi_bins(spark: SparkSession, sf: str) -> DataFrame:
-    ref_vc, cur_vc = _vcs(spark, sf)
-    b = D.psi_bins(ref_vc, cur_vc, P)
-    return b.select("batch", "feature", "bin", F.round("bin_lo", 6).alias("bin_lo"), "ref_count", "cur_count",
+    return _bins(spark, sf).select("batch", "feature", "bin", F.round("bin_lo", 6).alias("bin_lo"), "ref_count", "cur_count",
                     F.round("e", 8).alias("e"), F.round("a", 8).alias("a"))
 
 
 def _feature_table(spark: SparkSession, sf: str) -> DataFrame:
-    """The per-feature drift table (the reference's psi_per_feature output), persisted once
-    per application; summary and verdict read it instead of recomputing PSI/JS/KS."""
-    from .stages import _LAYERS
-
-    key = ("feature_table", spark.sparkContext.applicationId, sf)
-    if key not in _LAYERS:
+    """The per-feature drift table, a layer: summary and verdict read it instead of recomputing PSI/JS/KS."""
+    def build() -> DataFrame:
         ref_vc, cur_vc = _vcs(spark, sf)
-        _LAYERS[key] = D.feature_table(ref_vc, cur_vc, P, BATCHES).checkpoint(eager=True)
-    return _LAYERS[key]
+        rows = D.long_form(drift_batches(spark, sf), FEATURE_COLS, "batch")
+        return D.feature_table(ref_vc, cur_vc, P, BATCHES, rows)
+
+    return layer(spark, sf, "psi_per_feature", build)
 
 
 def q_psi_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -76,8 +76,7 @@ def q_psi_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_js_table(spark: SparkSession, sf: str) -> DataFrame:
-    ref_vc, cur_vc = _vcs(spark, sf)
-    return D.psi_js(D.psi_bins(ref_vc, cur_vc, P)).select("batch", "feature", F.round("js", 4).alias("js"))
+    return D.psi_js(_bins(spark, sf)).select("batch", "feature", F.round("js", 4).alias("js"))
 
 
 def q_ks_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -100,14 +99,13 @@ def q_drift_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _pca(spark: SparkSession, sf: str) -> DataFrame:
-    """Moments-only PCA drift of both batches, computed once per application."""
-    from .stages import _LAYERS
+    """PCA drift of both batches: stored baseline moments against the moments of one scan."""
+    def build() -> DataFrame:
+        ref = D.merge_moments(reference_moments(spark, sf).collect())[""]
+        groups = D.grouped_moments(drift_batches(spark, sf), FEATURE_COLS, "batch")
+        return D.pca_table(spark, ref, groups, BATCHES, P)
 
-    key = ("pca", spark.sparkContext.applicationId, sf)
-    if key not in _LAYERS:
-        reference, _, clean, drifted = drift_inputs(spark, sf)
-        _LAYERS[key] = D.pca_recon(reference, {"clean": clean, "drifted": drifted}, FEATURE_COLS, P).cache()
-    return _LAYERS[key]
+    return layer(spark, sf, "pca_recon", build)
 
 
 def q_pca_recon(spark: SparkSession, sf: str) -> DataFrame:
@@ -158,9 +156,15 @@ def drift_cte() -> str:
 _test AS (SELECT * FROM split_assign WHERE split = 'test'),
 _train AS (SELECT * FROM split_assign WHERE split = 'train'),
 _thr AS (SELECT quantile_cont(CAST("{P.bias_column}" AS DOUBLE), {P.bias_quantile!r}) AS q FROM _test),
-_clean AS (SELECT * FROM _test ORDER BY md5(CAST(customer_id AS VARCHAR) || ':{P.sample_seed}'), customer_id LIMIT {P.sample_size}),
-_drifted AS (SELECT _test.* FROM _test, _thr WHERE "{P.bias_column}" >= _thr.q
-             ORDER BY md5(CAST(customer_id AS VARCHAR) || ':{P.sample_seed}'), customer_id LIMIT {P.sample_size}),
+_biased AS (SELECT _test.* FROM _test, _thr WHERE "{P.bias_column}" >= _thr.q),
+_sample AS (
+  SELECT 'clean' AS batch, * FROM (
+    SELECT * FROM _test ORDER BY md5(CAST(customer_id AS VARCHAR) || ':{P.sample_seed}'), customer_id LIMIT {P.sample_size})
+  UNION ALL SELECT 'drifted' AS batch, * FROM (
+    SELECT * FROM _biased ORDER BY md5(CAST(customer_id AS VARCHAR) || ':{P.sample_seed}'), customer_id LIMIT {P.sample_size})
+),
+_clean AS (SELECT * FROM _test),
+_drifted AS (SELECT * FROM _biased),
 batches AS (SELECT 'clean' AS batch, * FROM _clean UNION ALL SELECT 'drifted' AS batch, * FROM _drifted),
 _ref_long AS (UNPIVOT (SELECT {feats} FROM _train) ON {on} INTO NAME feature VALUE value),
 _cur_long AS (UNPIVOT (SELECT batch, {feats} FROM batches) ON {on} INTO NAME feature VALUE value),
@@ -252,7 +256,7 @@ SELECT split, count(*) AS n_rows, CAST(sum("default") AS BIGINT) AS n_pos,
        round(CAST(sum("default") AS DOUBLE) / count(*), 6) AS pos_rate,
        round(100.0 * count(*) / (SELECT count(*) FROM split_assign), 6) AS pct_of_total
 FROM split_assign GROUP BY split""",
-        "drift_samples": f'{drift} SELECT batch, customer_id, "AGE", "default" FROM batches',
+        "drift_samples": f'{drift} SELECT batch, customer_id, "AGE", "default" FROM _sample',
         "reference_profile": f"""{drift},
 _l AS (UNPIVOT (SELECT {feats} FROM _train) ON {on} INTO NAME feature VALUE value)
 SELECT feature, count(value) AS n, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std,

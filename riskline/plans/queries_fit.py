@@ -1,8 +1,8 @@
 """Queries over fitted models (rows-only checks: fitted numbers have no SQL form).
 
-Fitting is the costly part, so the families are fitted once per application and reused
-by all queries here: the configured ``TrainParams.trials`` of every family, as in the
-pipeline runner.
+Fitting is the costly part: the configured ``TrainParams.trials`` of every family. The winners are
+published once to the shared layer, found again by a digest of the training rows and parameters,
+with one run-log entry and one registered version; the queries only read what was published.
 """
 from __future__ import annotations
 
@@ -17,43 +17,54 @@ from ..session import scratch_root
 from .stages import _LAYERS, split_table
 
 
+def _root(spark, sf):
+    return f"{scratch_root(spark)}/models/{os.path.basename(sf.rstrip('/'))}"
+
+
 def fitted(spark: SparkSession, sf: str) -> tuple[dict, dict, dict]:
+    """(models, metrics, best hyper-parameters) by family, from the published layer."""
     key = ("fitted", spark.sparkContext.applicationId, sf)
     if key not in _LAYERS:
-        _LAYERS[key] = MD.train_and_tune(split_table(spark, sf), DEFAULTS.train, threads=3)
+        _LAYERS[key] = MD.train_and_tune(split_table(spark, sf), DEFAULTS.train, publish=_root(spark, sf) + "/winners")
     return _LAYERS[key]
 
 
-def _root(spark, sf):
-    return f"{scratch_root(spark)}/models/{os.path.basename(sf.rstrip('/'))}"
+def _ranked(spark: SparkSession, sf: str) -> DataFrame:
+    _, metrics, _ = fitted(spark, sf)
+    return MD.rank_families(MD.metrics_frame(spark, metrics), DEFAULTS.selection, list(DEFAULTS.train.candidate_models))
+
+
+def _champion_family(spark: SparkSession, sf: str) -> str:
+    return MD.champion(_ranked(spark, sf), DEFAULTS.selection).first()["champion_family"]
+
+
+def _registered(spark: SparkSession, sf: str) -> DataFrame:
+    """The registry's current aliases; the champion is logged and registered the first time only."""
+    models, metrics, best = fitted(spark, sf)
+    root = _root(spark, sf)
+    name = DEFAULTS.selection.registered_model_name
+    current = MD.current_aliases(spark, root + "/registry")
+    if current.where(F.col("model_name") == name).first() is None:
+        MD.log_runs(spark, root + "/runs", metrics, best, DEFAULTS.train.trials)
+        MD.register(spark, root + "/registry", models[_champion_family(spark, sf)], root + "/store", name, DEFAULTS.predict.champion_alias)
+        current = MD.current_aliases(spark, root + "/registry")
+    return current
 
 
 def q_model_comparison(spark: SparkSession, sf: str) -> DataFrame:
     """Validation metrics per family, ranked by ROC-AUC."""
-    _, metrics, _ = fitted(spark, sf)
-    mf = MD.metrics_frame(spark, metrics)
-    return MD.rank_families(mf, DEFAULTS.selection, list(DEFAULTS.train.candidate_models)).select(
-        "family", *[F.round(c, 4).alias(c) for c in ("roc_auc", "pr_auc", "f1", "accuracy")], "rank")
+    return _ranked(spark, sf).select("family", *[F.round(c, 4).alias(c) for c in MD.METRICS], "rank")
 
 
 def q_champion(spark: SparkSession, sf: str) -> DataFrame:
-    """G1/G2 (+M9 run log append)."""
-    _, metrics, best = fitted(spark, sf)
-    MD.log_runs(spark, _root(spark, sf) + "/runs", metrics, best, DEFAULTS.train.trials)
-    ranked = MD.rank_families(MD.metrics_frame(spark, metrics), DEFAULTS.selection, list(DEFAULTS.train.candidate_models))
-    return MD.champion(ranked, DEFAULTS.selection)
+    """The champion and the ranking."""
+    return MD.champion(_ranked(spark, sf), DEFAULTS.selection)
 
 
 def q_registry_current(spark: SparkSession, sf: str) -> DataFrame:
-    """Register the champion under a new version, move the alias, resolve it."""
-    models, metrics, _ = fitted(spark, sf)
-    ranked = MD.rank_families(MD.metrics_frame(spark, metrics), DEFAULTS.selection, list(DEFAULTS.train.candidate_models))
-    fam = MD.champion(ranked, DEFAULTS.selection).first()["champion_family"]
-    root = _root(spark, sf)
-    MD.register(spark, root + "/registry", models[fam], root + "/store", DEFAULTS.selection.registered_model_name,
-                DEFAULTS.predict.champion_alias)
-    return MD.current_aliases(spark, root + "/registry").select("model_name", "alias", "version").withColumn(
-        "champion_family", F.lit(fam))
+    """The version that the champion's alias points at."""
+    return _registered(spark, sf).select("model_name", "alias", "version").withColumn(
+        "champion_family", F.lit(_champion_family(spark, sf)))
 
 
 def q_feature_importance(spark: SparkSession, sf: str) -> DataFrame:
@@ -66,12 +77,9 @@ def q_feature_importance(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_champion_scores(spark: SparkSession, sf: str) -> DataFrame:
     """B1/B2 with the fitted champion on the test split."""
-    models, metrics, _ = fitted(spark, sf)
-    ranked = MD.rank_families(MD.metrics_frame(spark, metrics), DEFAULTS.selection, list(DEFAULTS.train.candidate_models))
-    fam = MD.champion(ranked, DEFAULTS.selection).first()["champion_family"]
-    s = split_table(spark, sf)
-    test = s.filter(F.col("split") == "test")
-    p = MD.positive_proba(models[fam], test)
+    models, _, _ = fitted(spark, sf)
+    test = split_table(spark, sf).filter(F.col("split") == "test")
+    p = MD.positive_proba(models[_champion_family(spark, sf)], test)
     return p.select("customer_id", F.round("proba", 6).alias("default_proba"),
                     (F.col("proba") >= F.lit(DEFAULTS.predict.prediction_threshold)).cast("int").alias("prediction"))
 

@@ -31,13 +31,16 @@ def q_events_window_psi(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_pca_recon_embeddings(spark: SparkSession, sf: str) -> DataFrame:
-    """D6 at width 64: reference = all embeddings, current batch = each label's rows."""
+    """D6 at the embeddings' width: current batch = each label's rows, reference = all of them.
+    One scan gives the moments per label; the reference's are their merge."""
     emb = read_table(spark, sf, "embeddings")
     width = emb.agg(F.max(F.size("embedding"))).first()[0] or 0  # taken from the data, so no dimension is lost
     dims = [f"e{i:02d}" for i in range(width)]
-    wide = emb.select("label", *[F.col("embedding")[i].cast("double").alias(d) for i, d in enumerate(dims)])
-    labels = sorted(r[0] for r in emb.select("label").distinct().collect())  # one row per label
-    return D.pca_recon(wide, {f"label_{k}": wide.filter(F.col("label") == k) for k in labels}, dims, P)
+    wide = emb.select(F.concat(F.lit("label_"), F.col("label").cast("string")).alias("g"),
+                      *[F.col("embedding")[i].cast("double").alias(d) for i, d in enumerate(dims)])
+    groups = D.grouped_moments(wide, dims, "g")
+    names = sorted(groups, key=lambda g: int(g.removeprefix("label_")))
+    return D.pca_table(spark, D.merged_group(groups), groups, names, P)
 
 
 def oracles() -> dict[str, str]:

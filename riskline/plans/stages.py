@@ -1,6 +1,7 @@
-"""Lazy stage chain over the driver tables: raw -> cleaned -> features -> split.
+"""Stage chain over the driver tables: raw -> cleaned -> features -> split -> baseline.
 
-Each function returns a DataFrame plan; nothing runs until an action.
+Up to the features each function returns a lazy plan. The split and the baseline are parquet
+layers in the shared folder, written once per application by whoever reads them first.
 """
 from __future__ import annotations
 
@@ -28,54 +29,91 @@ def features(spark: SparkSession, sf_dir: str, params: Params = DEFAULTS) -> Dat
 _LAYERS: dict = {}
 
 
+def layer_folder(spark: SparkSession, sf_dir: str, name: str, params: Params = DEFAULTS) -> str:
+    """Where this application keeps a layer built from ``sf_dir``, in the shared folder."""
+    from hashlib import md5
+
+    from ..session import scratch_root
+
+    of = md5(f"{sf_dir}|{params}".encode()).hexdigest()[:16]
+    return f"{scratch_root(spark)}/layers/{spark.sparkContext.applicationId}/{of}/{name}"
+
+
+def layer(spark: SparkSession, sf_dir: str, name: str, build, partition_by: tuple = (), params: Params = DEFAULTS) -> DataFrame:
+    """A parquet layer: built and written by the first caller, read by all. Readers get column
+    pruning and, on ``partition_by``, partition pruning; lost executors cost them nothing."""
+    from ..sources.tables import exists
+
+    folder = layer_folder(spark, sf_dir, name, params)
+    if folder not in _LAYERS or not exists(spark, f"{folder}/_SUCCESS"):
+        made = build()
+        made.write.mode("overwrite").partitionBy(*partition_by).parquet(folder)
+        _LAYERS[folder] = made.select(*[c for c in made.columns if c not in partition_by], *partition_by).schema
+    return spark.read.schema(_LAYERS[folder]).parquet(folder)
+
+
 def split_table(spark: SparkSession, sf_dir: str, params: Params = DEFAULTS, materialize: bool = True) -> DataFrame:
-    """Features + ``split`` (the model-input layer). Downstream queries read it several
-    times (reference, test, samples, fits), so it is checkpointed once per application into
-    the shared checkpoint folder: lineage is cut, every reader sees the same rows even after
-    executor loss, and later queries of the same application reuse the layer."""
+    """Features + ``split`` (the model-input layer), parquet partitioned by ``split``."""
     from ..operators.split import stratified_split
 
-    key = (spark.sparkContext.applicationId, sf_dir, params)
-    if materialize and key in _LAYERS:
-        return _LAYERS[key]
-    s = stratified_split(features(spark, sf_dir, params), params.split)
-    if not materialize:
-        return s
-    s = s.checkpoint(eager=True)
-    _LAYERS[key] = s
-    return s
+    def build() -> DataFrame:
+        return stratified_split(features(spark, sf_dir, params), params.split)
+
+    return layer(spark, sf_dir, "split", build, ("split",), params) if materialize else build()
+
+
+def bias_threshold(spark: SparkSession, sf_dir: str, params: Params = DEFAULTS) -> float | None:
+    """The exact quantile from which on a test row belongs to the drifted batch."""
+    from ..operators.split import exact_quantiles
+
+    key = (layer_folder(spark, sf_dir, "bias", params),)
+    if key not in _LAYERS:
+        s = split_table(spark, sf_dir, params)
+        (_LAYERS[key],) = exact_quantiles(s.filter(s.split == "test"), params.drift.bias_column, [params.drift.bias_quantile])
+    return _LAYERS[key]
 
 
 def drift_inputs(spark: SparkSession, sf_dir: str, params: Params = DEFAULTS):
-    """(reference rows, test rows, clean batch, drifted batch) of the credit features.
-    The two production batches are persisted like the reference's catalog datasets: one
-    checkpointed table with a ``batch`` column (at most 2 x sample_size rows)."""
+    """(reference rows, test rows, clean batch, drifted batch) of the credit features, all whole:
+    the clean batch is the test split, the drifted one its rows at or above the bias threshold."""
     from pyspark.sql import functions as F
 
-    from ..operators.split import drift_samples
-
     s = split_table(spark, sf_dir, params)
-    reference = s.filter(s.split == "train")
     test = s.filter(s.split == "test")
-    key = ("batches", spark.sparkContext.applicationId, sf_dir, params)
-    if key not in _LAYERS:
-        clean, drifted = drift_samples(test, params.drift)
-        both = clean.withColumn("batch", F.lit("clean")).unionByName(drifted.withColumn("batch", F.lit("drifted")))
-        _LAYERS[key] = both.checkpoint(eager=True)
-    both = _LAYERS[key]
-    clean = both.filter(both.batch == "clean").drop("batch")
-    drifted = both.filter(both.batch == "drifted").drop("batch")
-    return reference, test, clean, drifted
-
-
-def reference_counts(spark: SparkSession, sf_dir: str, params: Params = DEFAULTS):
-    """X4 profile layer: per-feature distinct values and counts of the training rows,
-    persisted once so drift runs skip the reference scan."""
+    drifted = test.filter(F.col(params.drift.bias_column) >= F.lit(bias_threshold(spark, sf_dir, params)))
+    return s.filter(s.split == "train"), test, test, drifted
+
+
+def drift_batches(spark: SparkSession, sf_dir: str, params: Params = DEFAULTS) -> DataFrame:
+    """The test rows with a column ``batch``, once for each batch they belong to; one scan."""
+    from pyspark.sql import functions as F
+
+    s = split_table(spark, sf_dir, params)
+    biased = F.col(params.drift.bias_column) >= F.lit(bias_threshold(spark, sf_dir, params))
+    of = F.when(biased, F.array(F.lit("clean"), F.lit("drifted"))).otherwise(F.array(F.lit("clean")))
+    return s.filter(s.split == "test").withColumn("batch", F.explode(of))
+
+
+def reference_counts(spark: SparkSession, sf_dir: str, params: Params = DEFAULTS) -> DataFrame:
+    """The stored baseline, as mergeable rows (feature, value, c) of the training split.
+    Drift runs read it instead of the training rows."""
     from ..operators.drift import value_counts_long
     from ..params import FEATURE_COLS
 
-    key = ("ref_vc", spark.sparkContext.applicationId, sf_dir, params)
-    if key not in _LAYERS:
+    def build() -> DataFrame:
         s = split_table(spark, sf_dir, params)
-        _LAYERS[key] = value_counts_long(s.filter(s.split == "train"), FEATURE_COLS).checkpoint(eager=True)
-    return _LAYERS[key]
+        return value_counts_long(s.filter(s.split == "train"), FEATURE_COLS)
+
+    return layer(spark, sf_dir, "baseline_counts", build, (), params)
+
+
+def reference_moments(spark: SparkSession, sf_dir: str, params: Params = DEFAULTS) -> DataFrame:
+    """The stored baseline's moments, one mergeable row (g, n, mean, m2) of the training split."""
+    from ..operators.drift import moment_rows
+    from ..params import FEATURE_COLS
+
+    def build() -> DataFrame:
+        s = split_table(spark, sf_dir, params)
+        return moment_rows(s.filter(s.split == "train"), FEATURE_COLS)
+
+    return layer(spark, sf_dir, "baseline_moments", build, (), params)

@@ -61,3 +61,29 @@ def raw_schema() -> T.StructType:
 def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     """Raw scan re-aimed to CSV with a header row and the explicit raw schema."""
     return spark.read.schema(raw_schema()).option("header", True).csv(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    """Spark's file system for a path, and the path in its terms."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in any store that Spark reads."""
+    fs, at = _file_system(spark, path)
+    return fs.exists(at)
+
+
+def create_if_absent(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False if it is there already. Of several writers one succeeds."""
+    fs, at = _file_system(spark, path)
+    fs.mkdirs(at.getParent())
+    try:
+        fs.create(at, False).close()
+    except Exception as e:  # noqa: BLE001 - only told apart by the Java class
+        if "FileAlreadyExists" not in str(e):
+            raise
+        return False
+    return True

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from riskline.operators import models as MD
 from riskline.operators import scoring as S
-from riskline.params import FeatureParams, SelectionParams
+from riskline.params import FeatureParams, SelectionParams, TrainParams
 from riskline.sources import feature_store as FS
 from riskline.streaming import adwin, jobs
 
@@ -79,6 +79,68 @@ def test_champion_ranking_and_registry(spark, tmp_dir):
     assert MD.load_champion(spark, tmp_dir + "/missing", "m") is None
 
 
+def test_registry_versions_of_two_writers(spark, tmp_dir):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from riskline.sources.tables import create_if_absent
+
+    assert [create_if_absent(spark, tmp_dir + "/n/1") for _ in range(2)] == [True, False]
+    df, cols = _matrix(spark, 100)
+    train, _, n = MD.prepare(df)
+    model = MD.build("LogisticRegression", {"C": 1.0}, 42, n, cols).fit(train)
+    reg = tmp_dir + "/registry"
+    with ThreadPoolExecutor(4) as pool:
+        got = list(pool.map(lambda _: MD.register(spark, reg, model, tmp_dir + "/store", "m"), range(4)))
+    assert sorted(r["registered_version"] for r in got) == [1, 2, 3, 4] and len({r["path"] for r in got}) == 4
+    log = spark.read.parquet(reg).collect()
+    assert sorted(r["seq"] for r in log) == [1, 2, 3, 4]
+    # the alias follows the log's numbers, not its clocks
+    last = max(log, key=lambda r: r["seq"])
+    assert MD.current_aliases(spark, reg).first()["version"] == last["version"]
+    with pytest.raises(ValueError):
+        MD.set_alias(spark, reg, "m", 9)
+
+
+def test_champion_from_path_alias_or_copy(spark, tmp_dir):
+    df, cols = _matrix(spark, 100)
+    train, _, n = MD.prepare(df)
+    models = {c: MD.build("LogisticRegression", {"C": c}, 42, n, cols).fit(train) for c in (0.01, 1.0, 100.0)}
+    models[0.01].save(tmp_dir + "/given")
+    models[100.0].save(tmp_dir + "/copy")
+    MD.register(spark, tmp_dir + "/registry", models[1.0], tmp_dir + "/store", "m")
+
+    def norm(model):
+        return model.stages[-1].coefficients.norm(2)
+
+    def load(**k):
+        return norm(MD.load_champion(spark, tmp_dir + "/registry", "m", fallback_path=tmp_dir + "/copy", **k))
+
+    assert load(path=tmp_dir + "/given") == norm(models[0.01])
+    assert load() == norm(models[1.0])
+    assert load(alias="None of them") == load(path=tmp_dir + "/missing") == norm(models[100.0])
+
+
+def test_trials_are_scored_together_and_published_once(spark, tmp_dir, monkeypatch):
+    import dataclasses
+
+    df, cols = _matrix(spark, 300)
+    monkeypatch.setattr(MD.build, "__defaults__", (cols,))
+    params = dataclasses.replace(TrainParams(), candidate_models=("LogisticRegression",), trials=3)
+    models, metrics, best = MD.train_and_tune(df, params, publish=tmp_dir + "/winners", scratch=tmp_dir + "/fits")
+    _, val, _ = MD.prepare(df)
+    assert MD.evaluate(models["LogisticRegression"], val) == pytest.approx(metrics["LogisticRegression"])
+    each = [MD.evaluate(MD.build("LogisticRegression", MD.suggest("LogisticRegression", t), 42, MD.prepare(df)[2], cols).fit(MD.prepare(df)[0]), val)
+            for t in range(3)]
+    assert metrics["LogisticRegression"]["roc_auc"] == pytest.approx(max(m["roc_auc"] for m in each))
+    monkeypatch.setattr(MD, "fit_trials", None)  # nothing is fitted again on the same rows
+    again = MD.train_and_tune(df.repartition(3), params, publish=tmp_dir + "/winners", scratch=tmp_dir + "/fits")
+    assert again[1:] == (metrics, best)
+    with pytest.raises(TypeError):
+        MD.train_and_tune(df.filter("customer_id <> 5"), params, publish=tmp_dir + "/winners")
+    log = MD.log_runs(spark, tmp_dir + "/runs", metrics, best, 3, {"LogisticRegression": "somewhere"}, cols).first()
+    assert log["model_path"] == "somewhere" and log["signature"].startswith("f0: double, f1") and log["signature"].endswith("proba: double")
+
+
 def test_linear_attribution_is_additive(spark):
     df = spark.createDataFrame([(1, 2.0, 0.0, 3.0), (2, -1.0, 1.0, 0.0)], "customer_id long, PAY_0 double, PAY_2 double, n_months_delayed double")
     means = {"PAY_0": 0.5, "PAY_2": 0.5, "n_months_delayed": 1.5}

@@ -136,3 +136,34 @@ def test_exact_quantiles_match_numpy(spark):
     got = exact_quantiles(df, "AGE", [0.0, 0.5, 0.85, 0.95, 1.0])
     want = np.quantile(x, [0.0, 0.5, 0.85, 0.95, 1.0])
     assert got == pytest.approx(want.tolist())
+
+
+def test_seeded_sample_is_a_filter(spark, monkeypatch):
+    import hashlib
+
+    from riskline.operators import split
+
+    df = spark.range(3000).withColumnRenamed("id", "customer_id").repartition(6)
+    want = sorted(range(3000), key=lambda i: (hashlib.md5(f"{i}:42".encode()).hexdigest(), i))
+    for size, rows in ((1, 4096), (700, 4096), (700, 1), (2999, 3), (3000, 10), (9000, 10)):
+        monkeypatch.setattr(split, "CUT_ROWS", rows)
+        monkeypatch.setattr(split, "CUT_DIGITS", 1)
+        sample = seeded_sample(df, size)
+        assert sorted(r[0] for r in sample.collect()) == sorted(want[:size])
+        assert "TakeOrderedAndProject" not in _plan(sample) and "Limit" not in _plan(sample)
+    assert seeded_sample(df, 0).count() == 0
+
+
+def test_layers_are_read_by_partition_and_column(spark):
+    from riskline.plans import queries_drift, queries_model, queries_profile, stages
+
+    sf = "/root/testdata/sf0.001"
+    corr = _plan(queries_profile.q_target_corr(spark, sf))
+    assert "FileScan parquet" in corr and "PAY_AMT1" not in corr  # only the derived columns
+    val = _plan(stages.split_table(spark, sf).filter("split = 'val'").select("customer_id"))
+    assert "PartitionFilters: [isnotnull(split" in val
+    scored = _plan(queries_model.scored(spark, sf, "val"))
+    assert "FileScan parquet" in scored and "= val)" in scored.split("PartitionFilters")[1][:80]
+    stages.reference_counts(spark, sf)
+    bins = _plan(queries_drift.q_psi_bins(spark, sf))
+    assert "ReadSchema: struct<feature:string,value:double,c:bigint>" in bins and "= train" not in bins  # the stored baseline stands for the training rows

@@ -331,16 +331,17 @@ def pca_recon(reference: DataFrame, batches: dict[str, DataFrame], features: lis
 
 # ------------------------------------------------------------------ frozen-reference windows
 def frozen_reference(ref_long: DataFrame, params: DriftParams = DriftParams()) -> tuple[DataFrame, DataFrame]:
-    """Edges and floored proportions of a frozen reference ``(feature, value)``.
-    Returns ``(edges(feature, lo, step, n_ref), ref_bins(feature, bin, e))``; both have at
+    """Edges and floored proportions of a frozen reference ``(feature, value)``, or of its stored
+    counts ``(feature, value, c)``. Returns ``(edges(feature, lo, step, n_ref), ref_bins(feature, bin, e))``; both have at
     most features x buckets rows. Later values outside [lo, hi] fall in the first/last bin."""
     nb = params.buckets
-    edges = ref_long.groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi"),
-                                            F.count(F.lit(1)).alias("n_ref"))
+    times = F.sum("c") if "c" in ref_long.columns else F.count(F.lit(1))
+    edges = ref_long.groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi"), times.alias("n_ref"))
     edges = edges.select("feature", "lo", ((F.col("hi") - F.col("lo")) / F.lit(float(nb))).alias("step"), "n_ref")
     e = F.broadcast(edges)
-    counts = (ref_long.join(e, "feature").select("feature", bin_index("value", "lo", "step", nb).alias("bin"))
-              .groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("c")))
+    weight = F.col("c") if "c" in ref_long.columns else F.lit(1)
+    counts = (ref_long.join(e, "feature").select("feature", bin_index("value", "lo", "step", nb).alias("bin"), weight.alias("c"))
+              .groupBy("feature", "bin").agg(F.sum("c").alias("c")))
     grid = edges.select("feature", "n_ref", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("bin"))
     p = grid.join(counts, ["feature", "bin"], "left").fillna(0, ["c"])
     share = F.col("c") / F.col("n_ref")

@@ -145,14 +145,20 @@ def gate(report: DataFrame) -> None:
         raise QualityGateError(f"Data quality gate FAILED: the batch breaks {broken_rules}")
 
 
-def bad_rows(df: DataFrame, params: QualityParams = QualityParams(), key: str = "ID") -> DataFrame:
-    """Rows that break any row-level rule, with the names of the broken rules."""
+def _broken_names(df: DataFrame, params: QualityParams) -> Column:
     rules = [r for r in build_suite(params) if r.expectation != EXPECT_COLUMN_COUNT]
     cols = list(df.columns)
-    names = F.array_compact(F.array(*[
-        F.when(broken(r, cols), F.lit(f"{r.expectation}({r.column})")) for r in rules
-    ]))
-    return (df.withColumn("_failed", names)
+    return F.array_compact(F.array(*[F.when(broken(r, cols), F.lit(f"{r.expectation}({r.column})")) for r in rules]))
+
+
+def good_rows(df: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:
+    """Rows that break no row-level rule."""
+    return df.filter(F.size(_broken_names(df, params)) == 0)
+
+
+def bad_rows(df: DataFrame, params: QualityParams = QualityParams(), key: str = "ID") -> DataFrame:
+    """Rows that break any row-level rule, with the names of the broken rules."""
+    return (df.withColumn("_failed", _broken_names(df, params))
             .filter(F.size("_failed") > 0)
             .withColumn("failed_rules", F.concat_ws(";", "_failed"))
             .withColumn("n_failed_rules", F.size("_failed").cast("int"))

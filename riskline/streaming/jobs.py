@@ -15,16 +15,32 @@ from ..operators import quality as Q
 from ..params import DriftParams, QualityParams
 
 
+def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
+    """Commit a micro-batch's rows as ``path/batch_id=<n>``: a batch that runs again, after a failure
+    between its writes and its commit, replaces its own folder and leaves the same rows."""
+    rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+
+
 def quality_gate_stream(stream: DataFrame, report_path: str, bad_rows_path: str, checkpoint: str,
-                        params: QualityParams = QualityParams(), trigger: dict | None = None) -> StreamingQuery:
-    """Run the suite on every micro-batch (one aggregate pass), append the report rows
-    tagged with the batch id, and divert rows breaking any rule to a side table."""
+                        params: QualityParams = QualityParams(), trigger: dict | None = None,
+                        good_rows_path: str | None = None, halt: bool = False) -> StreamingQuery:
+    """Run the suite on every micro-batch (one aggregate pass), keep its report, divert the rows
+    breaking any rule to a side table and let the others through to ``good_rows_path``.
+
+    halt: a batch that fails the gate stops the query with ``QualityGateError`` after its report and
+    bad rows are written and before any of its rows are let through; a restarted query meets the
+    same batch again. Rows without a verdict on themselves (table rules) never divert a row."""
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            Q.validate(batch, params).withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(report_path)
-            Q.bad_rows(batch, params).withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(bad_rows_path)
+            report = Q.validate(batch, params)
+            write_batch(report, report_path, batch_id)
+            write_batch(Q.bad_rows(batch, params), bad_rows_path, batch_id)
+            if halt:
+                Q.gate(report.sparkSession.read.schema(report.schema).parquet(f"{report_path.rstrip('/')}/batch_id={batch_id}"))
+            if good_rows_path:
+                write_batch(Q.good_rows(batch, params), good_rows_path, batch_id)
         finally:
             batch.unpersist()
 
@@ -55,7 +71,7 @@ def windowed_drift_stream(stream: DataFrame, edges: DataFrame, ref_bins: DataFra
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         start = F.col("w.start").cast("timestamp_ntz") if ntz else F.col("w.start")
         closed = batch.select(start.alias("window_start"), "feature", "bin", "c")
-        D.window_psi(closed, ref_bins, params).withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out_path)
+        write_batch(D.window_psi(closed, ref_bins, params), out_path, batch_id)
 
     w = counts.writeStream.outputMode("append").foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()

@@ -46,7 +46,8 @@ MAX_BITS = 1 << 28
 BITS_A_KEY = 32
 #: A task adds up what it counted after so many words, and forgets its words after so many different ones.
 FLUSH_TOKENS = 2_000_000
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 400_000
+EMIT_ROWS = 20_000
 SCALE = 2_000_000
 #: Capitals become small letters, piece ends line feeds, tabs blanks.
 _PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 9 + b" ")
@@ -59,10 +60,12 @@ class Words(dict):
     def __init__(self):
         super().__init__({b"\n": _END, b"": _NONE})
         self.texts = [b"\n", b""]
+        self.crcs = [0, 0]
 
     def __missing__(self, word: bytes) -> int:
         self[word] = n = len(self.texts)
         self.texts.append(word)
+        self.crcs.append(crc32(word))
         return n
 
     def numbers(self, text: bytes) -> np.ndarray:
@@ -71,8 +74,26 @@ class Words(dict):
         return out[out != _NONE]
 
 
+#: A phrase's hash starts with its tag and language and takes up one word's crc after the other.
+_MOD, _TIMES = (1 << 40) - 87, 1_000_003
+
+
+def _start(tag: str, lang: str) -> int:
+    return crc32((tag + lang).encode())
+
+
+def _grown_hash(h, crcs):
+    return (h * _TIMES + crcs) % _MOD
+
+
+def _hashed(tag: str) -> Column:
+    """The hash of (lang, phrase) as a column."""
+    crcs = F.transform(F.split("phrase", " "), lambda w: F.crc32(w))
+    return F.aggregate(crcs, F.crc32(F.concat(F.lit(tag), F.col("lang"))), lambda h, c: (h * _TIMES + c) % _MOD)
+
+
 class BitTable:
-    """Set of keys by one bit each; a key that is not in the set may pass by chance."""
+    """Set of hashes by one bit each; one that is not in the set may pass by chance."""
 
     def __init__(self, bits: np.ndarray, size: int):
         self.bits, self.size = bits, size
@@ -82,14 +103,14 @@ class BitTable:
         return (self.bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 
-def bit_table(keys: DataFrame, key: Column):
-    """Broadcast bit table of a key column; built in Spark in parts of 4 kB."""
-    spark = keys.sparkSession
-    count = keys.agg(F.count(F.lit(1))).first()[0]
+def bit_table(hashes: DataFrame, column: str = "hash"):
+    """Broadcast bit table of a column of hashes; built in Spark in parts of 4 kB."""
+    spark = hashes.sparkSession
+    count = hashes.agg(F.count(F.lit(1))).first()[0]
     size = 1 << 15
     while size < min(MAX_BITS, count * BITS_A_KEY):
         size *= 2
-    at = keys.select((F.crc32(key) % size + 1).alias("at"))  # bit positions count from one
+    at = hashes.select((F.col(column) % size + 1).alias("at"))  # bit positions count from one
     parts = (at.groupBy(F.bitmap_bucket_number("at").alias("part"))
              .agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")).collect())
     bits = np.zeros(size // 8, dtype=np.uint8)
@@ -99,14 +120,6 @@ def bit_table(keys: DataFrame, key: Column):
     return spark.sparkContext.broadcast(BitTable(bits, size))
 
 
-def _key(lang: str, words: bytes) -> bytes:
-    return lang.encode() + b"\x00" + words
-
-
-def _keyed(tag: str, phrase: str | Column) -> Column:
-    return F.concat(F.lit(tag), F.col("lang"), F.lit("\x00"), F.col(phrase) if isinstance(phrase, str) else phrase)
-
-
 def _texts(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"),
                        F.col(f"`{text_col}`").cast("string").cast("binary").alias("text")).where("text is not null")
@@ -116,15 +129,23 @@ def _batches(batches: Iterator[pa.RecordBatch], count) -> Iterator[pa.RecordBatc
     """Word numbers of the texts by language, handed to ``count(lang, words, numbers, times)`` from time to time.
 
     times tells how often the text of each number counts: a third column of the batch, else one.
+    ``count`` yields pairs of counts and a function that gives the phrases of a slice of them.
     """
     words, held, size = Words(), {}, 0
     end = np.array([_END], dtype=np.int32)
 
     def flushed() -> Iterator[pa.RecordBatch]:
-        for lang, (arrays, times) in held.items():
+        for lang in list(held):
+            arrays, times = held.pop(lang)
             numbers = np.concatenate([end, *[x for a in arrays for x in (a, end)]])
             each = np.repeat(np.array([1, *times], dtype=np.int64), [1, *[len(a) + 1 for a in arrays]])
-            yield from _counted(lang, *count(lang, words, numbers, each))
+            del arrays
+            for n, phrases in count(lang, words, numbers, each):
+                for a in range(0, len(n), EMIT_ROWS):
+                    part = phrases(slice(a, a + EMIT_ROWS))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * len(part)), pa.array(part, pa.binary()).cast(pa.string()), pa.array(n[a:a + EMIT_ROWS])],
+                        names=["lang", "phrase", "f"])
 
     for batch in batches:
         often = batch.column(2).to_pylist() if batch.num_columns > 2 else [1] * batch.num_rows
@@ -136,37 +157,20 @@ def _batches(batches: Iterator[pa.RecordBatch], count) -> Iterator[pa.RecordBatc
             size += len(got)
             if size > FLUSH_TOKENS:
                 yield from flushed()
-                held, size = {}, 0
+                size = 0
                 if len(words.texts) > KNOWN_WORDS:
                     words = Words()
     yield from flushed()
 
 
-def _counted(lang: str, phrases: list[bytes], n: np.ndarray, rows: int = 50_000) -> Iterator[pa.RecordBatch]:
-    for a in range(0, len(phrases), rows):
-        part = phrases[a:a + rows]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(part)), pa.array(part, pa.binary()).cast(pa.string()), pa.array(n[a:a + rows])],
-            names=["lang", "phrase", "f"])
-
-
 _COUNTS = "lang string, phrase string, f long"
 
 
-def _summed(counted: DataFrame) -> DataFrame:
+def _summed(rows: DataFrame, count) -> DataFrame:
+    counted = rows.mapInArrow(lambda batches: _batches(batches, count), _COUNTS)
     return counted.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
 
 
-def _is_in(table: BitTable, lang: str, words: Words, numbers: np.ndarray) -> np.ndarray:
-    """For each number of ``numbers`` whether the word is in the table, by hashing each word once."""
-    which = np.unique(numbers)
-    hashes = np.fromiter((crc32(_key(lang, words.texts[i])) for i in which.tolist()), dtype=np.int64, count=len(which))
-    hit = np.zeros(len(words.texts), dtype=bool)
-    hit[which] = table.has(hashes)
-    hit[:2] = False
-    return hit[numbers]
-
-
 def count_words(texts: DataFrame) -> DataFrame:
     """(lang, phrase, f) of all single words."""
 
@@ -174,84 +178,81 @@ def count_words(texts: DataFrame) -> DataFrame:
         n = np.bincount(numbers, minlength=2)
         n[:2] = 0
         some = np.flatnonzero(n)
-        return [words.texts[i] for i in some.tolist()], n[some]
-
-    return _summed(texts.mapInArrow(lambda b: _batches(b, count), _COUNTS))
-
+        yield n[some], lambda part: [words.texts[i] for i in some[part].tolist()]
 
-def _pairs(table: BitTable, lang: str, words: Words, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(places, codes) of all pairs of words that are both in the table."""
-    known = _is_in(table, lang, words, numbers)
-    at = np.flatnonzero(known[:-1] & known[1:])
-    return at, numbers[at].astype(np.int64) << 32 | numbers[at + 1]
+    return _summed(texts, count)
 
 
-def _texts_of(words: Words, codes: np.ndarray) -> list[bytes]:
-    t = words.texts
-    return [t[a] + b" " + t[b] for a, b in zip((codes >> 32).tolist(), (codes & 0xFFFFFFFF).tolist(), strict=True)]
+def _pairs_at(table: BitTable, lang: str, crcs: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """Places of all pairs of words that are both in the table."""
+    known = table.has(_grown_hash(_start("w", lang), crcs))
+    known[:2] = False
+    known = known[numbers]
+    return np.flatnonzero(known[:-1] & known[1:])
 
 
 def count_pairs(texts: DataFrame, frequent) -> DataFrame:
     """(lang, phrase, f) of pairs of neighbouring frequent words."""
 
     def count(lang: str, words: Words, numbers: np.ndarray, times: np.ndarray):
-        codes, n = np.unique(_pairs(frequent.value, lang, words, numbers)[1], return_counts=True)
-        return _texts_of(words, codes), n
+        at = _pairs_at(frequent.value, lang, np.array(words.crcs, dtype=np.int64), numbers)
+        codes, n = np.unique(numbers[at].astype(np.int64) << 32 | numbers[at + 1], return_counts=True)
+        t = words.texts
+        yield n, lambda part: [t[a] + b" " + t[b] for a, b in
+                               zip((codes[part] >> 32).tolist(), (codes[part] & 0xFFFFFFFF).tolist(), strict=True)]
 
-    return _summed(texts.mapInArrow(lambda b: _batches(b, count), _COUNTS))
+    return _summed(texts, count)
 
 
 def count_runs(texts: DataFrame, frequent, frequent_pairs) -> DataFrame:
     """(lang, phrase, f) of the longest runs of three and more words whose neighbouring pairs are all frequent."""
 
     def count(lang: str, words: Words, numbers: np.ndarray, times: np.ndarray):
-        at, codes = _pairs(frequent.value, lang, words, numbers)
-        which, back = np.unique(codes, return_inverse=True)
-        hashes = np.fromiter((crc32(_key(lang, t)) for t in _texts_of(words, which)), dtype=np.int64, count=len(which))
-        at = at[frequent_pairs.value.has(hashes)[back]] if len(at) else at
-        first = at[np.append(True, np.diff(at) != 1)] if len(at) else at
-        last = at[np.append(np.diff(at) != 1, True)] if len(at) else at
-        runs: dict[tuple, int] = {}
-        whole = numbers.tolist()
-        for a, b in zip(first.tolist(), last.tolist(), strict=True):
-            if b > a:
-                run = tuple(whole[a:b + 2])
-                runs[run] = runs.get(run, 0) + 1
-        return [b" ".join([words.texts[i] for i in run]) for run in runs], np.fromiter(runs.values(), dtype=np.int64, count=len(runs))
-
-    return _summed(texts.mapInArrow(lambda b: _batches(b, count), _COUNTS))
-
-
-def count_grown(runs: DataFrame, n_words: int, wanted) -> DataFrame:
-    """(lang, phrase, f) of the phrases of ``n_words`` words in the runs that grow from a wanted phrase on
-    either side (keys tagged ``+``) or are wanted themselves (keys tagged ``=``)."""
+        crcs = np.array(words.crcs, dtype=np.int64)
+        at = _pairs_at(frequent.value, lang, crcs, numbers)
+        pair = _grown_hash(_grown_hash(_start("p", lang), crcs[numbers[at]]), crcs[numbers[at + 1]])
+        at = at[frequent_pairs.value.has(pair)]
+        if not len(at):
+            return
+        first = at[np.append(True, np.diff(at) != 1)]
+        last = at[np.append(np.diff(at) != 1, True)]
+        long = last > first
+        runs: dict[bytes, int] = {}
+        get, whole = words.texts.__getitem__, numbers.tolist()
+        for a, b in zip(first[long].tolist(), (last[long] + 2).tolist(), strict=True):
+            run = b" ".join(map(get, whole[a:b]))
+            runs[run] = runs.get(run, 0) + 1
+        found = list(runs)
+        yield np.fromiter(runs.values(), dtype=np.int64, count=len(runs)), lambda part: found[part]
+
+    return _summed(texts, count)
+
+
+def count_grown(runs: DataFrame, sizes: list[int], wanted) -> DataFrame:
+    """(lang, phrase, f) of the phrases in the runs that have one of the sizes and grow by one word from
+    a wanted phrase on either side (hashes tagged ``+``) or are wanted themselves (tagged ``=``)."""
 
     def count(lang: str, words: Words, numbers: np.ndarray, times: np.ndarray):
-        # phrases are numbered word by word: a phrase is the number of its first words and its last word
-        texts, number = words.texts, numbers.astype(np.int64)
-        for size in range(2, n_words + 1):
-            shorter, ok = number[:-1], (number[:-1] > _NONE) & (numbers[size - 1:] > _NONE)
-            codes, back = np.unique(shorter[ok] << 32 | numbers[size - 1:][ok], return_inverse=True)
-            parts, part_at = texts, number
-            texts = [b"", b""] + [texts[a] + b" " + words.texts[w] for a, w in
-                                  zip((codes >> 32).tolist(), (codes & 0xFFFFFFFF).tolist(), strict=True)]
-            number = np.zeros(len(ok), dtype=np.int64)
-            number[ok] = back + 2
-
-        def asked(tag: bytes, phrases: list[bytes]) -> np.ndarray:
-            head = tag + _key(lang, b"")
-            hit = wanted.value.has(np.array([crc32(head + t) for t in phrases], dtype=np.int64))
-            hit[:2] = False
-            return hit
-
-        grows = asked(b"+", parts)[part_at]
-        hit = asked(b"=", texts)[number] | ((number > _NONE) & (grows[:-1] | grows[1:]))
-        total = np.bincount(number[hit], weights=times[:len(number)][hit], minlength=len(texts))
-        some = np.flatnonzero(total)
-        return [texts[i] for i in some.tolist()], total[some].astype(np.int64)
-
-    kept = runs.select("lang", F.col("phrase").cast("binary").alias("text"), "f")
-    return _summed(kept.mapInArrow(lambda b: _batches(b, count), _COUNTS))
+        crcs = np.array(words.crcs, dtype=np.int64)[numbers]
+        inside = numbers > _NONE
+        parts, selves = _grown_hash(_start("+", lang), crcs), _grown_hash(_start("=", lang), crcs)
+        for size in range(2, max(sizes) + 1):
+            grows = wanted.value.has(parts) if size in sizes else None
+            parts, selves = (_grown_hash(h[:-1], crcs[size - 1:]) for h in (parts, selves))
+            inside = inside[:-1] & (numbers[size - 1:] > _NONE)
+            if grows is None:
+                continue
+            at = np.flatnonzero(inside & (grows[:-1] | grows[1:] | wanted.value.has(selves)))
+            # phrases are told apart word by word: the number of the first words and the next word
+            code = numbers[at].astype(np.int64)
+            for i in range(1, size):
+                code = np.unique(code << 32 | numbers[at + i], return_inverse=True)[1]
+            _, first, code = np.unique(code, return_index=True, return_inverse=True)
+            n = np.bincount(code, weights=times[at]).astype(np.int64)
+            yield n, lambda part, at=at[first], size=size: [
+                b" ".join([words.texts[numbers[i + k]] for k in range(size)]) for i in at[part].tolist()]
+
+    return _summed(runs.select("lang", F.col("phrase").cast("binary").alias("text"), "f"), count)
 
 
 def _words_of(phrase: str = "phrase") -> Column:
@@ -312,19 +313,19 @@ def mine(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", least:
     words = checkpointed(count_words(texts))
     totals = checkpointed(words.groupBy("lang").agg(F.sum("f").alias("n")))
     frequent = checkpointed(words.where(F.col("f") >= least))
-    word_bits = bit_table(frequent, F.concat(F.col("lang"), F.lit("\x00"), F.col("phrase")))
+    word_bits = bit_table(frequent.select(_hashed("w").alias("hash")))
     pairs = checkpointed(count_pairs(texts, word_bits).where(F.col("f") >= least))
-    pair_bits = bit_table(pairs, F.concat(F.col("lang"), F.lit("\x00"), F.col("phrase")))
+    pair_bits = bit_table(pairs.select(_hashed("p").alias("hash")))
     runs = checkpointed(count_runs(texts, word_bits, pair_bits))
     counts = [frequent, pairs]
     candidates = [checkpointed(scored(pairs, frequent, 2))]
     grown: list[DataFrame] = []
 
-    def count_more(keys: DataFrame, n_words: int) -> DataFrame:
-        """Frequent phrases of n_words words, of those asked for, that are not counted yet."""
-        more = count_grown(runs, n_words, bit_table(keys, F.col("key"))).where(F.col("f") >= least)
-        known = _union(counts).where(F.size(_words_of()) == n_words)
-        return checkpointed(more.join(known, ["lang", "phrase"], "left_anti"))
+    def count_more(hashes: DataFrame, sizes: list[int]) -> list[DataFrame]:
+        """Frequent phrases of those asked for that are not counted yet, by size."""
+        more = count_grown(runs, sizes, bit_table(hashes)).where(F.col("f") >= least)
+        more = checkpointed(more.join(_union(counts), ["lang", "phrase"], "left_anti"))
+        return [more.where(F.size(_words_of()) == size) for size in sizes]
 
     while True:
         everything = _union(candidates)
@@ -342,22 +343,21 @@ def mine(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", least:
         if not any(due for due, _ in sizes.values()):
             break
         grown.append(frontier.select("lang", "phrase"))
-        keys = frontier.select("lang", "phrase", "words", _keyed("+", "phrase").alias("key"))
-        if 2 in sizes:
-            new = count_more(keys.where("words = 2"), 3)
-            counts.append(new)
-            candidates.append(checkpointed(scored(new, _union(counts), 3)))
-        if 3 in sizes:
-            new = count_more(keys.where("words = 3"), 4)
+        longer = [size + 1 for size in sorted(sizes)]
+        new = dict(zip(longer, count_more(frontier.select(_hashed("+").alias("hash")), longer), strict=True))
+        if 3 in new:
+            counts.append(new[3])
+            candidates.append(checkpointed(scored(new[3], _union(counts), 3)))
+        if 4 in new:
             # both parts of three words must be counted before a phrase of four can be scored
-            ends = new.select("lang", F.explode(F.array(F.array_join(F.slice(_words_of(), 1, 3), " "),
-                                                        F.array_join(F.slice(_words_of(), 2, 3), " "))).alias("phrase")).distinct()
+            ends = new[4].select("lang", F.explode(F.array(F.array_join(F.slice(_words_of(), 1, 3), " "),
+                                                           F.array_join(F.slice(_words_of(), 2, 3), " "))).alias("phrase")).distinct()
             missing = checkpointed(ends.join(_union(counts), ["lang", "phrase"], "left_anti"))
             if missing.limit(1).count():
-                three = count_more(missing.select(_keyed("=", "phrase").alias("key")), 3)
+                (three,) = count_more(missing.select(_hashed("=").alias("hash")), [3])
                 counts.append(three)
                 candidates.append(checkpointed(scored(three, _union(counts), 3)))
-            counts.append(new)
-            candidates.append(checkpointed(scored(new, _union(counts), 4)))
+            counts.append(new[4])
+            candidates.append(checkpointed(scored(new[4], _union(counts), 4)))
     best = _ranked(_standing(_union(candidates)), limit)
     return best.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

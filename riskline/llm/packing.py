@@ -63,9 +63,12 @@ def _words(text: str) -> list[str]:
 
 
 def _stem(word: str) -> str:
-    """The word without points and commas after its last letter, in lower case if it is plain ASCII."""
+    """The word without points and commas after its last letter, in lower case if it is plain ASCII.
+
+    It must still end in a letter once it is in lower case: U+0130 becomes an i and a mark, which the
+    points would join."""
     bare = word.rstrip(".,")
-    if not bare or not bare[-1].isalpha():
+    if not bare or not bare[-1].isalpha() or not bare[-1].lower()[-1].isalpha():
         bare = word
     return bare.lower() if bare.isascii() and "<" not in bare else bare
 

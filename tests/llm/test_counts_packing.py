@@ -40,6 +40,23 @@ def test_token_ids_are_the_librarys(texts):
         assert np.frombuffer(b, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text[:60]
 
 
+def test_token_ids_of_odd_words_are_the_librarys():
+    """Letters that grow a mark in lower case, marks on their own, points and commas in every place."""
+    import random
+
+    from tokenizers import Tokenizer
+
+    path = P.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    with open(path, encoding="utf-8") as f:
+        loaded = packing._loaded(f.read())
+    r = random.Random(11)
+    signs = ["İ", "I", "ı", "\u0307", "\u0301", "a", "B", "é", "e\u0301", "Σ", "ß", "ﬁ", "Ǆ", "ŉ", "한", "ᄒ", "ᅡ", "日", "9", ".", ",", ".", ",", " ", " ", "'s", "-", "\n", "\u00a0"]
+    texts = ["ANKARALİ. ok", "İ,", "İ\u0307.", "x\u0307. y"] + ["".join(r.choice(signs) for _ in range(r.randint(1, 14))) for _ in range(6000)]
+    for text, b in zip(texts, packing.token_bytes(texts, *loaded), strict=True):
+        assert np.frombuffer(b, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
 def _check(rows, capacity):
     bins: dict = {}
     for r in rows:

@@ -9,7 +9,9 @@ Every whole text is searched. A personal datum of the four kinds has a digit or
 so windows are laid where such characters stand (``REACH`` characters around them, overlapping
 by half) and nowhere else. Windows are decoded by Viterbi; where they overlap, each character
 takes its tag from the window in whose middle it lies nearest. Runs of one kind that have the
-kind's signs (``_plausible``) and touch no base span are added.
+kind's signs (``_plausible``: also a card's check digit, an address's parts of at most 255) are
+added if they touch neither a base span nor a match that a pattern's test dropped: what is known
+to be no personal datum does not come back by the tagger.
 
 Offsets are code points, end exclusive. Null text counts as empty; empty tables give no rows;
 repeated rows are searched each; null ids stay null; other columns are not read; without any
@@ -66,21 +68,29 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", max(at + 1, done))
 
 
-def base_spans(text: str) -> list[tuple[int, int, int]]:
-    """(kind, start, end) by the patterns, by kind then start."""
-    out = [(0, s, e) for s, e in _emails(text)] if "@" in text else []
+def _small_parts(ip: str) -> bool:
+    return all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in ip.split("."))
+
+
+def matches(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+    """(kind, start, end) by the patterns, by kind then start: those that pass their test, and those dropped."""
+    kept = [(0, s, e) for s, e in _emails(text)] if "@" in text else []
+    dropped: list[tuple[int, int, int]] = []
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m[0].split(".")):
-            out.append((1, m.start(), m.end()))
+        (kept if _small_parts(m[0]) else dropped).append((1, m.start(), m.end()))
     for m in _CARD.finditer(text):
         digits = _NOT_DIGIT.sub("", m[0])
-        if 13 <= len(digits) <= 19 and _luhn(digits):
-            out.append((2, m.start(), m.end()))
+        if len(digits) >= 13:
+            (kept if len(digits) <= 19 and _luhn(digits) else dropped).append((2, m.start(), m.end()))
     if "+" in text:
         for m in _PHONE.finditer(text):
-            if 9 <= len(_NOT_DIGIT.sub("", m[0])) <= 15:
-                out.append((3, m.start(), m.end()))
-    return out
+            (kept if 9 <= len(_NOT_DIGIT.sub("", m[0])) <= 15 else dropped).append((3, m.start(), m.end()))
+    return kept, dropped
+
+
+def base_spans(text: str) -> list[tuple[int, int, int]]:
+    """(kind, start, end) by the patterns, by kind then start."""
+    return matches(text)[0]
 
 
 def codes_of(text: str) -> np.ndarray:
@@ -271,8 +281,34 @@ def padded(codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _plausible(kind: int, text: str) -> bool:
-    digits = sum(c.isdigit() for c in text)
-    return ("@" in text[1:-1], text.count(".") == 3 and digits >= 4, 13 <= digits <= 19, 9 <= digits <= 15)[kind]
+    digits = _NOT_DIGIT.sub("", text)
+    if kind == 0:
+        return "@" in text[1:-1]
+    if kind == 1:
+        return len(digits) >= 4 and text.count(".") == 3 and bool(_IP.fullmatch(text)) and _small_parts(text)
+    if kind == 2:
+        return 13 <= len(digits) <= 19 and _luhn(digits)
+    return 9 <= len(digits) <= 15
+
+
+def _whole_numbers(text: str, kind: int, lo: int, hi: int) -> tuple[int, int]:
+    """A run without blanks at its ends; one of numbers begins and ends with whole digit groups."""
+    while lo < hi and text[lo].isspace():
+        lo += 1
+    while hi > lo and text[hi - 1].isspace():
+        hi -= 1
+    if kind == 0:
+        return lo, hi
+    opens = "0123456789+(" if kind == 3 else "0123456789"
+    while lo < hi and text[lo] not in opens:
+        lo += 1
+    while hi > lo and text[hi - 1] not in "0123456789":
+        hi -= 1
+    while lo < hi and lo > 0 and text[lo - 1] in "0123456789" and text[lo] in "0123456789":
+        lo -= 1
+    while lo < hi < len(text) and text[hi] in "0123456789":
+        hi += 1
+    return lo, hi
 
 
 def tagged_spans(texts: list[str], tagger: Tagger, batch: int = 512) -> list[list[tuple[int, int, int]]]:
@@ -294,10 +330,9 @@ def tagged_spans(texts: list[str], tagger: Tagger, batch: int = 512) -> list[lis
         run: list[int] = []
         for p in [*sorted(p for p, (_, tag) in tags_at.items() if tag), None]:
             if run and (p is None or p != run[-1] + 1 or tags_at[p][1] != tags_at[run[0]][1]):
-                kind, piece = tags_at[run[0]][1] - 1, texts[i][run[0]:run[-1] + 1]
-                lo = run[0] + len(piece) - len(piece.lstrip())
-                hi = run[-1] + 1 - (len(piece) - len(piece.rstrip()))
-                if lo < hi and _plausible(kind, texts[i][lo:hi]):
+                kind = tags_at[run[0]][1] - 1
+                lo, hi = _whole_numbers(texts[i], kind, run[0], run[-1] + 1)
+                if lo < hi and (not out[i] or out[i][-1][2] <= lo) and _plausible(kind, texts[i][lo:hi]):
                     out[i].append((kind, lo, hi))
                 run = []
             if p is not None:
@@ -343,9 +378,10 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tagger
             for at, n in byte_slices(batch.column(1), 1 << 22):
                 rows = batch.slice(at, n)
                 texts = [t or "" for t in rows.column(1).to_pylist()]
-                base = [base_spans(t) if t else [] for t in texts]
-                added = [sorted(x for x in more if not any(x[1] < e and s < x[2] for _, s, e in b))
-                         for b, more in zip(base, tagged_spans(texts, tagger), strict=True)]
+                both = [matches(t) for t in texts]
+                base = [kept for kept, _ in both]
+                added = [sorted(x for x in more if not any(x[1] < e and s < x[2] for _, s, e in kept + dropped))
+                         for (kept, dropped), more in zip(both, tagged_spans(texts, tagger), strict=True)]
                 cols = [pa.array([[dict(zip(("kind", "start", "end"), x, strict=True)) for x in xs] for xs in col], kind) for col in (base, added)]
                 yield pa.RecordBatch.from_arrays([rows.column(0), *cols], names=["doc_id", "base", "added"])
 

@@ -200,6 +200,37 @@ def test_pii_query_and_held_out_accuracy(spark, texts):
     assert hit >= 0.8 * len(wanted)
 
 
+@pytest.mark.parametrize("kind", range(4))
+def test_pii_dropped_matches_do_not_come_back(spark, kind):
+    texts = ["4529603461135147", "card 4529 6034 6113 5147", "10.0.0.300", "300.1.1.1", "+1234567", "4111111111111111", "10.0.0.255",
+             "+49 30 1234567", "a@b.de"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tagger = pii.Tagger()
+    tagger.w["bias"][kind + 1] = 1e3  # tags every character as this kind
+    rows = {r.doc_id: r for r in pii.find(docs, tagger=tagger).collect()}
+    assert [len(rows[i].base) for i in range(len(texts))] == [0, 0, 0, 0, 0, 1, 1, 1, 1]
+    assert all(not r.added for r in rows.values())
+
+
+def test_pii_held_out_precision_and_recall(spark):
+    """Spans that the tagger adds where the patterns are blind, on documents it was not trained on."""
+    import numpy as np
+
+    r = np.random.default_rng(3)
+    docs = []
+    for i in range(600):
+        digits = "".join(map(str, r.integers(0, 10, 10)))
+        seen = f"call +1 ({digits[:3]}) {digits[3:6]}-{digits[6:]} or write to user{i}@mail{i % 9}.example.org today"
+        docs.append((i, f"text {i % 7} before. {seen}, thanks"))
+    tagger = pii.train(spark.createDataFrame(docs[:400], "doc_id long, text string"))
+    blind = [t.replace("+1 (", "(") for _, t in docs[400:]]
+    wanted = {(i, t.index("("), t.index(" or write")) for i, t in enumerate(blind)}
+    found = {(i, s, e) for i, xs in enumerate(pii.tagged_spans(blind, tagger)) for k, s, e in xs if k == 3}
+    hit = sum(any(f[0] == w[0] and f[1] < w[2] and w[1] < f[2] for f in found) for w in wanted)
+    right = sum(any(f[0] == w[0] and f[1] < w[2] and w[1] < f[2] for w in wanted) for f in found)
+    assert hit >= 0.7 * len(wanted) and right >= 0.9 * len(found)
+
+
 def test_pii_odd_rows(odd, empty):
     rows = pii.find(odd, tagger=pii.Tagger()).collect()
     assert len(rows) == odd.count()

@@ -173,6 +173,14 @@ def drift_samples(test: DataFrame, params: DriftParams = DriftParams(), key: str
     return clean, drifted
 
 
+def whole_batches(test: DataFrame, threshold: float | None, params: DriftParams = DriftParams()) -> DataFrame:
+    """The test rows with a column ``batch``, once for each batch they belong to: all of them in the
+    clean one, those at or above the threshold in the drifted one. One scan, nothing sampled."""
+    biased = F.col(params.bias_column) >= F.lit(threshold)
+    of = F.when(biased, F.array(F.lit("clean"), F.lit("drifted"))).otherwise(F.array(F.lit("clean")))
+    return test.withColumn("batch", F.explode(of))
+
+
 def reference_profile(train: DataFrame, features: list[str] = FEATURE_COLS) -> DataFrame:
     """Per-feature moments and range of the frozen training baseline."""
     long = train.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in features]).unpivot(

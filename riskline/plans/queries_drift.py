@@ -9,7 +9,8 @@ from ..operators import drift as D
 from ..operators.split import drift_samples, reference_profile
 from ..params import DEFAULTS, FEATURE_COLS
 from . import oracle_base as O
-from .stages import drift_batches, drift_inputs, layer, reference_counts, reference_moments, split_table
+from ..sources.tables import read_csv, write_csv
+from .stages import drift_batches, drift_inputs, layer, layer_folder, reference_counts, reference_moments, split_table
 
 P = DEFAULTS.drift
 BATCHES = ["clean", "drifted"]
@@ -75,6 +76,14 @@ def q_psi_table(spark: SparkSession, sf: str) -> DataFrame:
     return _feature_table(spark, sf)
 
 
+def q_drift_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """The drift table written as CSV with a header and scanned again with its schema."""
+    table = _feature_table(spark, sf)
+    path = layer_folder(spark, sf, "psi_per_feature_csv")
+    write_csv(table, path)
+    return read_csv(spark, path, table.schema)
+
+
 def q_js_table(spark: SparkSession, sf: str) -> DataFrame:
     return D.psi_js(_bins(spark, sf)).select("batch", "feature", F.round("js", 4).alias("js"))
 
@@ -264,6 +273,7 @@ SELECT feature, count(value) AS n, round(avg(value), 6) AS mean, round(stddev_po
         "psi_bins": f"""{drift}
 SELECT batch, feature, bin, round(bin_lo, 6) AS bin_lo, ref_count, cur_count, round(e, 8) AS e, round(a, 8) AS a FROM psi_bins""",
         "psi_table": f"{drift} SELECT * FROM feature_table",
+        "drift_csv": f"{drift} SELECT * FROM feature_table",
         "js_table": f"{drift} SELECT batch, feature, round(js, 4) AS js FROM psi_js",
         "ks_table": f"{drift} SELECT batch, feature, round(ks_stat, 6) AS ks_stat, round(ks_pvalue, 4) AS ks_pvalue FROM ks_table",
         "drift_summary": f"""{drift}
@@ -281,6 +291,7 @@ QUERIES = {
     "reference_profile": q_reference_profile,
     "psi_bins": q_psi_bins,
     "psi_table": q_psi_table,
+    "drift_csv": q_drift_csv,
     "js_table": q_js_table,
     "ks_table": q_ks_table,
     "ks_table_exact": q_ks_table_exact,

@@ -1,19 +1,32 @@
 """Metric, decision, serving-alignment and attribution queries over the ``scored`` fixture."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.sqlexpr import bin_index_sql
 from ..operators import metrics as M
+from ..operators import models as MD
 from ..operators import profile as PR
 from ..operators import scoring as S
-from ..operators.split import exact_quantiles
 from ..params import DEFAULTS, FEATURE_COLS
 from . import oracle_base as O
 from .stages import split_table
 
 THRESHOLD = DEFAULTS.predict.prediction_threshold
+# fixed values: scorers that stand for the trials of a search (weights of a logistic score, intercept)
+TRIAL_SCORERS = (
+    (S.FIXED_COEF, S.FIXED_INTERCEPT),
+    ((("PAY_0", 1.0), ("PAY_3", 0.2)), -1.0),
+    ((("n_months_delayed", 0.9), ("util_ratio", -0.7)), -2.0),
+    ((("pay_delay_max", 0.5), ("pct_paid", -1.1), ("SEX", 0.1)), 0.0),
+)
+# fixed values: a linear score over more columns than the top list shows
+WIDE_COEF = (
+    ("LIMIT_BAL", -0.000002), ("SEX", 0.1), ("EDUCATION", -0.15), ("MARRIAGE", 0.12), ("AGE", 0.01), ("PAY_0", 0.8),
+    ("PAY_2", 0.4), ("PAY_3", 0.2), ("pay_delay_max", 0.3), ("n_months_delayed", 0.5), ("util_ratio", 0.6), ("pct_paid", -0.9),
+)
+WIDE_INTERCEPT = -1.25
 FEATS = [c for c, _ in S.FIXED_COEF]
 
 
@@ -35,14 +48,7 @@ def q_score_decisions(spark: SparkSession, sf: str) -> DataFrame:
 def q_decision_log(spark: SparkSession, sf: str) -> DataFrame:
     """The 7-field decision summary of the scored test rows."""
     s = scored(spark, sf, "test").withColumn("pred", S.decide(F.col("score"), THRESHOLD))
-    a = s.agg(F.count(F.lit(1)).alias("n"), F.sum("pred").alias("k"), F.avg("score").alias("m")).first()
-    med, p95 = exact_quantiles(s, "score", [0.5, 0.95])
-    n = int(a["n"])
-    row = (n, float(THRESHOLD), int(a["k"] or 0), round((a["k"] or 0) / n, 6) if n else None,
-           round(a["m"], 6) if a["m"] is not None else None, round(med, 6) if med is not None else None,
-           round(p95, 6) if p95 is not None else None)
-    return spark.createDataFrame([row], "n_scored long, threshold double, n_predicted_default long, "
-                                        "predicted_default_rate double, proba_mean double, proba_median double, proba_p95 double")
+    return S.decision_log(s, THRESHOLD, "score", "pred")
 
 
 def q_score_histogram(spark: SparkSession, sf: str) -> DataFrame:
@@ -78,6 +84,25 @@ def q_align_features(spark: SparkSession, sf: str) -> DataFrame:
                           S.decide(p, THRESHOLD).alias("prediction"), F.lit(THRESHOLD).alias("threshold"))
 
 
+def q_trial_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """M7/M8/V1-V4: metrics of several trials from one long table of their validation scores, ranked."""
+    val = _split(spark, sf, "val")
+    scores = F.array(*[F.struct(F.lit(i).alias("trial"), F.expr(S.score_sql(c, b)).alias("proba")) for i, (c, b) in enumerate(TRIAL_SCORERS)])
+    long = val.select(F.col("default").cast("int").alias("label"), F.explode(scores).alias("s")).select("label", "s.*")
+    m = MD.trial_metrics(long, DEFAULTS.train, THRESHOLD)
+    ranked = Window.orderBy(F.desc(F.round(DEFAULTS.train.primary_metric, 6)), "trial")  # one row per trial
+    return m.select("trial", *[F.round(c, 6).alias(c) for c in MD.METRICS], F.row_number().over(ranked).cast("int").alias("rank"))
+
+
+def q_top_drivers_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """The 8 largest of 12 attributions of every test row."""
+    train = _split(spark, sf, "train")
+    names = [c for c, _ in WIDE_COEF]
+    m = train.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in names]).first()  # 12 scalars
+    each = S.linear_attribution(_split(spark, sf, "test"), WIDE_COEF, m.asDict(), WIDE_INTERCEPT)
+    return S.top_drivers(each, names, 8)
+
+
 def _linear(spark, sf, rows: DataFrame) -> DataFrame:
     train = _split(spark, sf, "train")
     m = train.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in FEATS]).first()  # 3 scalars
@@ -115,6 +140,11 @@ _means AS (SELECT {', '.join(f'avg(CAST({q(c)} AS DOUBLE)) AS m_{c}' for c in FE
     phis = ", ".join(f"round({w!r} * (CAST({q(c)} AS DOUBLE) - m_{c}), 6) AS {q(c)}" for c, w in S.FIXED_COEF)
     base_value = " + ".join(f"{w!r} * m_{c}" for c, w in S.FIXED_COEF) + f" + {S.FIXED_INTERCEPT!r}"
     attr_test = f"SELECT customer_id, {phis}, round({base_value}, 6) AS base_value, round({margin}, 6) AS margin FROM split_assign, _means WHERE split = 'test'"
+    trials = "\n  UNION ALL ".join(
+        f"""SELECT {i} AS trial, CAST("default" AS INTEGER) AS y, round(1.0 / (1.0 + exp(-({' + '.join(f'{w!r} * CAST({q(c)} AS DOUBLE)' for c, w in coef)} + {b!r}))), 6) AS s
+  FROM split_assign WHERE split = 'val'""" for i, (coef, b) in enumerate(TRIAL_SCORERS))
+    wide = ", ".join(f"round({w!r} * (CAST({q(c)} AS DOUBLE) - avg(CAST({q(c)} AS DOUBLE)) FILTER (WHERE split = 'train') OVER ()), 6) AS {q(c)}" for c, w in WIDE_COEF)
+    wide_names = ", ".join(q(c) for c, _ in WIDE_COEF)
     hist_bin = bin_index_sql("value", "lo", "step", 40)
     return {
         "score_decisions": f"{base} SELECT customer_id, score AS default_proba, prediction FROM _test",
@@ -157,6 +187,25 @@ SELECT customer_id, round(1.0 / (1.0 + exp(-{margin})), 4) AS default_probabilit
        CAST(1.0 / (1.0 + exp(-{margin})) >= {THRESHOLD!r} AS INTEGER) AS prediction, CAST({THRESHOLD!r} AS DOUBLE) AS threshold
 FROM split_assign WHERE split = 'test'""",
         "linear_attribution": f"{base} {attr_test}",
+        # pairs of a positive and a negative row, and every score as a cut
+        "trial_metrics": f"""WITH {cp},\n{O.split_cte()},
+_s AS ({trials}),
+_auc AS (SELECT p.trial, avg(CASE WHEN p.s > n.s THEN 1.0 WHEN p.s = n.s THEN 0.5 ELSE 0.0 END) AS roc_auc
+         FROM _s p JOIN _s n ON p.trial = n.trial AND p.y = 1 AND n.y = 0 GROUP BY p.trial),
+_ap AS (SELECT trial, avg(prec) AS pr_auc FROM (
+          SELECT p.trial, avg(CAST(o.y AS DOUBLE)) AS prec FROM (SELECT *, row_number() OVER () AS i FROM _s WHERE y = 1) p
+          JOIN _s o ON o.trial = p.trial AND o.s >= p.s GROUP BY p.trial, p.i) GROUP BY trial),
+_c AS (SELECT trial, count(*) FILTER (WHERE s >= {THRESHOLD!r} AND y = 1) AS tp, count(*) FILTER (WHERE s >= {THRESHOLD!r} AND y = 0) AS fp,
+              count(*) FILTER (WHERE s < {THRESHOLD!r} AND y = 0) AS tn, count(*) FILTER (WHERE s < {THRESHOLD!r} AND y = 1) AS fn FROM _s GROUP BY trial)
+SELECT trial, round(roc_auc, 6) AS roc_auc, round(pr_auc, 6) AS pr_auc, round(coalesce(2.0 * tp / nullif(2.0 * tp + fp + fn, 0), 0.0), 6) AS f1,
+       round(CAST(tp + tn AS DOUBLE) / (tp + fp + tn + fn), 6) AS accuracy,
+       CAST(row_number() OVER (ORDER BY round(roc_auc, 6) DESC, trial) AS INTEGER) AS rank
+FROM _auc JOIN _ap USING (trial) JOIN _c USING (trial)""",
+        "top_drivers_wide": f"""WITH {cp},\n{O.split_cte()},
+_a AS (SELECT customer_id, split, {wide} FROM split_assign),
+_l AS (UNPIVOT (SELECT customer_id, {wide_names} FROM _a WHERE split = 'test') ON {wide_names} INTO NAME feature VALUE shap)
+SELECT * FROM (SELECT customer_id, feature, shap, CAST(row_number() OVER (PARTITION BY customer_id ORDER BY abs(shap) DESC, feature) AS INTEGER) AS rank FROM _l)
+WHERE rank <= 8""",
         "top_drivers": f"""{base},
 _a AS ({attr_test}),
 _l AS (UNPIVOT (SELECT customer_id, {', '.join(q(c) for c in FEATS)} FROM _a) ON {', '.join(q(c) for c in FEATS)} INTO NAME feature VALUE shap)
@@ -178,6 +227,8 @@ QUERIES = {
     "pr_auc": q_pr_auc,
     "confusion": q_confusion,
     "threshold_sweep": q_threshold_sweep,
+    "trial_metrics": q_trial_metrics,
+    "top_drivers_wide": q_top_drivers_wide,
     "align_features": q_align_features,
     "linear_attribution": q_linear_attribution,
     "top_drivers": q_top_drivers,

@@ -86,12 +86,10 @@ def drift_inputs(spark: SparkSession, sf_dir: str, params: Params = DEFAULTS):
 
 def drift_batches(spark: SparkSession, sf_dir: str, params: Params = DEFAULTS) -> DataFrame:
     """The test rows with a column ``batch``, once for each batch they belong to; one scan."""
-    from pyspark.sql import functions as F
+    from ..operators.split import whole_batches
 
     s = split_table(spark, sf_dir, params)
-    biased = F.col(params.drift.bias_column) >= F.lit(bias_threshold(spark, sf_dir, params))
-    of = F.when(biased, F.array(F.lit("clean"), F.lit("drifted"))).otherwise(F.array(F.lit("clean")))
-    return s.filter(s.split == "test").withColumn("batch", F.explode(of))
+    return whole_batches(s.filter(s.split == "test"), bias_threshold(spark, sf_dir, params), params.drift)
 
 
 def reference_counts(spark: SparkSession, sf_dir: str, params: Params = DEFAULTS) -> DataFrame:

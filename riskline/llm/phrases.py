@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import byte_slices, checkpointed
 
 MAX_BITS = 1 << 28
 BITS_A_KEY = 32
@@ -48,6 +48,8 @@ BITS_A_KEY = 32
 FLUSH_TOKENS = 2_000_000
 KNOWN_WORDS = 400_000
 EMIT_ROWS = 20_000
+#: Work ahead: phrases also grow whose bound reaches the score of this many times the limit.
+AHEAD = 4
 SCALE = 2_000_000
 #: Capitals become small letters, piece ends line feeds, tabs blanks.
 _PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 9 + b" ")
@@ -128,7 +130,8 @@ def _texts(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
 def _batches(batches: Iterator[pa.RecordBatch], count) -> Iterator[pa.RecordBatch]:
     """Word numbers of the texts by language, handed to ``count(lang, words, numbers, times)`` from time to time.
 
-    times tells how often the text of each number counts: a third column of the batch, else one.
+    times tells how often the text of each number counts: a third column of the batch, whose texts are
+    single pieces then, else one.
     ``count`` yields pairs of counts and a function that gives the phrases of a slice of them.
     """
     words, held, size = Words(), {}, 0
@@ -137,9 +140,8 @@ def _batches(batches: Iterator[pa.RecordBatch], count) -> Iterator[pa.RecordBatc
     def flushed() -> Iterator[pa.RecordBatch]:
         for lang in list(held):
             arrays, times = held.pop(lang)
-            numbers = np.concatenate([end, *[x for a in arrays for x in (a, end)]])
-            each = np.repeat(np.array([1, *times], dtype=np.int64), [1, *[len(a) + 1 for a in arrays]])
-            del arrays
+            numbers, each = np.concatenate([end, *arrays]), np.concatenate([[1], *times])
+            del arrays, times
             for n, phrases in count(lang, words, numbers, each):
                 for a in range(0, len(n), EMIT_ROWS):
                     part = phrases(slice(a, a + EMIT_ROWS))
@@ -148,13 +150,23 @@ def _batches(batches: Iterator[pa.RecordBatch], count) -> Iterator[pa.RecordBatc
                         names=["lang", "phrase", "f"])
 
     for batch in batches:
-        often = batch.column(2).to_pylist() if batch.num_columns > 2 else [1] * batch.num_rows
-        for lang, text, n in zip(batch.column(0).to_pylist(), batch.column(1), often, strict=True):
-            got = words.numbers(text.as_py())
-            arrays, times = held.setdefault(lang, ([], []))
-            arrays.append(got)
-            times.append(n)
-            size += len(got)
+        for at, rows in byte_slices(batch.column(1), 1 << 20):
+            part = batch.slice(at, rows)
+            by_lang: dict[str, list[int]] = {}
+            for i, lang in enumerate(part.column(0).to_pylist()):
+                by_lang.setdefault(lang, []).append(i)
+            texts = part.column(1).to_pylist()
+            often = part.column(2).to_numpy() if part.num_columns > 2 else None
+            for lang, which in by_lang.items():
+                # a text ends a piece, so many go as one
+                got = words.numbers(b"\n".join([texts[i] for i in which]) + b"\n")
+                arrays, times = held.setdefault(lang, ([], []))
+                arrays.append(got)
+                if often is None:
+                    times.append(np.ones(len(got), dtype=np.int64))
+                else:  # counted rows are single pieces
+                    times.append(np.repeat(often[which], np.diff(np.flatnonzero(got == _END), prepend=-1)))
+                size += len(got)
             if size > FLUSH_TOKENS:
                 yield from flushed()
                 size = 0
@@ -329,10 +341,10 @@ def mine(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", least:
 
     while True:
         everything = _union(candidates)
-        best = _ranked(_standing(everything), 2 * limit)
+        best = _ranked(_standing(everything), AHEAD * limit)
         lowest = checkpointed(best.groupBy("lang").agg(
             F.max(F.when(F.col("rank") == limit, F.col("score"))).alias("must"),
-            F.max(F.when(F.col("rank") == 2 * limit, F.col("score"))).alias("may")))
+            F.max(F.when(F.col("rank") == AHEAD * limit, F.col("score"))).alias("may")))
         frontier = everything.where("words < 4").select("lang", "phrase", "words", "bound")
         if grown:
             frontier = frontier.join(_union(grown), ["lang", "phrase"], "left_anti")

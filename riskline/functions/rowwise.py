@@ -1,9 +1,6 @@
 """Row-wise (horizontal) column expressions; all stay inside Catalyst/codegen."""
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,43 +9,6 @@ def col(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def row_max(cols: Sequence[str]) -> Column:
-    """Largest non-null value (greatest skips nulls)."""
-    return F.greatest(*[col(c) for c in cols])
-
-
-def row_sum(cols: Sequence[str]) -> Column:
-    """Sum of the values, nulls counted as 0 (pandas ``sum(axis=1)``)."""
-    return reduce(lambda a, b: a + b, [F.coalesce(col(c), F.lit(0)) for c in cols])
-
-
-def row_count_nonnull(cols: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a + b, [col(c).isNotNull().cast("int") for c in cols])
-
-
-def row_mean(cols: Sequence[str]) -> Column:
-    """Mean of the non-null values (pandas ``mean(axis=1)``); null when all are null."""
-    return F.try_divide(row_sum(cols).cast("double"), row_count_nonnull(cols).cast("double"))
-
-
-def row_count_where(cols: Sequence[str], pred) -> Column:
-    return reduce(lambda a, b: a + b, [F.coalesce(pred(col(c)).cast("int"), F.lit(0)) for c in cols])
-
-
-def row_any(preds: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a | b, preds)
-
-
-def guarded_ratio(num: Column, den: Column) -> Column:
-    """num / den with +-inf and NaN/null mapped to 0."""
-    r = F.try_divide(num.cast("double"), den.cast("double"))
-    return F.when(r.isNull() | F.isnan(r) | (F.abs(r) == F.lit(float("inf"))), F.lit(0.0)).otherwise(r)
-
-
-def clip(c: Column, lo: float, hi: float) -> Column:
-    return F.greatest(F.lit(lo), F.least(F.lit(hi), c))
-
-
 def clean_text(c: Column) -> Column:
     """Strip ANSI colour codes, collapse whitespace, replace non-ASCII with '?' (P16)."""
     no_ansi = F.regexp_replace(c, "\u001b\\[[0-9;]*m", "")

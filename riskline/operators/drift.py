@@ -409,17 +409,45 @@ def ks_exact_pvalue(d: float, n1: int, n2: int) -> float:
     return float(min(1.0, max(0.0, 1.0 - math.exp(log_inside))))
 
 
-def ks_pvalue_auto(ks: DataFrame) -> DataFrame:
-    """Adds ``ks_pvalue_exact`` (exact law when max(n_ref, n_cur) <= 10,000, else the
-    asymptotic column) and ``ks_method``. Runs as a pandas UDF over the aggregated
-    (batch, feature) rows - one row per feature and batch, never per data row."""
+def ks_pvalue_by(ks: DataFrame, law: str = "by size", exact_up_to: int = EXACT_MAX_N) -> DataFrame:
+    """Adds ``ks_pvalue_exact`` and ``ks_method`` by the law asked for: "exact", "asymptotic", or
+    "by size", the configured habit of taking the exact law while both samples have at most
+    ``exact_up_to`` rows. Runs as a pandas UDF over the aggregated (batch, feature) rows - one row
+    per feature and batch, never per data row; exact counting takes time in n_ref * n_cur."""
+    if law not in ("exact", "asymptotic", "by size"):
+        raise ValueError(f"{law!r} is no law of the KS statistic")
 
     @F.pandas_udf("double")
-    def exact(d: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
-        # rows above the size limit keep the asymptotic value: do not count paths for them
-        return pd.Series([ks_exact_pvalue(float(a), int(b), int(c)) if max(int(b), int(c)) <= EXACT_MAX_N else float("nan")
-                          for a, b, c in zip(d, n1, n2)])
-
-    small = F.greatest(F.col("n_ref"), F.col("n_cur")) <= F.lit(EXACT_MAX_N)
-    return ks.withColumn("ks_method", F.when(small, F.lit("exact")).otherwise(F.lit("asymptotic"))).withColumn(
-        "ks_pvalue_exact", F.when(small, exact("ks_stat", "n_ref", "n_cur")).otherwise(F.col("ks_pvalue")))
+    def exact(d: pd.Series, n1: pd.Series, n2: pd.Series, wanted: pd.Series) -> pd.Series:
+        # paths are counted for the rows that want it only
+        return pd.Series([ks_exact_pvalue(float(a), int(b), int(c)) if w else float("nan")
+                          for a, b, c, w in zip(d, n1, n2, wanted, strict=True)])
+
+    small = F.greatest(F.col("n_ref"), F.col("n_cur")) <= F.lit(exact_up_to)
+    by_exact = {"exact": F.lit(True), "asymptotic": F.lit(False), "by size": small}[law]
+    return ks.withColumn("ks_method", F.when(by_exact, F.lit("exact")).otherwise(F.lit("asymptotic"))).withColumn(
+        "ks_pvalue_exact", F.when(by_exact, exact("ks_stat", "n_ref", "n_cur", by_exact)).otherwise(F.col("ks_pvalue")))
+
+
+def ks_pvalue_auto(ks: DataFrame) -> DataFrame:
+    """``ks_pvalue_by`` size."""
+    return ks_pvalue_by(ks, "by size")
+
+
+# ------------------------------------------------------------------ verdict
+def drift_verdict(summary: DataFrame, pca: DataFrame, params: DriftParams = DriftParams()) -> DataFrame:
+    """Per batch: verdict text, PCA state word, top list, thresholds, retrain flag. ``pca`` has one
+    row per batch (batch, pca_recon_ratio, multivariate_drift)."""
+    j = summary.join(F.broadcast(pca.select("batch", "pca_recon_ratio", "multivariate_drift")), "batch")
+    n = F.col("n_features_drifted")
+    any_drift = (n > 0) | F.col("multivariate_drift")
+    return j.select(
+        "batch", "n_features_drifted", "n_features", "share_drifted", "pca_recon_ratio", "multivariate_drift",
+        F.when(n == 0, F.lit("NO DRIFT")).otherwise(F.concat(n.cast("string"), F.lit(" features drifted"))).alias("verdict"),
+        F.when(F.col("multivariate_drift"), F.lit("drift")).otherwise(F.lit("stable")).alias("pca_state"),
+        F.when(F.col("top_drifted") == "", F.lit("-")).otherwise(F.col("top_drifted")).alias("top_drifted"),
+        F.lit(params.psi_threshold).alias("psi_threshold"),
+        F.lit(params.pca_drift_ratio).alias("pca_drift_ratio_threshold"),
+        any_drift.alias("drift_detected"),
+        (any_drift & F.lit(params.trigger_retrain_on_drift)).alias("retrain"),
+    )

@@ -1,6 +1,8 @@
 """Queries for split, samples, baseline and drift, with their DuckDB oracle SQL."""
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -124,33 +126,25 @@ def q_pca_recon(spark: SparkSession, sf: str) -> DataFrame:
 PAIR = ["BILL_AMT1", "BILL_AMT2"]
 
 
+def _pca_pair(spark: SparkSession, sf: str) -> DataFrame:
+    reference, _, clean, drifted = drift_inputs(spark, sf)
+    return D.pca_recon(reference, {"clean": clean, "drifted": drifted}, PAIR, replace(P, pca_components=1))
+
+
 def q_pca_recon_pair(spark: SparkSession, sf: str) -> DataFrame:
     """D6 on two correlated features with one component: the same moments-only code path as
     the wide case, small enough for a closed-form SQL check (eigenvalues 1 +- |r|)."""
-    from dataclasses import replace
-
-    reference, _, clean, drifted = drift_inputs(spark, sf)
-    out = D.pca_recon(reference, {"clean": clean, "drifted": drifted}, PAIR, replace(P, pca_components=1))
-    return out.select("batch", "n_components", "reference_error", "current_error", "pca_recon_ratio")
+    return _pca_pair(spark, sf).select("batch", "n_components", "reference_error", "current_error", "pca_recon_ratio")
 
 
 def q_drift_verdict(spark: SparkSession, sf: str) -> DataFrame:
-    """Per batch verdict text, PCA state word, top list, thresholds, retrain flag."""
-    summ = D.batch_summary(_feature_table(spark, sf))
-    pca = _pca(spark, sf)
-    j = summ.join(F.broadcast(pca.select("batch", "pca_recon_ratio", "multivariate_drift")), "batch")
-    n = F.col("n_features_drifted")
-    any_drift = (n > 0) | F.col("multivariate_drift")
-    return j.select(
-        "batch", "n_features_drifted", "n_features", "share_drifted", "pca_recon_ratio", "multivariate_drift",
-        F.when(n == 0, F.lit("NO DRIFT")).otherwise(F.concat(n.cast("string"), F.lit(" features drifted"))).alias("verdict"),
-        F.when(F.col("multivariate_drift"), F.lit("drift")).otherwise(F.lit("stable")).alias("pca_state"),
-        F.when(F.col("top_drifted") == "", F.lit("-")).otherwise(F.col("top_drifted")).alias("top_drifted"),
-        F.lit(P.psi_threshold).alias("psi_threshold"),
-        F.lit(P.pca_drift_ratio).alias("pca_drift_ratio_threshold"),
-        any_drift.alias("drift_detected"),
-        (any_drift & F.lit(P.trigger_retrain_on_drift)).alias("retrain"),
-    )
+    """The verdict on both batches, over the PCA of all features."""
+    return D.drift_verdict(D.batch_summary(_feature_table(spark, sf)), _pca(spark, sf), P)
+
+
+def q_drift_verdict_pair(spark: SparkSession, sf: str) -> DataFrame:
+    """The same verdict over the PCA of the pair, with retraining on drift."""
+    return D.drift_verdict(D.batch_summary(_feature_table(spark, sf)), _pca_pair(spark, sf), replace(P, trigger_retrain_on_drift=True))
 
 
 # ---------------------------------------------------------------- oracle side
@@ -253,12 +247,30 @@ _s AS (SELECT batch, r, 1.0 - abs(r) AS err_ref,
               vb / (sb * sb) + ((cb - mb) / sb) * ((cb - mb) / sb) AS s22,
               cab / (sa * sb) + ((ca - ma) / sa) * ((cb - mb) / sb) AS s12
        FROM _c, _r)
+PAIR_SELECT
 SELECT batch, 1 AS n_components, round(err_ref, 6) AS reference_error,
        round((s11 + s22 - 2.0 * sign(r) * s12) / 2.0, 6) AS current_error,
        round(((s11 + s22 - 2.0 * sign(r) * s12) / 2.0) / err_ref, 3) AS pca_recon_ratio
 FROM _s"""
+    summary = """SELECT batch, count(*) FILTER (WHERE drift) AS n_features_drifted, count(*) AS n_features,
+       round(CAST(count(*) FILTER (WHERE drift) AS DOUBLE) / count(*), 3) AS share_drifted,
+       coalesce(array_to_string(list(feature ORDER BY rank) FILTER (WHERE drift AND rank IS NOT NULL)[1:5], ', '), '') AS top_drifted
+FROM feature_table GROUP BY batch"""
+    ctes, selected = pair.split("PAIR_SELECT")
+    verdict = f"""{ctes.rstrip()},
+_p AS ({selected}),
+_b AS ({summary}),
+_j AS (SELECT _b.*, pca_recon_ratio, pca_recon_ratio >= {P.pca_drift_ratio!r} AS multivariate_drift FROM _b JOIN _p ON _b.batch = _p.batch)
+SELECT batch, n_features_drifted, n_features, share_drifted, pca_recon_ratio, multivariate_drift,
+       CASE WHEN n_features_drifted = 0 THEN 'NO DRIFT' ELSE n_features_drifted || ' features drifted' END AS verdict,
+       CASE WHEN multivariate_drift THEN 'drift' ELSE 'stable' END AS pca_state,
+       CASE WHEN top_drifted = '' THEN '-' ELSE top_drifted END AS top_drifted,
+       CAST({P.psi_threshold!r} AS DOUBLE) AS psi_threshold, CAST({P.pca_drift_ratio!r} AS DOUBLE) AS pca_drift_ratio_threshold,
+       n_features_drifted > 0 OR multivariate_drift AS drift_detected, n_features_drifted > 0 OR multivariate_drift AS retrain
+FROM _j"""
     return {
-        "pca_recon_pair": pair,
+        "pca_recon_pair": ctes + selected,
+        "drift_verdict_pair": verdict,
         "split_assign": f'{split} SELECT customer_id, "default", split FROM split_assign',
         "split_balance": f"""{split}
 SELECT split, count(*) AS n_rows, CAST(sum("default") AS BIGINT) AS n_pos,
@@ -299,4 +311,5 @@ QUERIES = {
     "pca_recon": q_pca_recon,
     "pca_recon_pair": q_pca_recon_pair,
     "drift_verdict": q_drift_verdict,
+    "drift_verdict_pair": q_drift_verdict_pair,
 }

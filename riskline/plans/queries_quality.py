@@ -9,7 +9,8 @@ from ..operators.clean import clean_with_order
 from ..params import CLEAN_COLS, DEFAULTS, RAW_COLS
 from ..sources.credit import credit_profile, credit_profile_dirty
 from . import oracle_base as O
-from .stages import cleaned, features
+from ..sources.tables import read_raw_csv, write_csv
+from .stages import cleaned, features, layer_folder
 
 
 # ---------------------------------------------------------------- spark side
@@ -21,6 +22,13 @@ def q_credit_profile_dirty(spark: SparkSession, sf: str) -> DataFrame:
     return credit_profile_dirty(spark, sf)
 
 
+def q_credit_profile_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """The raw layer as CSV with a header, scanned with the explicit raw schema."""
+    path = layer_folder(spark, sf, "raw_csv")
+    write_csv(credit_profile(spark, sf).select(*[F.col(f"`{c}`") for c in RAW_COLS]), path)
+    return read_raw_csv(spark, path)
+
+
 def q_quality_report(spark: SparkSession, sf: str) -> DataFrame:
     return Q.validate(credit_profile_dirty(spark, sf), DEFAULTS.quality)
 
@@ -98,6 +106,7 @@ def oracles() -> dict[str, str]:
     dirty = cp + ",\n" + O.dirty_cte()
     clean_cols = ", ".join(f'"{c}"' for c in CLEAN_COLS)
     return {
+        "credit_profile_csv": f"WITH {cp} SELECT * FROM credit_profile",
         "credit_profile": f"WITH {cp} SELECT * FROM credit_profile",
         "credit_profile_dirty": f"WITH {dirty} SELECT * FROM credit_profile_dirty",
         "quality_report": f"WITH {dirty} {_report_sql('credit_profile_dirty', RAW_COLS)}",
@@ -122,6 +131,7 @@ SELECT CAST(n_before AS BIGINT) AS n_before, CAST(n_after AS BIGINT) AS n_after,
 
 QUERIES = {
     "credit_profile": q_credit_profile,
+    "credit_profile_csv": q_credit_profile_csv,
     "credit_profile_dirty": q_credit_profile_dirty,
     "quality_report": q_quality_report,
     "quality_summary": q_quality_summary,

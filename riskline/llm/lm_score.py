@@ -1,8 +1,9 @@
 """LM scoring with a log-frequency Bloom filter.
 
 Counting: tasks hash words and word pairs of the training texts (64 bits), sum them up
-locally and send them as packed blocks to groups by hash; each group has all occurrences of
-its n-grams and so their exact counts. The count c of an n-gram is quantised to a level, 1 +
+locally and send them packed to the blocks that their hashes give, pairs by 32 bits within a
+block (a block has less than 2**17 of them: an error far below the filter's own); each block
+has all occurrences of its n-grams and so their counts, exact for words. The count c of an n-gram is quantised to a level, 1 +
 floor(steps * log2(c)) (4 steps for words, 1 for pairs), and the n-gram is put into the
 filter once for each level up to it. The filter is cut into blocks of 2**20 bits by the
 n-gram's hash, so groups fill it independently. The number of blocks follows the counted
@@ -11,8 +12,10 @@ tokens and entries without a ceiling: there are at least ``BITS_AN_ENTRY`` bits
 
 Scoring: an n-gram's level is found by probing 1, 2, ... until a probe misses. A filter of at
 most ``BROADCAST_BITS`` (64 MB) goes to all workers. A larger one stays a table of blocks:
-slices of texts (about ``GROUP_TOKENS`` tokens) send their distinct n-grams to the blocks and
-get the levels back; the driver sees no block, and both ways give the same scores. With the
+texts are dealt once to slices by a hash of id and text, a slice sends its distinct n-grams to
+the blocks and gets a byte for each back, in order; no text is written to the shared folder, the
+driver sees no block, and both ways give the same scores. Rows with the same id and text are
+one row with a count within each Arrow batch, so many of them do not fill a slice. With the
 counts f read so, p(w | v) = PAIR * f(vw) / f(v) + (1 - PAIR) * (f(w) + 0.1) / (N + 0.1 (V + 1)).
 
 Base score: exact counts. Those of the ``TOP_WORDS`` most frequent training tokens go to all
@@ -37,6 +40,8 @@ from pyspark.sql.pandas.types import to_arrow_type
 from .common import SPACE, byte_slices, checkpointed, text_or_empty
 
 BLOCK_BITS = 20
+#: Neighbouring blocks that a task fills or probes together.
+SPAN = 8
 BROADCAST_BITS = 1 << 29
 BITS_A_TOKEN = 6
 BITS_AN_ENTRY = 8
@@ -45,6 +50,7 @@ WORD_STEPS, PAIR_STEPS = 4, 1
 PAIR = 0.25
 TOP_WORDS = 200_000
 GROUP_TOKENS = 1 << 21
+BYTES_A_TOKEN = 6
 CACHE_WORDS = 300_000
 ADD = 0.1
 START, END = np.uint64(0x5DEECE66D1CE4E5B), np.uint64(0x2545F4914F6CDD1D)
@@ -101,25 +107,33 @@ def counts_of(levels: np.ndarray, steps: int) -> np.ndarray:
     return np.where(levels <= 1, levels, 2.0 ** ((levels - 0.5) / steps))
 
 
+def within(keys: np.ndarray) -> np.ndarray:
+    """What tells keys of one block apart: the low 32 bits."""
+    return keys & np.uint64(0xFFFFFFFF)
+
+
 def _bits(keys: np.ndarray, level: int, probe: int) -> np.ndarray:
+    """Places in the block; ``keys`` are those within it."""
     x = keys + np.uint64((level * 0xA24BAED4963EE407 + probe * 0x9FB21C651E98DF25) & (2**64 - 1))
     return (_mixed(x) & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.int64)
 
 
 def probed(keys: np.ndarray, filter_bytes: np.ndarray, blocks: int) -> np.ndarray:
     """Level of each key: probe upwards until one misses."""
+    return _probed(within(keys), block_of(keys, blocks), filter_bytes)
+
+
+def _probed(keys: np.ndarray, block: np.ndarray, filter_bytes: np.ndarray) -> np.ndarray:
     level = np.zeros(len(keys), np.int64)
     alive = np.arange(len(keys))
-    base = block_of(keys, blocks) << BLOCK_BITS
-    j = 1
-    while len(alive):
+    base = block << BLOCK_BITS
+    for j in range(1, 64 * WORD_STEPS):
         for i in range(PROBES):
             at = base[alive] + _bits(keys[alive], j, i)
             alive = alive[(filter_bytes[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
-        level[alive] = j
-        j += 1
-        if j > 64 * WORD_STEPS:
+        if not len(alive):
             break
+        level[alive] = j
     return level
 
 
@@ -129,28 +143,59 @@ def block_of(keys: np.ndarray, blocks: int) -> np.ndarray:
     return (keys >> np.uint64(shift)).astype(np.int64) if shift < 64 else np.zeros(len(keys), np.int64)
 
 
+def _packed(keys: np.ndarray, blocks: int) -> Iterator[tuple[int, int, int, bytes]]:
+    """(span, from, to, sizes) of sorted keys: those of a span of blocks stand together; sizes: how many each of its blocks has."""
+    ends = np.searchsorted(block_of(keys, blocks), np.arange(-(-blocks // SPAN) * SPAN), side="right")
+    sizes = np.diff(ends, prepend=0).astype(np.uint32).reshape(-1, SPAN)
+    bounds = np.concatenate([[0], ends[SPAN - 1::SPAN]])
+    for span in np.flatnonzero(np.diff(bounds)):
+        yield int(span), int(bounds[span]), int(bounds[span + 1]), sizes[span].tobytes()
+
+
+def _unpacked(found: bytes, sizes: bytes) -> np.ndarray:
+    """Block in the span (high half) and key within the block (low half)."""
+    block = np.repeat(np.arange(SPAN, dtype=np.uint64), np.frombuffer(sizes, np.uint32))
+    return (block << np.uint64(32)) | np.frombuffer(found, np.uint32)
+
+
 def _counted(blocks: int, subs: int):
-    """Tasks: (group, kind, packed keys, packed counts); for words the hashes themselves, since the count table needs them."""
+    """Tasks: (group, kind, packed keys, their sizes by block, packed counts).
+
+    Kinds: words (their hashes, since the count table needs them), pairs met once (no counts), other pairs.
+    """
+    spans = -(-blocks // SPAN)
 
     def send(h: list[np.ndarray], pairs: list[np.ndarray]) -> pa.RecordBatch:
-        group, kind, keys, counts = [], [], [], []
-        for k, arrays in enumerate((h, pairs)):
-            found, n = np.unique(np.concatenate(arrays), return_counts=True)
-            key = word_keys(found) if k == 0 else found
-            to = block_of(key, blocks) * subs + ((key >> np.uint64(8)) % np.uint64(subs)).astype(np.int64)
-            order = np.argsort(to, kind="stable")
-            to, found, n = to[order], found[order], n[order]
-            cut = np.flatnonzero(np.diff(to)) + 1
-            for lo, hi in zip([0, *cut], [*cut, len(to)], strict=True):
-                if hi > lo:
-                    group.append(int(to[lo]))
-                    kind.append(k)
-                    keys.append(found[lo:hi].tobytes())
-                    # most counts are 1: send how many, then the rest only where all fit a byte
-                    small = n[lo:hi].max() < 256
-                    counts.append(b"\1" + n[lo:hi].astype(np.uint8).tobytes() if small else b"\4" + n[lo:hi].astype(np.uint32).tobytes())
+        group, kind, keys, sizes, counts = [], [], [], [], []
+
+        def add(grp: int, k: int, found: np.ndarray, size: bytes, n: np.ndarray | None) -> None:
+            group.append(grp)
+            kind.append(k)
+            keys.append(found.tobytes())
+            sizes.append(size)
+            small = n is not None and n.max() < 256
+            counts.append(None if n is None else b"\1" + n.astype(np.uint8).tobytes() if small else b"\4" + n.astype(np.uint32).tobytes())
+
+        found, n = np.unique(np.concatenate(h), return_counts=True)
+        key = word_keys(found)
+        to = block_of(key, blocks) // SPAN * subs + ((key >> np.uint64(8)) % np.uint64(subs)).astype(np.int64)
+        order = np.argsort(to, kind="stable")
+        to, found, n = to[order], found[order], n[order]
+        cut = np.flatnonzero(np.diff(to)) + 1
+        for lo, hi in zip([0, *cut], [*cut, len(to)], strict=True):
+            if hi > lo:
+                add(int(to[lo]), 0, found[lo:hi], b"", n[lo:hi])
+        found, n = np.unique(np.concatenate(pairs), return_counts=True)
+        for k, chosen in ((1, n == 1), (2, n > 1)):
+            for sub in range(subs):
+                mine = chosen if subs == 1 else chosen & ((found >> np.uint64(8)) % np.uint64(subs) == sub)
+                some, times = found[mine], n[mine]
+                for span, lo, hi, size in _packed(some, blocks):
+                    add(span * subs + sub, k, within(some[lo:hi]).astype(np.uint32), size, times[lo:hi] if k == 2 else None)
+        assert not group or max(group) < spans * subs
         return pa.RecordBatch.from_arrays([pa.array(group, pa.int64()), pa.array(kind, pa.int32()), pa.array(keys, pa.binary()),
-                                           pa.array(counts, pa.binary())], names=["grp", "kind", "found", "n"])
+                                           pa.array(sizes, pa.binary()), pa.array(counts, pa.binary())],
+                                          names=["grp", "kind", "found", "sizes", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h, pairs, held = [], [], 0
@@ -169,31 +214,51 @@ def _counted(blocks: int, subs: int):
     return count
 
 
-def _summed(found: list[bytes], n: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.concatenate([np.frombuffer(x, np.uint64) for x in found]) if found else np.empty(0, np.uint64)
-    counts = np.concatenate([np.frombuffer(x, np.uint8 if x[0] == 1 else np.uint32, offset=1) if x[0] == 1
-                             else np.frombuffer(x[1:], np.uint32) for x in n]).astype(np.int64) if n else np.empty(0, np.int64)
-    keys, where = np.unique(keys, return_inverse=True)
-    return keys, np.bincount(where, weights=counts, minlength=len(keys)).astype(np.int64)
-
-
-def _filled(subs: int):
-    def fill(pdf: pd.DataFrame) -> pd.DataFrame:
-        bits = np.zeros(1 << BLOCK_BITS, dtype=np.uint8)
-        words, counts, entries = np.empty(0, np.uint64), np.empty(0, np.int64), 0
-        for kind, steps in ((0, WORD_STEPS), (1, PAIR_STEPS)):
-            some = pdf[pdf["kind"] == kind]
-            keys, n = _summed(list(some["found"]), list(some["n"]))
-            if kind == 0:
-                words, counts, keys = keys, n, word_keys(keys)
-            level = levels_of(n, steps)
+def _times(n: bytes | None, size: int) -> np.ndarray:
+    if n is None:
+        return np.ones(size, np.uint32)
+    return np.frombuffer(n, np.uint8, offset=1).astype(np.uint32) if n[0] == 1 else np.frombuffer(n[1:], np.uint32)
+
+
+def _summed(keys: list[np.ndarray], times: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    if not keys:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    found, where = np.unique(np.concatenate(keys), return_inverse=True)
+    return found, np.bincount(where, weights=np.concatenate(times), minlength=len(found)).astype(np.int64)
+
+
+def _filled(blocks: int, subs: int):
+    def fill(asked: pa.Table) -> pa.Table:
+        span = asked.column("grp")[0].as_py() // subs
+        rows = [asked.column(c).to_pylist() for c in ("kind", "found", "sizes", "n")]
+        keys: tuple[list, list] = ([], [])
+        times: tuple[list, list] = ([], [])
+        for kind, found, sizes, n in zip(*rows, strict=True):
+            found = np.frombuffer(found, np.uint64) if kind == 0 else _unpacked(found, sizes)
+            keys[kind > 0].append(found)
+            times[kind > 0].append(_times(n, len(found)))
+        here = min(SPAN, blocks)
+        bits = np.zeros(here << BLOCK_BITS, dtype=np.uint8)
+        words, counts = _summed(keys[0], times[0])
+        both, n = _summed(keys[1], times[1])
+        word = word_keys(words)
+        entries = 0
+        for block, key, c, steps in ((block_of(word, blocks) % SPAN, within(word), counts, WORD_STEPS),
+                                     ((both >> np.uint64(32)).astype(np.int64), within(both), n, PAIR_STEPS)):
+            level = levels_of(c, steps)
             entries += int(level.sum())
             for j in range(1, int(level.max()) + 1 if len(level) else 1):
-                held = keys[level >= j]
+                in_it = level >= j
+                held, base = key[in_it], block[in_it] << BLOCK_BITS
                 for i in range(PROBES):
-                    bits[_bits(held, j, i)] = 1
-        return pd.DataFrame({"block": [int(pdf["grp"].iloc[0]) // subs], "bits": [np.packbits(bits, bitorder="little").tobytes()],
-                             "words": [words.view(np.int64)], "counts": [counts], "entries": [entries]})
+                    bits[base + _bits(held, j, i)] = 1
+        packed = np.packbits(bits, bitorder="little").reshape(here, -1)
+        none = np.empty(0, np.int64)
+        return pa.table({"block": pa.array([span * SPAN + i for i in range(here)], pa.int64()),
+                         "bits": pa.array([x.tobytes() for x in packed], pa.binary()),
+                         "words": pa.array([words.view(np.int64)] + [none] * (here - 1), pa.list_(pa.int64())),
+                         "counts": pa.array([counts] + [none] * (here - 1), pa.list_(pa.int64())),
+                         "entries": pa.array([entries] + [0] * (here - 1), pa.int64())})
 
     return fill
 
@@ -215,10 +280,10 @@ def built(texts: DataFrame, broadcast_bits: int = BROADCAST_BITS) -> tuple[DataF
     tokens = texts.agg(F.sum(n_words + 1)).first()[0] or 0
     blocks = _blocks_for(BITS_A_TOKEN * tokens)
     while True:
-        subs = max(1, -(-tokens // (blocks * GROUP_TOKENS)))
-        counted = texts.select("text").mapInArrow(_counted(blocks, subs), "grp bigint, kind int, found binary, n binary")
-        done = checkpointed(counted.groupBy("grp").applyInPandas(
-            _filled(subs), "block bigint, bits binary, words array<bigint>, counts array<bigint>, entries bigint"))
+        subs = max(1, -(-tokens * min(SPAN, blocks) // (blocks * GROUP_TOKENS)))
+        counted = texts.select("text").mapInArrow(_counted(blocks, subs), "grp bigint, kind int, found binary, sizes binary, n binary")
+        done = checkpointed(counted.groupBy("grp").applyInArrow(
+            _filled(blocks, subs), "block bigint, bits binary, words array<bigint>, counts array<bigint>, entries bigint"))
         # mostly new words: more entries than tokens; they are known now, so the second turn is the last
         need = _blocks_for(BITS_AN_ENTRY * (done.agg(F.sum("entries")).first()[0] or 0))
         if need <= blocks:
@@ -256,56 +321,57 @@ def _distinct(h: list[np.ndarray], pairs: list[np.ndarray]) -> tuple[np.ndarray,
     return np.sort(word_keys(np.unique(np.concatenate(h)))), np.unique(np.concatenate(pairs))
 
 
-def _requests(blocks: int, id_type: pa.DataType):
-    """Tasks: the texts with their slice (block -1), and the slice's distinct n-grams packed by block."""
-    schema = pa.schema([("slice", pa.int64()), ("block", pa.int64()), ("kind", pa.int32()), ("found", pa.binary()),
-                        ("doc_id", id_type), ("held_out", pa.bool_()), ("text", pa.string())])
+def _collapsed(id_type: pa.DataType):
+    """Tasks: rows of a batch with the same id and text as one row and their number."""
+    schema = pa.schema([("slice", pa.int64()), ("doc_id", id_type), ("held_out", pa.bool_()), ("text", pa.string()), ("times", pa.int64())])
+
+    def collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = pa.Table.from_batches([batch]).group_by(batch.schema.names, use_threads=False).aggregate([([], "count_all")])
+            yield from pa.Table.from_arrays([rows.column(c).cast(t) for c, t in zip(
+                ["slice", "doc_id", "held_out", "text", "count_all"], schema.types, strict=True)], schema=schema).to_batches()
+
+    return collapse
+
 
-    def asked(at: int, h: list[np.ndarray], pairs: list[np.ndarray]) -> pa.RecordBatch:
-        block, kind, keys = [], [], []
+def _requests(blocks: int):
+    """The distinct n-grams of a slice, packed by span of blocks."""
+
+    def asked(rows: pa.Table) -> pa.Table:
+        h, pairs = [], []
+        for part in _parts(rows):
+            tokens, starts = token_hashes(part.column(2).to_pylist())
+            h.append(np.unique(tokens))
+            pairs.append(np.unique(pair_keys(tokens, starts)))
+        span, kind, keys, sizes = [], [], [], []
         for k, found in enumerate(_distinct(h, pairs)):
-            to = block_of(found, blocks)  # the top bits: in order
-            cut = np.flatnonzero(np.diff(to)) + 1
-            for lo, hi in zip([0, *cut], [*cut, len(to)], strict=True):
-                block.append(int(to[lo]))
+            for at, lo, hi, size in _packed(found, blocks):
+                span.append(at)
                 kind.append(k)
-                keys.append(found[lo:hi].tobytes())
-        n = len(block)
-        return pa.RecordBatch.from_arrays([pa.array([at] * n, pa.int64()), pa.array(block, pa.int64()), pa.array(kind, pa.int32()),
-                                           pa.array(keys, pa.binary()), pa.nulls(n, id_type), pa.nulls(n, pa.bool_()),
-                                           pa.nulls(n, pa.string())], schema=schema)
+                keys.append(within(found[lo:hi]).astype(np.uint32).tobytes())
+                sizes.append(size)
+        return pa.table({"slice": pa.array([rows.column("slice")[0].as_py()] * len(span), pa.int64()), "span": pa.array(span, pa.int64()),
+                         "kind": pa.array(kind, pa.int32()), "found": pa.array(keys, pa.binary()), "sizes": pa.array(sizes, pa.binary())})
 
-    def request(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
+    return asked
 
-        at, h, pairs, held = TaskContext.get().partitionId() << 32, [], [], 0
-        for batch in batches:
-            for lo, n in byte_slices(batch.column(2), 1 << 20):
-                rows = batch.slice(lo, n)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(n, at)), pa.array(np.full(n, -1)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()),
-                    *[rows.column(i).cast(schema.field(4 + i).type) for i in range(3)]], schema=schema)
-                tokens, starts = token_hashes(rows.column(2).to_pylist())
-                h.append(np.unique(tokens))
-                pairs.append(np.unique(pair_keys(tokens, starts)))
-                held += len(tokens)
-                if held >= GROUP_TOKENS:
-                    yield asked(at, h, pairs)
-                    at, h, pairs, held = at + 1, [], [], 0
-        if held:
-            yield asked(at, h, pairs)
 
-    return request
+def _parts(rows: pa.Table) -> list[pa.RecordBatch]:
+    return [b.slice(at, size) for b in rows.select(["doc_id", "held_out", "text"]).to_batches()
+            for at, size in byte_slices(b.column(2), 1 << 20)]
 
 
-def _answered(asked: pa.Table, block: pa.Table) -> pa.Table:
-    """Levels of the n-grams that were sent to one block (a block without bits knows none)."""
+def _answered(asked: pa.Table, held: pa.Table) -> pa.Table:
+    """Levels of the n-grams that were sent to one span of blocks, a byte each (a block without bits knows none)."""
     size = 1 << (BLOCK_BITS - 3)
-    bits = np.frombuffer(block.column("bits")[0].as_py(), np.uint8) if block.num_rows else np.zeros(size, np.uint8)
+    bits = np.zeros(SPAN * size, np.uint8)
+    for block, some in zip(held.column("block").to_pylist(), held.column("bits").to_pylist(), strict=True):
+        bits[block % SPAN * size:(block % SPAN + 1) * size] = np.frombuffer(some, np.uint8)
     levels = []
-    for found in asked.column("found").to_pylist():
-        levels.append(probed(np.frombuffer(found, np.uint64), bits, 1).astype(np.uint16).tobytes())
-    return pa.table({"slice": asked.column("slice"), "block": asked.column("block"), "kind": asked.column("kind"),
+    for found, sizes in zip(asked.column("found").to_pylist(), asked.column("sizes").to_pylist(), strict=True):
+        keys = _unpacked(found, sizes)
+        levels.append(_probed(within(keys), (keys >> np.uint64(32)).astype(np.int64), bits).astype(np.uint8).tobytes())
+    return pa.table({"slice": asked.column("slice"), "span": asked.column("span"), "kind": asked.column("kind"),
                      "levels": pa.array(levels, pa.binary())})
 
 
@@ -358,19 +424,18 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broad
                 yield scored_rows(batch.slice(at, size), lambda keys, kind: probed(keys, bits, blocks))
 
     def scored_slice(rows: pa.Table, answers: pa.Table) -> pa.Table:
-        parts = [b.slice(at, size) for b in rows.select(["doc_id", "held_out", "text"]).to_batches()
-                 for at, size in byte_slices(b.column(2), 1 << 20)]
+        parts = _parts(rows)
         h, pairs = [], []
         for part in parts:
             tokens, starts = token_hashes(part.column(2).to_pylist())
             h.append(np.unique(tokens))
             pairs.append(np.unique(pair_keys(tokens, starts)))
         keys = _distinct(h, pairs)
-        answers = answers.sort_by("block")  # then the levels are in the order of the keys
-        known = [np.frombuffer(b"".join(answers.filter(pc.equal(answers.column("kind"), k)).column("levels").to_pylist()), np.uint16)
+        answers = answers.sort_by("span")  # then the levels are in the order of the keys
+        known = [np.frombuffer(b"".join(answers.filter(pc.equal(answers.column("kind"), k)).column("levels").to_pylist()), np.uint8)
                  .astype(np.int64) for k in (0, 1)]
         out = [scored_rows(part, lambda x, kind: known[kind][np.searchsorted(keys[kind], x)]) for part in parts]
-        return pa.Table.from_batches(out)
+        return pa.Table.from_batches(out).append_column("times", rows.column("times"))
 
     id_type = docs.schema["doc_id"].dataType
     columns = (f"doc_id {id_type.simpleString()}, held_out boolean, n_tokens bigint, known bigint, base double, score double, "
@@ -379,17 +444,21 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broad
     if everywhere:
         texts = docs.mapInArrow(scored, columns)
     else:
-        sent = checkpointed(docs.mapInArrow(
-            _requests(blocks, to_arrow_type(id_type)), "slice bigint, block bigint, kind int, found binary, "
-            f"doc_id {id_type.simpleString()}, held_out boolean, text string"))
-        answers = sent.where("block >= 0").select("slice", "block", "kind", "found").groupBy("block").cogroup(
-            whole.groupBy("block")).applyInArrow(_answered, "slice bigint, block bigint, kind int, levels binary")
-        texts = sent.where("block < 0").select("slice", "doc_id", "held_out", "text").groupBy("slice").cogroup(
-            answers.groupBy("slice")).applyInArrow(scored_slice, columns)
+        size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        slices = 1 + size // (GROUP_TOKENS * BYTES_A_TOKEN)
+        dealt = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(slices)).alias("slice"), "*").mapInArrow(
+            _collapsed(to_arrow_type(id_type)), f"slice bigint, doc_id {id_type.simpleString()}, held_out boolean, text string, times bigint")
+        asked = dealt.groupBy("slice").applyInArrow(_requests(blocks), "slice bigint, span bigint, kind int, found binary, sizes binary")
+        spans = whole.select(F.floor(F.col("block") / SPAN).alias("span"), "block", "bits")
+        answers = asked.groupBy("span").cogroup(spans.groupBy("span")).applyInArrow(
+            _answered, "slice bigint, span bigint, kind int, levels binary")
+        texts = dealt.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(scored_slice, columns + ", times bigint")
     texts = checkpointed(texts.withColumn("row", F.monotonically_increasing_id()))
     rest = texts.select("row", F.explode("rare").alias("word")).join(table, "word", "left")
     rest = rest.groupBy("row").agg(F.sum(F.log10((F.coalesce("c", F.lit(0)) + ADD) / F.lit(below))).alias("more"), F.count("c").alias("also"))
     out = texts.drop("rare").join(rest, "row", "left")
+    if not everywhere:
+        out = out.withColumn("copy", F.explode(F.array_repeat(F.lit(True), F.col("times").cast("int"))))
     return out.select("doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("also", F.lit(0))).alias("n_known"),
                       F.lit(total).cast("long").alias("train_tokens"),
                       (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"), "score")

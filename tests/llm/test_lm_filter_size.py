@@ -36,3 +36,24 @@ def test_filter_past_the_broadcast_bound_scores_alike(spark, odd, monkeypatch, k
     assert len(sent) == docs.count()
     for a, b in zip(whole, sent, strict=True):
         assert a[:5] == b[:5] and b.score == pytest.approx(a.score, rel=1e-12) and b.base_score == pytest.approx(a.base_score)
+
+
+def test_repeated_rows_past_the_broadcast_bound(spark, monkeypatch):
+    """Rows with the same id and text are scored once a batch and come back as often as they were; texts are shuffled once."""
+    docs = spark.createDataFrame([(7, "a b c")] * 500 + [(None, "x y")] * 3 + [(i, f"a {i} c") for i in range(40)], "doc_id long, text string")
+    want = sorted(map(str, lm_score.score(docs).collect()))
+    monkeypatch.setattr(lm_score, "GROUP_TOKENS", 50)
+    sent = lm_score.score(docs, broadcast_bits=1 << 10)
+    assert sorted(map(str, sent.collect())) == want
+
+
+def test_pair_keys_within_a_block_and_their_span():
+    keys = np.sort(np.random.default_rng(3).integers(0, 2**63, 5_000).astype(np.uint64) * np.uint64(2))
+    for blocks in (1, 4, 64):
+        back = []
+        for span, lo, hi, sizes in lm_score._packed(keys, blocks):
+            got = lm_score._unpacked(lm_score.within(keys[lo:hi]).astype(np.uint32).tobytes(), sizes)
+            assert (got >> np.uint64(32)).tolist() == (lm_score.block_of(keys[lo:hi], blocks) % lm_score.SPAN).tolist()
+            assert set((lm_score.block_of(keys[lo:hi], blocks) // lm_score.SPAN).tolist()) == {span}
+            back.append(keys[lo:hi])
+        assert np.array_equal(np.concatenate(back), keys)

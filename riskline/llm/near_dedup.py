@@ -19,9 +19,9 @@ Links are found without making all pairs of a band bucket:
    |p| - j >= 0.75 (|p| + y) + 0.75 x - 0.75 i, and x >= i since a is not smaller than p. So
    these nodes are confirmed against p, and the shingles they have beyond p make the keys of
    the next round. With these ordered before p's, rarest first, the first shingle that a and b
-   share is among the first |a| / 4 + 1 of either, so only those are keys, each in two size
-   classes of ratio 4/3 (linked sets differ by no more). Nodes smaller than p meet the key's
-   other components one by one. After ``ROUNDS`` such rounds what is left is listed.
+   share is among the first |a| / 4 + 1 of either, so only those are keys, if nodes of different
+   components show them; a crowded one in two size classes of ratio 4/3 (linked sets differ by
+   no more). Nodes smaller than p meet the key's other components one by one. After ``ROUNDS`` such rounds what is left is listed.
 
 Components: large-star and small-star in turn until nothing changes. Full sets are built
 again for the documents in question only and never stored.
@@ -53,7 +53,7 @@ LEAST_EQUAL = int(MINIMA * (0.75 + 0.25 / 2**PLANES) - 5 * (MINIMA * 0.7656 * 0.
 #: Pairs of different components are listed in keys of so many nodes at most.
 FEW = 12
 ROUNDS = 2
-CACHE_WORDS = 500_000
+CACHE_WORDS = 100_000
 #: So many rows (ids and lists of partners) go to every worker at most; beyond, texts are shuffled to them.
 BROADCAST_ROWS = 500_000
 _WORDS: dict[bytes, int] = {}
@@ -119,7 +119,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import xxhash
 
     for batch in batches:
-        for at, n in byte_slices(batch.column(1), 1 << 22):
+        for at, n in byte_slices(batch.column(1), 1 << 20):
             rows = batch.slice(at, n)
             sets = shingle_sets(rows.column(1).to_pylist())
             sigs = [minima(s) if len(s) else None for s in sets]
@@ -163,7 +163,7 @@ def _compared(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, added: bool =
         import xxhash
 
         for batch in batches:
-            for at, n in byte_slices(batch.column(3), 1 << 22):
+            for at, n in byte_slices(batch.column(3), 1 << 20):
                 rows = batch.slice(at, n)
                 sets = shingle_sets(rows.column(3).to_pylist())
                 right = [xxhash.xxh3_128_digest(s.tobytes()) == x for s, x in zip(sets, rows.column(1).to_pylist(), strict=True)]
@@ -238,21 +238,27 @@ def _roots(docs: DataFrame, nodes: DataFrame) -> DataFrame:
             return grown(roots, edges)
         compared = _compared(docs, nodes, against, added=True)
         roots = grown(roots, edges.unionByName(_linked(compared)))
-        keys = checkpointed(_beyond_keys(compared, nodes))
+        keys = checkpointed(_beyond_keys(compared, nodes, roots))
     return roots
 
 
-def _beyond_keys(compared: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(key, node): for each node its rarest shingles beyond the pivot, as far as a link must share one."""
+def _beyond_keys(compared: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """(key, node): for each node its rarest shingles beyond the pivot, as far as a link must share one.
+
+    Pivots and shingles that only nodes of one component have can show no new link.
+    """
     once = compared.dropDuplicates(["a", "b"])  # repeated rows are compared each; their shingles must not count twice
-    rows = once.select(F.col("a").alias("node"), "b", F.explode("beyond").alias("shingle"))
-    seen = rows.groupBy("b", "shingle").agg(F.count(F.lit(1)).alias("seen"))
+    once = once.select(F.col("a").alias("node"), "b", "beyond").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    open_pivots = once.groupBy("b").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("b")
+    rows = once.join(open_pivots, "b").select("node", "b", "root", F.explode("beyond").alias("shingle"))
+    seen = rows.groupBy("b", "shingle").agg(F.count(F.lit(1)).alias("seen"), (F.min("root") != F.max("root")).alias("mixed"))
     rows = rows.join(seen, ["b", "shingle"]).join(nodes.select("node", "n_shingles"), "node")
     place = F.row_number().over(Window.partitionBy("node", "b").orderBy("seen", "shingle"))
     rows = rows.withColumn("place", place).where(
-        (F.col("place") <= F.floor((100 - THRESHOLD) * F.col("n_shingles") / 100) + 1) & (F.col("seen") > 1))
+        (F.col("place") <= F.floor((100 - THRESHOLD) * F.col("n_shingles") / 100) + 1) & F.col("mixed"))
     size = F.floor(F.log(F.col("n_shingles") * 1.000001) / F.log(F.lit(100 / THRESHOLD)))
-    return rows.select("node", F.explode(F.array(size, size + 1)).alias("size"), "b", "shingle").select(
+    sizes = F.when(F.col("seen") > FEW, F.array(size, size + 1)).otherwise(F.array(F.lit(-1).cast("long")))
+    return rows.select("node", F.explode(sizes).alias("size"), "b", "shingle").select(
         F.xxhash64("b", "shingle", "size").alias("key"), "node").distinct()
 
 

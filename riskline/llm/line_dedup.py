@@ -9,7 +9,8 @@ segment, s probes its own and the shorter lengths. A probe of the own length at
 place is the index key itself, so a line has 12 keys for 2 edits.
 
 Keys are grouped by Spark; members of a key meet its hub, then only pairs of a key whose
-components still differ can matter. In a key of up to ``FEW`` lines they are listed. In a
+components still differ can matter. In a key of up to ``FEW`` lines they are listed. Deeper
+keys whose lines are all in one component go at once, and only larger ones have a hub. In a
 larger key the rest of each line, without the segment that the key holds, is cut into
 segments again: two lines that are linked through the key have rests within the same
 threshold, so they share a key of the next level. After ``LEVELS`` such cuts what is left is
@@ -200,14 +201,15 @@ def _deeper(edits: int, level: int):
         for batch in batches:
             for at, n in byte_slices(batch.column(1), 1 << 20):
                 rows = batch.slice(at, n)
-                key, line = [], []
-                for h, text, crowded in zip(*(rows.column(c).to_pylist() for c in range(3)), strict=True):
+                key, line, component = [], [], []
+                for h, text, crowded, root in zip(*(rows.column(c).to_pylist() for c in range(4)), strict=True):
                     out: set[int] = set()
                     descend(text, b"", {k & (2**64 - 1) for k in crowded}, 0, out)
                     key += out
                     line += [h] * len(out)
-                yield pa.RecordBatch.from_arrays([pa.array(np.array(key, dtype=np.uint64).view(np.int64)), pa.array(line, pa.int64())],
-                                                 names=["key", "node"])
+                    component += [root] * len(out)
+                yield pa.RecordBatch.from_arrays([pa.array(np.array(key, dtype=np.uint64).view(np.int64)), pa.array(line, pa.int64()),
+                                                  pa.array(component, pa.int64())], names=["key", "node", "root"])
 
     return keys
 
@@ -282,26 +284,38 @@ def linked(lines: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) ->
     texts = _texts(lines, shown.select(F.col("a").alias("asked")).union(shown.select("b")).distinct())
     roots = checkpointed(components(_verified(texts, tried, edits)))
     member = shown.select("key", F.col("a").alias("node")).unionByName(shown.select("key", F.col("b").alias("node")).distinct())
-    edges = crowded = None
+    member, crowded = _rooted(member, roots), None
     for level in range(LEVELS + 1):
-        member = checkpointed(member.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")))
-        mixed = member.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-        member = checkpointed(member.join(mixed.where("lo <> hi").select("key", "n"), "key"))
+        member = _mixed(member)
+        if level:
+            met = member.where((F.col("n") > FEW) & (F.col("root") != F.col("hub.root")))
+            met = _verified(texts, met.select(F.col("node").alias("a"), F.col("hub.node").alias("b")).distinct(), edits)
+            if not met.isEmpty():
+                roots = _joined(roots, met)
+                member = _mixed(_rooted(member, roots))
         few = member.where(F.col("n") <= FEW) if level < LEVELS else member
-        edges = _verified(texts, _listed(few, texts, edits), edits)
+        roots = _joined(roots, _verified(texts, _listed(few, texts, edits), edits))
         many = member.where(F.col("n") > FEW).select("node", "key")
         if level == LEVELS or many.isEmpty():
             break
         crowded = many if crowded is None else crowded.unionByName(many)
         held = many.select("node").distinct().join(crowded, "node").groupBy("node").agg(F.collect_set("key").alias("crowded"))
-        member = checkpointed(texts.join(held, F.col("line") == F.col("node")).select("node", "text", "crowded").mapInArrow(
-            _deeper(edits, level + 1), "key bigint, node bigint"))
-        hub = member.groupBy("key").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        member = member.join(hub.select("key", "b"), "key")
-        met = _verified(texts, member.where("node <> b").select(F.col("node").alias("a"), "b").distinct(), edits)
-        roots = _joined(roots, edges.unionByName(met))
-        member = member.select("key", "node")
-    return _joined(roots, edges)
+        held = held.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        member = texts.join(held, F.col("line") == F.col("node")).select("node", "text", "crowded", "root").mapInArrow(
+            _deeper(edits, level + 1), "key bigint, node bigint, root bigint")
+    return roots
+
+
+def _rooted(member: DataFrame, roots: DataFrame) -> DataFrame:
+    return member.select("key", "node").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+
+
+def _mixed(member: DataFrame) -> DataFrame:
+    """(key, node, root, n, hub) of the keys whose members are of different components; the smallest member is the hub."""
+    member = checkpointed(member)
+    keys = member.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"),
+                                     F.min(F.struct("node", "root")).alias("hub"))
+    return checkpointed(member.join(keys.where("lo <> hi").select("key", "n", "hub"), "key"))
 
 
 def _joined(roots: DataFrame, edges: DataFrame) -> DataFrame:

@@ -11,10 +11,11 @@ tokens and entries without a ceiling: there are at least ``BITS_AN_ENTRY`` bits
 (n-gram, level) put in, so the fill stays under 1 - exp(-3 / 8) = 31 % at any size.
 
 Scoring: an n-gram's level is found by probing 1, 2, ... until a probe misses. A filter of at
-most ``BROADCAST_BITS`` (64 MB) goes to all workers. A larger one stays a table of blocks:
-texts are dealt once to slices by a hash of id and text, a slice sends its distinct n-grams to
-the blocks and gets a byte for each back, in order; no text is written to the shared folder, the
-driver sees no block, and both ways give the same scores. Rows with the same id and text are
+most ``BROADCAST_BITS`` (4 MB) goes to all workers. A larger one stays with the tasks that fill
+it: texts are dealt to slices by a hash of id and text, a slice sends its distinct n-grams with
+their counts to the blocks, and the task that has filled a block probes it for all that were
+sent and gives a byte for each back, in order. No text is written to the shared folder, no block
+leaves its task, and both ways give the same scores. Rows with the same id and text are
 one row with a count within each Arrow batch, so many of them do not fill a slice. With the
 counts f read so, p(w | v) = PAIR * f(vw) / f(v) + (1 - PAIR) * (f(w) + 0.1) / (N + 0.1 (V + 1)).
 
@@ -42,7 +43,7 @@ from .common import SPACE, byte_slices, checkpointed, text_or_empty
 BLOCK_BITS = 20
 #: Neighbouring blocks that a task fills or probes together.
 SPAN = 8
-BROADCAST_BITS = 1 << 29
+BROADCAST_BITS = 1 << 25
 BITS_A_TOKEN = 6
 BITS_AN_ENTRY = 8
 PROBES = 3
@@ -274,10 +275,13 @@ def _blocks_for(bits: int) -> int:
     return 1 << (max(1, -(-bits >> BLOCK_BITS)) - 1).bit_length()
 
 
-def built(texts: DataFrame, broadcast_bits: int = BROADCAST_BITS) -> tuple[DataFrame, int, DataFrame]:
+def _tokens(texts: DataFrame) -> int:
+    return texts.agg(F.sum(F.regexp_count("text", F.lit(f"[^{SPACE}]+")) + 1)).first()[0] or 0
+
+
+def built(texts: DataFrame, broadcast_bits: int = BROADCAST_BITS, tokens: int | None = None) -> tuple[DataFrame, int, DataFrame]:
     """(filter (block, bits), number of blocks, count table (word, c)) of the column ``text``."""
-    n_words = F.regexp_count("text", F.lit(f"[^{SPACE}]+"))
-    tokens = texts.agg(F.sum(n_words + 1)).first()[0] or 0
+    tokens = _tokens(texts) if tokens is None else tokens
     blocks = _blocks_for(BITS_A_TOKEN * tokens)
     while True:
         subs = max(1, -(-tokens * min(SPAN, blocks) // (blocks * GROUP_TOKENS)))
@@ -334,26 +338,58 @@ def _collapsed(id_type: pa.DataType):
     return collapse
 
 
-def _requests(blocks: int):
-    """The distinct n-grams of a slice, packed by span of blocks."""
+def _told(blocks: int):
+    """The distinct n-grams of a slice with their counts in its training texts, packed by span of blocks."""
 
-    def asked(rows: pa.Table) -> pa.Table:
-        h, pairs = [], []
-        for part in _parts(rows):
+    def told(rows: pa.Table) -> pa.Table:
+        h, pairs, weights = [], [], []
+        for part, weight in zip(_parts(rows), _weights(rows), strict=True):
             tokens, starts = token_hashes(part.column(2).to_pylist())
-            h.append(np.unique(tokens))
-            pairs.append(np.unique(pair_keys(tokens, starts)))
-        span, kind, keys, sizes = [], [], [], []
-        for k, found in enumerate(_distinct(h, pairs)):
+            h.append(tokens)
+            pairs.append(pair_keys(tokens, starts))
+            weights.append(np.repeat(weight, np.diff([*starts, len(tokens)])))
+        weight = np.concatenate(weights)
+        span, kind, keys, sizes, counts = [], [], [], [], []
+        for k, arrays in enumerate((h, pairs)):
+            found, n = _weighed(np.concatenate(arrays), weight)
+            sent = within(found).astype(np.uint32)
+            if k == 0:  # the hashes themselves, in the order of their keys
+                order = np.argsort(word_keys(found))
+                sent, n = found[order], n[order]
+                found = word_keys(sent)
             for at, lo, hi, size in _packed(found, blocks):
                 span.append(at)
                 kind.append(k)
-                keys.append(within(found[lo:hi]).astype(np.uint32).tobytes())
+                keys.append(sent[lo:hi].tobytes())
                 sizes.append(size)
+                small = n[lo:hi].max() < 256
+                counts.append(b"\1" + n[lo:hi].astype(np.uint8).tobytes() if small else b"\4" + n[lo:hi].astype(np.uint32).tobytes())
         return pa.table({"slice": pa.array([rows.column("slice")[0].as_py()] * len(span), pa.int64()), "span": pa.array(span, pa.int64()),
-                         "kind": pa.array(kind, pa.int32()), "found": pa.array(keys, pa.binary()), "sizes": pa.array(sizes, pa.binary())})
+                         "kind": pa.array(kind, pa.int32()), "found": pa.array(keys, pa.binary()), "sizes": pa.array(sizes, pa.binary()),
+                         "n": pa.array(counts, pa.binary())})
+
+    return told
 
-    return asked
+
+def _weighed(keys: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, with their weights' sums."""
+    if weight.max() > 1:
+        found, where = np.unique(keys, return_inverse=True)
+        return found, np.bincount(where, weights=weight, minlength=len(found)).astype(np.int64)
+    found, n = np.unique(keys[weight == 1], return_counts=True)
+    other = np.setdiff1d(keys[weight == 0], found)
+    found, n = np.concatenate([found, other]), np.concatenate([n, np.zeros(len(other), n.dtype)])
+    order = np.argsort(found, kind="stable")
+    return found[order], n[order]
+
+
+def _weights(rows: pa.Table) -> Iterator[np.ndarray]:
+    """How often each row of the parts counts for training."""
+    held = rows.column("held_out").to_numpy()
+    weight, at = np.where(held, 0, rows.column("times").to_numpy()).astype(np.int64), 0
+    for part in _parts(rows):
+        yield weight[at:at + part.num_rows]
+        at += part.num_rows
 
 
 def _parts(rows: pa.Table) -> list[pa.RecordBatch]:
@@ -361,18 +397,69 @@ def _parts(rows: pa.Table) -> list[pa.RecordBatch]:
             for at, size in byte_slices(b.column(2), 1 << 20)]
 
 
-def _answered(asked: pa.Table, held: pa.Table) -> pa.Table:
-    """Levels of the n-grams that were sent to one span of blocks, a byte each (a block without bits knows none)."""
-    size = 1 << (BLOCK_BITS - 3)
-    bits = np.zeros(SPAN * size, np.uint8)
-    for block, some in zip(held.column("block").to_pylist(), held.column("bits").to_pylist(), strict=True):
-        bits[block % SPAN * size:(block % SPAN + 1) * size] = np.frombuffer(some, np.uint8)
-    levels = []
-    for found, sizes in zip(asked.column("found").to_pylist(), asked.column("sizes").to_pylist(), strict=True):
-        keys = _unpacked(found, sizes)
-        levels.append(_probed(within(keys), (keys >> np.uint64(32)).astype(np.int64), bits).astype(np.uint8).tobytes())
-    return pa.table({"slice": asked.column("slice"), "span": asked.column("span"), "kind": asked.column("kind"),
-                     "levels": pa.array(levels, pa.binary())})
+def _answered(blocks: int):
+    """Tasks fill a span of blocks and give the levels of all n-grams that were sent to it, a byte each; and the span's words."""
+
+    def answered(told: pa.Table) -> pa.Table:
+        kinds, n = told.column("kind").to_numpy(), told.column("n").to_pylist()
+        found, sizes = told.column("found").to_pylist(), told.column("sizes").to_pylist()
+        bits = np.zeros(SPAN << BLOCK_BITS, dtype=np.uint8)
+        levels: list[bytes | None] = [None] * len(kinds)
+        words, counts, entries, asked = np.empty(0, np.uint64), np.empty(0, np.int64), 0, []
+        for k, steps in ((0, WORD_STEPS), (1, PAIR_STEPS)):
+            rows = np.flatnonzero(kinds == k)
+            if not len(rows):
+                continue
+            sent = [np.frombuffer(found[i], np.uint64) if k == 0 else _unpacked(found[i], sizes[i]) for i in rows]
+            distinct, where = np.unique(np.concatenate(sent), return_inverse=True)
+            times = np.concatenate([_times(n[i], len(x)) for i, x in zip(rows, sent, strict=True)])
+            c = np.bincount(where, weights=times, minlength=len(distinct)).astype(np.int64)
+            if k == 0:
+                words, counts = distinct[c > 0], c[c > 0]
+                key = word_keys(distinct)
+                key, block = within(key), block_of(key, blocks) % SPAN
+            else:
+                key, block = within(distinct), (distinct >> np.uint64(32)).astype(np.int64)
+            level = np.where(c > 0, levels_of(c, steps), 0)
+            entries += int(level.sum())
+            for j in range(1, int(level.max()) + 1):
+                in_it = level >= j
+                held, base = key[in_it], block[in_it] << BLOCK_BITS
+                for i in range(PROBES):
+                    bits[base + _bits(held, j, i)] = 1
+            asked.append((rows, [len(x) for x in sent], key, block, where))
+        packed = np.packbits(bits, bitorder="little")
+        for rows, lengths, key, block, where in asked:
+            read = _probed(key, block, packed).astype(np.uint8)[where]
+            for i, x in zip(rows, np.split(read, np.cumsum(lengths)[:-1]), strict=True):
+                levels[i] = x.tobytes()
+        more = len(kinds)
+        none = np.empty(0, np.int64)
+        return pa.table({"slice": pa.concat_arrays([*told.column("slice").chunks, pa.array([-1], pa.int64())]),
+                         "span": pa.concat_arrays([*told.column("span").chunks, pa.array([-1], pa.int64())]),
+                         "kind": pa.array([*kinds.tolist(), -1], pa.int32()), "levels": pa.array([*levels, b""], pa.binary()),
+                         "words": pa.array([none] * more + [words.view(np.int64)], pa.list_(pa.int64())),
+                         "counts": pa.array([none] * more + [counts], pa.list_(pa.int64())),
+                         "entries": pa.array([0] * more + [entries], pa.int64())})
+
+    return answered
+
+
+def _dealt_levels(dealt: DataFrame, blocks: int) -> tuple[DataFrame, DataFrame]:
+    """(levels (slice, span, kind, levels), count table (word, c)) of the rows (slice, doc_id, held_out, text, times)."""
+    while True:
+        told = dealt.groupBy("slice").applyInArrow(
+            _told(blocks), "slice bigint, span bigint, kind int, found binary, sizes binary, n binary")
+        done = checkpointed(told.groupBy("span").applyInArrow(
+            _answered(blocks), "slice bigint, span bigint, kind int, levels binary, words array<bigint>, counts array<bigint>, entries bigint"))
+        # as in ``built``: the second turn is the last
+        need = _blocks_for(BITS_AN_ENTRY * (done.agg(F.sum("entries")).first()[0] or 0))
+        if need <= blocks:
+            break
+        blocks = need
+    table = done.where("slice < 0").select(F.explode(F.arrays_zip("words", "counts")).alias("x")).select(
+        F.col("x.words").alias("word"), F.col("x.counts").alias("c"))
+    return done.where("slice >= 0").select("slice", "span", "kind", "levels"), table
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broadcast_bits: int = BROADCAST_BITS,
@@ -380,13 +467,25 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broad
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every text."""
     docs = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text_or_empty(text_col).alias("text"))
     docs = docs.withColumn("held_out", F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 10 == 0)
-    whole, blocks, table = built(docs.where("not held_out"), broadcast_bits)
+    docs = docs.select("doc_id", "held_out", "text")
+    id_type = docs.schema["doc_id"].dataType
+    tokens = _tokens(docs.where("not held_out"))
+    blocks, whole = _blocks_for(BITS_A_TOKEN * tokens), None
+    everywhere = blocks << BLOCK_BITS <= broadcast_bits
+    if everywhere:
+        whole, blocks, table = built(docs.where("not held_out"), broadcast_bits, tokens)
+        everywhere = blocks << BLOCK_BITS <= broadcast_bits
+    if not everywhere:
+        size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        slices = 1 + size // (GROUP_TOKENS * BYTES_A_TOKEN)
+        dealt = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(slices)).alias("slice"), "*").mapInArrow(
+            _collapsed(to_arrow_type(id_type)), f"slice bigint, doc_id {id_type.simpleString()}, held_out boolean, text string, times bigint")
+        answers, table = _dealt_levels(dealt, blocks)
     total, distinct = table.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     top = table.orderBy(F.col("c").desc(), "word").limit(top_words).toPandas()
     order = np.argsort(top["word"].to_numpy().astype(np.int64).view(np.uint64))
     below = total + ADD * (distinct + 1)
     sc = docs.sparkSession.sparkContext
-    everywhere = blocks << BLOCK_BITS <= broadcast_bits
     model = sc.broadcast((_collected(whole, blocks) if everywhere else None, top["word"].to_numpy().astype(np.int64).view(np.uint64)[order],
                           np.log10((top["c"].to_numpy().astype(np.float64)[order] + ADD) / below)))
 
@@ -437,21 +536,11 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broad
         out = [scored_rows(part, lambda x, kind: known[kind][np.searchsorted(keys[kind], x)]) for part in parts]
         return pa.Table.from_batches(out).append_column("times", rows.column("times"))
 
-    id_type = docs.schema["doc_id"].dataType
     columns = (f"doc_id {id_type.simpleString()}, held_out boolean, n_tokens bigint, known bigint, base double, score double, "
                "rare array<bigint>")
-    docs = docs.select("doc_id", "held_out", "text")
     if everywhere:
         texts = docs.mapInArrow(scored, columns)
     else:
-        size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        slices = 1 + size // (GROUP_TOKENS * BYTES_A_TOKEN)
-        dealt = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(slices)).alias("slice"), "*").mapInArrow(
-            _collapsed(to_arrow_type(id_type)), f"slice bigint, doc_id {id_type.simpleString()}, held_out boolean, text string, times bigint")
-        asked = dealt.groupBy("slice").applyInArrow(_requests(blocks), "slice bigint, span bigint, kind int, found binary, sizes binary")
-        spans = whole.select(F.floor(F.col("block") / SPAN).alias("span"), "block", "bits")
-        answers = asked.groupBy("span").cogroup(spans.groupBy("span")).applyInArrow(
-            _answered, "slice bigint, span bigint, kind int, levels binary")
         texts = dealt.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(scored_slice, columns + ", times bigint")
     texts = checkpointed(texts.withColumn("row", F.monotonically_increasing_id()))
     rest = texts.select("row", F.explode("rare").alias("word")).join(table, "word", "left")

@@ -15,7 +15,7 @@ from ..session import scratch_root
 from ..sources import feature_store as FS
 from ..sources.credit import credit_profile, credit_profile_dirty
 from . import oracle_base as O
-from .stages import drift_inputs, features, split_table
+from .stages import drift_inputs, feature_table, split_table
 
 VC_COLS = ["SEX", "EDUCATION", "MARRIAGE"] + PAY_COLS
 # fixed values: documented codes of the data dictionary
@@ -65,7 +65,7 @@ def q_key_checks(spark: SparkSession, sf: str) -> DataFrame:
         F.count_if(~F.col("split").isin("train", "val", "test")).alias("split_labels_valid"),
     )
     # Rows of the feature table without a split, and split rows that it doesn't have
-    feats = features(spark, sf).select("customer_id")
+    feats = feature_table(spark, sf).select("customer_id")
     placed = s.filter(F.col("split").isin("train", "val", "test")).select("customer_id")
     missing = feats.join(placed, "customer_id", "left_anti").unionByName(placed.join(feats, "customer_id", "left_anti"))
     schema_bad = int("ID" in s.columns) + sum(int(c in matrix_cols) for c in ("default", "customer_id", "event_time"))

@@ -34,3 +34,35 @@ def test_key_checks_join_the_source_tables_once(spark, tmp_dir, monkeypatch):
     rows = {r["check"]: r["n_bad"] for r in q_key_checks(spark, sf).collect()}
     assert rows["splits_cover_all"] == 0 and rows["customer_id_unique"] == 0
     assert len(calls) == 1
+
+
+def test_layers_get_shuffle_partitions_by_the_rows_of_the_source(spark, tmp_dir, monkeypatch):
+    sf = _tables(spark, tmp_dir)
+    key = "spark.sql.shuffle.partitions"
+    given = spark.conf.get(key)
+    monkeypatch.setattr(stages, "PARTITION_ROWS", 10, raising=False)  # 400 rows of lineitem
+    seen = []
+    real = stages.engineer_features
+    monkeypatch.setattr(stages, "engineer_features", lambda *a: seen.append(spark.conf.get(key)) or real(*a))
+    rows = stages.feature_table(spark, sf).sort("customer_id").collect()
+    assert seen == ["40"] and spark.conf.get(key) == given
+    monkeypatch.setattr(stages, "PARTITION_ROWS", 1_000, raising=False)
+    assert stages.features(spark, sf).sort("customer_id").collect() == rows
+    assert seen == ["40", given]
+
+
+def test_a_failed_layer_leaves_the_setting_as_it_was(spark, tmp_dir, monkeypatch):
+    sf = _tables(spark, tmp_dir)
+    key = "spark.sql.shuffle.partitions"
+    given = spark.conf.get(key)
+    monkeypatch.setattr(stages, "PARTITION_ROWS", 10, raising=False)
+
+    def build():
+        assert spark.conf.get(key) == "40"
+        raise RuntimeError("stop")
+
+    try:
+        stages.layer(spark, sf, "none", build)
+    except RuntimeError:
+        pass
+    assert spark.conf.get(key) == given

@@ -320,9 +320,17 @@ def train(texts: DataFrame) -> tuple[np.ndarray, int, DataFrame]:
     return _collected(whole, blocks), blocks, table
 
 
+def _different(keys: np.ndarray) -> np.ndarray:
+    """The distinct keys, sorted. Plain ``np.unique`` hashes integers since NumPy 2.3, at many times the cost of a sort."""
+    keys = np.sort(keys)
+    first = np.ones(len(keys), bool)
+    np.not_equal(keys[1:], keys[:-1], out=first[1:])
+    return keys[first]
+
+
 def _distinct(h: list[np.ndarray], pairs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Sorted keys of the words and of the pairs."""
-    return np.sort(word_keys(np.unique(np.concatenate(h)))), np.unique(np.concatenate(pairs))
+    return np.sort(word_keys(_different(np.concatenate(h)))), _different(np.concatenate(pairs))
 
 
 def _collapsed(id_type: pa.DataType):
@@ -377,7 +385,9 @@ def _weighed(keys: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarr
         found, where = np.unique(keys, return_inverse=True)
         return found, np.bincount(where, weights=weight, minlength=len(found)).astype(np.int64)
     found, n = np.unique(keys[weight == 1], return_counts=True)
-    other = np.setdiff1d(keys[weight == 0], found)
+    other = _different(keys[weight == 0])
+    if len(found):
+        other = other[found[np.searchsorted(found, other).clip(0, len(found) - 1)] != other]
     found, n = np.concatenate([found, other]), np.concatenate([n, np.zeros(len(other), n.dtype)])
     order = np.argsort(found, kind="stable")
     return found[order], n[order]
@@ -489,10 +499,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broad
     model = sc.broadcast((_collected(whole, blocks) if everywhere else None, top["word"].to_numpy().astype(np.int64).view(np.uint64)[order],
                           np.log10((top["c"].to_numpy().astype(np.float64)[order] + ADD) / below)))
 
-    def scored_rows(rows: pa.RecordBatch, levels) -> pa.RecordBatch:
-        """``levels``: of distinct keys, by kind."""
+    def scored_rows(rows: pa.RecordBatch, h: np.ndarray, starts: np.ndarray, levels) -> pa.RecordBatch:
+        """``h``, ``starts``: the rows' tokens; ``levels``: of distinct keys, by kind."""
         _, frequent, logs = model.value
-        h, starts = token_hashes(rows.column(2).to_pylist())
         lengths = np.diff([*starts, len(h)])
         kinds, which = np.unique(h, return_inverse=True)
         place = np.searchsorted(frequent, kinds).clip(0, max(0, len(frequent) - 1))
@@ -520,20 +529,18 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broad
         bits = model.value[0]
         for batch in batches:
             for at, size in byte_slices(batch.column(2), 1 << 20):
-                yield scored_rows(batch.slice(at, size), lambda keys, kind: probed(keys, bits, blocks))
+                rows = batch.slice(at, size)
+                yield scored_rows(rows, *token_hashes(rows.column(2).to_pylist()), lambda keys, kind: probed(keys, bits, blocks))
 
     def scored_slice(rows: pa.Table, answers: pa.Table) -> pa.Table:
         parts = _parts(rows)
-        h, pairs = [], []
-        for part in parts:
-            tokens, starts = token_hashes(part.column(2).to_pylist())
-            h.append(np.unique(tokens))
-            pairs.append(np.unique(pair_keys(tokens, starts)))
-        keys = _distinct(h, pairs)
+        tokens = [token_hashes(part.column(2).to_pylist()) for part in parts]
+        keys = _distinct([_different(h) for h, _ in tokens], [_different(pair_keys(*x)) for x in tokens])
         answers = answers.sort_by("span")  # then the levels are in the order of the keys
         known = [np.frombuffer(b"".join(answers.filter(pc.equal(answers.column("kind"), k)).column("levels").to_pylist()), np.uint8)
                  .astype(np.int64) for k in (0, 1)]
-        out = [scored_rows(part, lambda x, kind: known[kind][np.searchsorted(keys[kind], x)]) for part in parts]
+        out = [scored_rows(part, *x, lambda asked, kind: known[kind][np.searchsorted(keys[kind], asked)])
+               for part, x in zip(parts, tokens, strict=True)]
         return pa.Table.from_batches(out).append_column("times", rows.column("times"))
 
     columns = (f"doc_id {id_type.simpleString()}, held_out boolean, n_tokens bigint, known bigint, base double, score double, "

@@ -57,3 +57,33 @@ def test_pair_keys_within_a_block_and_their_span():
             assert set((lm_score.block_of(keys[lo:hi], blocks) // lm_score.SPAN).tolist()) == {span}
             back.append(keys[lo:hi])
         assert np.array_equal(np.concatenate(back), keys)
+
+
+def test_distinct_keys_cost_some_sorts():
+    """Hashing them, as plain ``np.unique`` and ``np.setdiff1d`` do, took the CPU time of some fifty sorts."""
+    import time
+
+    keys = np.random.default_rng(4).integers(0, 1_200_000, 2_000_000).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    weight = (np.arange(len(keys)) % 10 > 0).astype(np.int64)
+
+    def seconds(f) -> float:
+        took = []
+        for _ in range(3):
+            at = time.process_time()
+            f()
+            took.append(time.process_time() - at)
+        return min(took)
+
+    found, n = lm_score._weighed(keys, weight)
+    want, where = np.unique(keys, return_inverse=True)
+    assert np.array_equal(found, want) and np.array_equal(n, np.bincount(where, weights=weight))
+    assert np.array_equal(lm_score._distinct([keys], [keys])[1], want)
+    one_sort = seconds(lambda: np.sort(keys))
+    assert seconds(lambda: lm_score._weighed(keys, weight)) < 25 * one_sort
+    assert seconds(lambda: lm_score._distinct([keys], [keys])) < 25 * one_sort
+
+
+@pytest.mark.parametrize("weights", [[0, 0, 0, 0], [1, 1, 1, 1], [0, 1, 0, 1]])
+def test_weighed_keys_with_none_trained_or_none_held_out(weights):
+    found, n = lm_score._weighed(np.array([9, 3, 9, 5], np.uint64), np.array(weights))
+    assert found.tolist() == [3, 5, 9] and n.tolist() == [weights[1], weights[3], weights[0] + weights[2]]

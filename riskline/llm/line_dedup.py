@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import SPACE, SPACE_CHARS, byte_slices, checkpointed, text_or_empty
 from .links import components, grown
@@ -41,8 +42,9 @@ EDITS = 2
 MIN_CHARS = 30
 BROADCAST_ROWS = 500_000
 SEEN_LINES = 200_000
-#: Pairs of different components are listed in keys of so many lines at most.
-FEW = 12
+#: Pairs of different components are listed in keys of so many lines at most, so a line meets fewer others than that in a key.
+#: Cutting anew makes some tens of keys a line and level, each hashed, shuffled and sorted; a listed pair is two words compared.
+FEW = 512
 #: Larger keys are cut anew so many times; what is left is listed.
 LEVELS = 3
 
@@ -147,36 +149,38 @@ def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return d.withColumn("line", F.xxhash64("text"))
 
 
-def _keys(edits: int, own: bool):
-    """Keys of the lines, or only those that the lines own. A task leaves out lines it has just seen, so a frequent one costs a row a task."""
+def _keys(edits: int):
+    """Keys of the lines, and whether the line owns them. A task leaves out lines it has just seen, so a frequent one costs a row a task."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         digest = xxhash.xxh3_64_intdigest
-        plans: dict[int, list] = {}
+        plans: dict[int, tuple[list, list]] = {}
         seen: set[int] = set()
         for batch in batches:
             for at, n in byte_slices(batch.column(1), 1 << 22):
                 rows = batch.slice(at, n)
-                key, line, times = [], [], []
+                key, line, times, own = [], [], [], []
                 for h, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
                     if h in seen:
                         continue
                     seen.add(h)
                     plan = plans.get(len(text))
                     if plan is None:
-                        plan = plans[len(text)] = [((l << 4) + i, q, q + size) for l, i, q, size, mine in places(len(text), edits)
-                                                   if mine or not own]
-                    for seed, lo, hi in plan:
+                        at_all = places(len(text), edits)
+                        plan = plans[len(text)] = ([((l << 4) + i, q, q + size) for l, i, q, size, _ in at_all], [x[-1] for x in at_all])
+                    for seed, lo, hi in plan[0]:
                         key.append(digest(text[lo:hi].encode("utf-8", "surrogatepass"), seed))
                     line.append(h)
-                    times.append(len(plan))
+                    times.append(len(plan[0]))
+                    own += plan[1]
                 if len(seen) > SEEN_LINES:
                     seen.clear()
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.array(key, dtype=np.uint64).view(np.int64)),
-                    pa.array(np.repeat(np.array(line, dtype=np.int64), np.array(times, dtype=np.int64)))], names=["key", "line"])
+                    pa.array(np.repeat(np.array(line, dtype=np.int64), np.array(times, dtype=np.int64))),
+                    pa.array(own, pa.bool_())], names=["key", "line", "own"])
 
     return keys
 
@@ -277,9 +281,9 @@ def linked(lines: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) ->
     """(node, root): the components of the edit join, of the lines that are linked with others."""
     lines = lines.where(F.length("text") >= max(min_chars, edits + 1)).select("line", "text")
     # a key matters if some line owns it and another one shows it; the smallest owner is its hub
-    hubs = lines.mapInArrow(_keys(edits, True), "key bigint, line bigint").groupBy("key").agg(F.min("line").alias("b"))
-    keys = lines.mapInArrow(_keys(edits, False), "key bigint, line bigint")
-    shown = checkpointed(keys.join(hubs, "key").where("line <> b").select("key", F.col("line").alias("a"), "b").distinct())
+    keys = lines.mapInArrow(_keys(edits), "key bigint, line bigint, own boolean")
+    keys = keys.withColumn("b", F.min(F.when(F.col("own"), F.col("line"))).over(Window.partitionBy("key")))
+    shown = checkpointed(keys.where("line <> b").select("key", F.col("line").alias("a"), "b").distinct())
     tried = shown.select("a", "b").distinct()
     texts = _texts(lines, shown.select(F.col("a").alias("asked")).union(shown.select("b")).distinct())
     roots = checkpointed(components(_verified(texts, tried, edits)))

@@ -244,6 +244,41 @@ def test_crowded_line_keys_against_brute_force(spark):
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
 
 
+def _near_copies():
+    """Copies of a long line with words replaced here and there, some of them near each other."""
+    r = random.Random(8)
+    words = ["".join(r.choice("abcdefgh") for _ in range(r.randint(2, 8))) for _ in range(40)]
+    lines = []
+    for i in range(80):
+        copy = list(words)
+        for _ in range(r.randint(1, 4)):
+            copy[r.randrange(40)] = "".join(r.choice("stuvwxyz") for _ in range(6))
+        lines.append(" ".join(copy))
+        if i % 4 == 0:
+            lines += [lines[-1].replace(copy[20], copy[20] + "q", 1), lines[-1][:-1]]
+    return lines
+
+
+@pytest.mark.parametrize("few", [None, 12, 3])
+def test_near_copies_of_a_line_against_brute_force(spark, monkeypatch, few):
+    """A group of near copies is listed, not cut anew; smaller limits take the same lines through the deeper keys."""
+    cut = []
+    deeper = line_dedup._deeper
+    monkeypatch.setattr(line_dedup, "_deeper", lambda *a: cut.append(a) or deeper(*a))
+    if few:
+        monkeypatch.setattr(line_dedup, "FEW", few)
+    lines = _near_copies()
+    got: dict = {}
+    for x in line_dedup.line_classes(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).collect():
+        got.setdefault(x.class_id, set()).add(x.doc_id)
+    want: dict = {}
+    group = _line_groups(lines)
+    for i, x in enumerate(lines):
+        want.setdefault(group[x], set()).add(i)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+    assert bool(cut) == bool(few)
+
+
 def test_lines_odd_rows(odd, empty):
     out = line_dedup.deduplicated(odd)
     assert out.columns == odd.columns

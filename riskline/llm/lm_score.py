@@ -16,7 +16,7 @@ it: texts are dealt to slices by a hash of id and text, a slice sends its distin
 their counts to the blocks, and the task that has filled a block probes it for all that were
 sent and gives a byte for each back, in order. No text is written to the shared folder, no block
 leaves its task, and both ways give the same scores. Rows with the same id and text are
-one row with a count within each Arrow batch, so many of them do not fill a slice. With the
+one row with a count within each Arrow batch, so many of them do not fill a slice; texts are dealt compressed. With the
 counts f read so, p(w | v) = PAIR * f(vw) / f(v) + (1 - PAIR) * (f(w) + 0.1) / (N + 0.1 (V + 1)).
 
 Base score: exact counts. Those of the ``TOP_WORDS`` most frequent training tokens go to all
@@ -334,22 +334,39 @@ def _distinct(h: list[np.ndarray], pairs: list[np.ndarray]) -> tuple[np.ndarray,
 
 
 def _collapsed(id_type: pa.DataType):
-    """Tasks: rows of a batch with the same id and text as one row and their number."""
-    schema = pa.schema([("slice", pa.int64()), ("doc_id", id_type), ("held_out", pa.bool_()), ("text", pa.string()), ("times", pa.int64())])
+    """Tasks: rows of a batch with the same id and text as one row and their number; those of a slice are packed together."""
+    schema = pa.schema([("doc_id", id_type), ("held_out", pa.bool_()), ("text", pa.string()), ("times", pa.int64())])
+
+    def packed(rows: pa.Table) -> bytes:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_table(rows)
+        return sink.getvalue().to_pybytes()
 
     def collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = pa.Table.from_batches([batch]).group_by(batch.schema.names, use_threads=False).aggregate([([], "count_all")])
-            yield from pa.Table.from_arrays([rows.column(c).cast(t) for c, t in zip(
-                ["slice", "doc_id", "held_out", "text", "count_all"], schema.types, strict=True)], schema=schema).to_batches()
+            rows = rows.sort_by("slice")
+            slices, at = np.unique(rows.column("slice").to_numpy(), return_index=True)
+            rows = pa.Table.from_arrays([rows.column(c).cast(t) for c, t in zip(
+                ["doc_id", "held_out", "text", "count_all"], schema.types, strict=True)], schema=schema)
+            sizes = np.diff(at, append=rows.num_rows)
+            yield pa.RecordBatch.from_arrays([pa.array(slices, pa.int64()), pa.array(
+                [packed(rows.slice(int(lo), int(n))) for lo, n in zip(at, sizes, strict=True)], pa.binary())], names=["slice", "rows"])
 
     return collapse
 
 
+def _opened(asked: pa.Table) -> pa.Table:
+    """The rows (doc_id, held_out, text, times) that are packed in those of a slice."""
+    return pa.concat_tables(pa.ipc.open_stream(x.as_buffer()).read_all() for x in asked.column("rows")).combine_chunks()
+
+
 def _told(blocks: int):
     """The distinct n-grams of a slice with their counts in its training texts, packed by span of blocks."""
 
-    def told(rows: pa.Table) -> pa.Table:
+    def told(asked: pa.Table) -> pa.Table:
+        rows = _opened(asked)
         h, pairs, weights = [], [], []
         for part, weight in zip(_parts(rows), _weights(rows), strict=True):
             tokens, starts = token_hashes(part.column(2).to_pylist())
@@ -372,7 +389,7 @@ def _told(blocks: int):
                 sizes.append(size)
                 small = n[lo:hi].max() < 256
                 counts.append(b"\1" + n[lo:hi].astype(np.uint8).tobytes() if small else b"\4" + n[lo:hi].astype(np.uint32).tobytes())
-        return pa.table({"slice": pa.array([rows.column("slice")[0].as_py()] * len(span), pa.int64()), "span": pa.array(span, pa.int64()),
+        return pa.table({"slice": pa.array([asked.column("slice")[0].as_py()] * len(span), pa.int64()), "span": pa.array(span, pa.int64()),
                          "kind": pa.array(kind, pa.int32()), "found": pa.array(keys, pa.binary()), "sizes": pa.array(sizes, pa.binary()),
                          "n": pa.array(counts, pa.binary())})
 
@@ -456,7 +473,7 @@ def _answered(blocks: int):
 
 
 def _dealt_levels(dealt: DataFrame, blocks: int) -> tuple[DataFrame, DataFrame]:
-    """(levels (slice, span, kind, levels), count table (word, c)) of the rows (slice, doc_id, held_out, text, times)."""
+    """(levels (slice, span, kind, levels), count table (word, c)) of the packed rows (slice, rows)."""
     while True:
         told = dealt.groupBy("slice").applyInArrow(
             _told(blocks), "slice bigint, span bigint, kind int, found binary, sizes binary, n binary")
@@ -489,7 +506,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broad
         size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         slices = 1 + size // (GROUP_TOKENS * BYTES_A_TOKEN)
         dealt = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(slices)).alias("slice"), "*").mapInArrow(
-            _collapsed(to_arrow_type(id_type)), f"slice bigint, doc_id {id_type.simpleString()}, held_out boolean, text string, times bigint")
+            _collapsed(to_arrow_type(id_type)), "slice bigint, rows binary")
         answers, table = _dealt_levels(dealt, blocks)
     total, distinct = table.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     top = table.orderBy(F.col("c").desc(), "word").limit(top_words).toPandas()
@@ -532,7 +549,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broad
                 rows = batch.slice(at, size)
                 yield scored_rows(rows, *token_hashes(rows.column(2).to_pylist()), lambda keys, kind: probed(keys, bits, blocks))
 
-    def scored_slice(rows: pa.Table, answers: pa.Table) -> pa.Table:
+    def scored_slice(asked: pa.Table, answers: pa.Table) -> pa.Table:
+        rows = _opened(asked)
         parts = _parts(rows)
         tokens = [token_hashes(part.column(2).to_pylist()) for part in parts]
         keys = _distinct([_different(h) for h, _ in tokens], [_different(pair_keys(*x)) for x in tokens])

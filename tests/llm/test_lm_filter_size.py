@@ -87,3 +87,18 @@ def test_distinct_keys_cost_some_sorts():
 def test_weighed_keys_with_none_trained_or_none_held_out(weights):
     found, n = lm_score._weighed(np.array([9, 3, 9, 5], np.uint64), np.array(weights))
     assert found.tolist() == [3, 5, 9] and n.tolist() == [weights[1], weights[3], weights[0] + weights[2]]
+
+
+def test_texts_are_dealt_compressed():
+    """Texts cross the network twice, so they are packed by slice: rows of a batch come back once, with their number."""
+    import pyarrow as pa
+
+    words = np.random.default_rng(5).integers(0, 3_000, (400, 200))
+    texts = [" ".join(f"word{w}" for w in row) for row in words] + [""]
+    rows = [(i % 7, i, i % 10 == 0, t) for i, t in enumerate(texts)] + [(3, None, True, "x")] * 5
+    batch = pa.RecordBatch.from_pylist([dict(zip(("slice", "doc_id", "held_out", "text"), r, strict=True)) for r in rows])
+    out = pa.Table.from_batches(lm_score._collapsed(pa.int64())(iter([batch])))
+    assert out.column("slice").to_pylist() == list(range(7))
+    assert sum(map(len, out.column("rows").to_pylist())) < 0.5 * sum(map(len, texts))
+    back = [(k, *r.values()) for k in range(7) for r in lm_score._opened(out.slice(k, 1)).to_pylist()]
+    assert sorted(map(str, back)) == sorted(str((*r, 5 if r[1] is None else 1)) for r in set(rows))

@@ -8,11 +8,16 @@ start, so thousands of copies cost one node. Each node has 128 minima of univers
 
 Links are found without making all pairs of a band bucket:
 
-1. Every member of a bucket meets the bucket's smallest set (its hub), if the four low bits
-   of all minima let it be a link (they keep a true one but for odds below 1e-6); the pair is
-   confirmed on the full sets, and the components of those links are taken.
-2. Only pairs of a key (bucket) whose components still differ can matter. In a key of up to
-   ``FEW`` nodes they are listed. A larger key gets a pivot p, the smallest set of the
+1. Every member of a bucket meets the bucket's smallest set (its hub), if their sketches let
+   it be a link; the pair is confirmed on the full sets, and the components of those links are
+   taken. Sketches are the sizes, 1024 parities (how many shingles fall into each of 1024
+   slots, modulo 2: two sets differ in no more slots than in shingles, and linked ones differ in
+   a seventh of the sum of their sizes at most, so no link is lost) and the four low bits of all
+   minima (they keep a link but for odds below 1e-6).
+2. Only pairs of a key (bucket) whose components still differ can matter. First every member
+   meets ``MEET`` nodes of the component that its key has most of, picked by a hash, as it met
+   the hub: what hangs together is mostly one component after that, at so many pairs a member.
+3. Then, in a key of up to ``FEW`` nodes, the pairs left are listed, each once a key. A larger key gets a pivot p, the smallest set of the
    component it has most of. If |a|, |b| >= |p| and J(a, b) >= 0.75, then both are linked to p
    or they share a shingle that p does not have: without one, with i and x shingles of p
    missing in and added to a, j and y in and to b, the link says
@@ -50,8 +55,13 @@ MINIMA = BANDS * ROWS
 PLANES = 4  # low bits of each minimum kept for the estimate
 #: Five standard deviations below what a similarity of 0.75 shows in the estimate.
 LEAST_EQUAL = int(MINIMA * (0.75 + 0.25 / 2**PLANES) - 5 * (MINIMA * 0.7656 * 0.2344) ** 0.5)
+SLOTS = 1024  # parities of a set
+#: So many nodes of its key's largest component every node meets before pairs are listed.
+MEET = 8
 #: Pairs of different components are listed in keys of so many nodes at most.
-FEW = 12
+FEW = 2048
+#: Shingles beyond a pivot that so many nodes have are split by size.
+CROWDED = 12
 ROUNDS = 2
 CACHE_WORDS = 100_000
 #: So many rows (ids and lists of partners) go to every worker at most; beyond, texts are shuffled to them.
@@ -115,6 +125,12 @@ def _planes(m: np.ndarray) -> np.ndarray:
     return np.concatenate(bits)
 
 
+def _odd(s: np.ndarray) -> np.ndarray:
+    """Parity of the number of shingles in each slot."""
+    held = np.bincount((s % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS)
+    return np.packbits((held & 1).astype(np.uint8)).view(np.int64)
+
+
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import xxhash
 
@@ -127,8 +143,9 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 rows.column(0), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                 pa.array([None if m is None else _bands(m) for m in sigs], pa.list_(pa.int64())),
-                pa.array([None if m is None else _planes(m) for m in sigs], pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "same", "bands", "planes"])
+                pa.array([None if m is None else _planes(m) for m in sigs], pa.list_(pa.int64())),
+                pa.array([_odd(s) if len(s) else None for s in sets], pa.list_(pa.int64()))],
+                names=["doc_id", "n_shingles", "same", "bands", "planes", "odd"])
 
 
 def _small(df: DataFrame, rows: int) -> DataFrame:
@@ -148,14 +165,51 @@ def _equal(x: str, y: str) -> Column:
     return equal
 
 
-def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Pairs (a > b) of a key's members of different components that may be links, by the estimate."""
-    x = left.select("key", F.col("node").alias("a"), F.col("root").alias("root_a"), F.col("planes").alias("planes_a"))
-    y = right.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("planes").alias("planes_b"))
-    may = x.join(y, (x["key"] == y["key"]) & (F.col("root_a") != F.col("root_b")) & (_equal("planes_a", "planes_b") >= LEAST_EQUAL))
+SKETCH = ("n_shingles", "odd", "planes")
+
+
+def _may_link(x: str, y: str) -> Column:
+    """Whether two nodes may be linked, from their sketches (columns with these endings)."""
+    n, m = F.col(f"n_shingles{x}"), F.col(f"n_shingles{y}")
+    apart = F.lit(0)
+    for w in range(SLOTS // 64):
+        apart = apart + F.bit_count(F.col(f"odd{x}")[w].bitwiseXOR(F.col(f"odd{y}")[w]))
+    return ((100 * F.least(n, m) >= THRESHOLD * F.greatest(n, m)) & ((100 + THRESHOLD) * apart <= (100 - THRESHOLD) * (n + m))
+            & (_equal(f"planes{x}", f"planes{y}") >= LEAST_EQUAL))
+
+
+def _side(members: DataFrame, side: str) -> DataFrame:
+    return members.select(F.col("key").alias(f"key_{side}"), F.col("node").alias(side), F.col("root").alias(f"root_{side}"),
+                          *[F.col(c).alias(f"{c}_{side}") for c in SKETCH])
+
+
+def _pairs(left: DataFrame, right: DataFrame | None = None) -> DataFrame:
+    """Pairs (a > b) of a key's members of different components that may be links, by their sketches; without
+    ``right`` those among ``left``, which come once a key."""
+    x, y = _side(left, "a"), _side(left if right is None else right, "b")
+    wanted = (F.col("root_a") != F.col("root_b")) if right is not None else (F.col("root_a") != F.col("root_b")) & (F.col("a") > F.col("b"))
+    may = x.join(y, (F.col("key_a") == F.col("key_b")) & wanted & _may_link("_a", "_b"))
     return may.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
+def _open_members(keys: DataFrame, roots: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(key, node, root, n, sketches) of the keys whose n nodes are of different components."""
+    member = keys.select("key", "node").join(roots, "node", "left")
+    member = checkpointed(member.select("key", "node", F.coalesce("root", "node").alias("root")))
+    mixed = member.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+    member = member.join(mixed.where("lo <> hi").select("key", "n"), "key")
+    return checkpointed(member.join(nodes.select("node", *SKETCH), "node"))
+
+
+def _met(member: DataFrame) -> DataFrame:
+    """Pairs of a key's nodes with ``MEET`` of the component it has most of."""
+    most = member.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(
+        F.max(F.struct("n", "root"))["root"].alias("root"))
+    place = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("key", "node"), "node"))
+    chosen = member.join(most, ["key", "root"]).withColumn("place", place).where(F.col("place") <= MEET)
+    return _pairs(member, chosen)
+
+
 def _compared(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, added: bool = False) -> DataFrame:
     """(a, b, linked, beyond) of the pairs on their full sets; beyond: the shingles of a that b lacks, if asked for."""
 
@@ -210,15 +264,14 @@ def _roots(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     keys = checkpointed(buckets.join(hubs, "key").select("key", "node", "hub"))  # buckets of two or more
     tried = keys.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).where("a <> b").distinct()
     for side in ("a", "b"):
-        tried = tried.join(nodes.select(F.col("node").alias(side), F.col("planes").alias(f"planes_{side}")), side)
-    tried = checkpointed(tried.where(_equal("planes_a", "planes_b") >= LEAST_EQUAL).select("a", "b"))
+        tried = tried.join(nodes.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in SKETCH]), side)
+    tried = checkpointed(tried.where(_may_link("_a", "_b")).select("a", "b"))
     roots = components(_linked(_compared(docs, nodes, tried)))
+    pairs = checkpointed(_met(_open_members(keys, roots, nodes)).join(tried, ["a", "b"], "left_anti"))
+    roots = grown(roots, _linked(_compared(docs, nodes, pairs)))
+    tried = tried.unionByName(pairs)
     for left in range(ROUNDS, -1, -1):
-        member = keys.select("key", "node").join(roots, "node", "left")
-        member = checkpointed(member.select("key", "node", F.coalesce("root", "node").alias("root")))
-        mixed = member.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-        member = member.join(mixed.where("lo <> hi").select("key", "n"), "key")
-        member = checkpointed(member.join(nodes.select("node", "n_shingles", "planes"), "node"))
+        member = _open_members(keys, roots, nodes)
         few = member.where(F.col("n") <= FEW) if left else member
         many = member.where(F.col("n") > FEW) if left else member.where("false")
         # each component's smallest set stands for it; a key takes the one it has most of
@@ -227,7 +280,7 @@ def _roots(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                   .groupBy("key").agg(F.max(F.struct("n", (-F.col("p.n_shingles")).alias("less"), F.col("p.node").alias("pivot"))).alias("p"))
                   .select("key", F.col("p.pivot").alias("pivot"), (-F.col("p.less")).alias("least")))
         many = checkpointed(many.join(pivots, "key"))
-        pairs = _pairs(few, few).unionByName(_pairs(many.where(F.col("n_shingles") < F.col("least")), many)).distinct()
+        pairs = _pairs(few).unionByName(_pairs(many.where(F.col("n_shingles") < F.col("least")), many)).distinct()
         pairs = checkpointed(pairs.join(tried, ["a", "b"], "left_anti"))
         edges = _linked(_compared(docs, nodes, pairs))
         tried = tried.unionByName(pairs)
@@ -257,7 +310,7 @@ def _beyond_keys(compared: DataFrame, nodes: DataFrame, roots: DataFrame) -> Dat
     rows = rows.withColumn("place", place).where(
         (F.col("place") <= F.floor((100 - THRESHOLD) * F.col("n_shingles") / 100) + 1) & F.col("mixed"))
     size = F.floor(F.log(F.col("n_shingles") * 1.000001) / F.log(F.lit(100 / THRESHOLD)))
-    sizes = F.when(F.col("seen") > FEW, F.array(size, size + 1)).otherwise(F.array(F.lit(-1).cast("long")))
+    sizes = F.when(F.col("seen") > CROWDED, F.array(size, size + 1)).otherwise(F.array(F.lit(-1).cast("long")))
     return rows.select("node", F.explode(sizes).alias("size"), "b", "shingle").select(
         F.xxhash64("b", "shingle", "size").alias("key"), "node").distinct()
 
@@ -267,11 +320,11 @@ def _decided(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     docs = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text_or_empty(text_col).alias("text"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select(F.struct("doc_id", F.xxhash64("text").alias("tie")).alias("row"), "text").mapInArrow(
-        _sketches, f"row struct<doc_id:{id_type},tie:bigint>, n_shingles bigint, same binary, bands array<bigint>, planes array<bigint>")
-    rows = checkpointed(rows.select("row.*", "n_shingles", "same", "bands", "planes"))
+        _sketches, f"row struct<doc_id:{id_type},tie:bigint>, n_shingles bigint, same binary, bands array<bigint>, planes array<bigint>, odd array<bigint>")
+    rows = checkpointed(rows.select("row.*", "n_shingles", "same", "bands", "planes", "odd"))
     nodes = checkpointed(rows.where("n_shingles > 0").groupBy("same").agg(
         F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"),
-        F.first("planes").alias("planes")).withColumn("node", F.monotonically_increasing_id()))
+        F.first("planes").alias("planes"), F.first("odd").alias("odd")).withColumn("node", F.monotonically_increasing_id()))
     roots = nodes.select("same", "doc_id", "node").join(_roots(docs, nodes), "node", "left").select(
         "same", "doc_id", F.coalesce("root", "node").alias("root"))
     smallest = roots.groupBy("root").agg(F.min("doc_id").alias("smallest"))
